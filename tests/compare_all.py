@@ -1,4 +1,4 @@
-"""Run registered queries against their SQL: python tests/check_all.py [sf dir] [names...]"""
+"""Run registered queries against their SQL: python tests/compare_all.py [sf dir] [names...]"""
 
 import sys
 import time

@@ -7,11 +7,11 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from tillhouse.functions.dates import recent
-from tillhouse.layout import Layout
+from tillhouse.layout import Layout, day_path
 from tillhouse.operators import checks, history
 from tillhouse.plans import gold, silver
-from tillhouse.schemas import MASTERS, ORDER_ITEMS, PRIMARY_KEYS, SILVER_ORDERS, TRANSACTIONS
-from tillhouse.session import configure, file_system, size_shuffles
+from tillhouse.schemas import FACT, MASTERS, ORDER_ITEMS, PRIMARY_KEYS, SILVER_ORDERS, TRANSACTIONS
+from tillhouse.session import configure, discard, file_system, fresh_dir, size_shuffles, stored_bytes
 from tillhouse.sources import bronze, tables
 
 
@@ -78,7 +78,7 @@ def build_gold(spark: SparkSession, layout: Layout, days: list[date], masters: d
 
 
 def read_fact(spark: SparkSession, layout: Layout) -> DataFrame:
-    return spark.read.parquet(f"{layout.gold}/fact_order_items")
+    return tables.read_partitioned(spark, f"{layout.gold}/fact_order_items", FACT)
 
 
 def run_tests(spark: SparkSession, layout: Layout, as_of: date) -> DataFrame:
@@ -112,7 +112,7 @@ def run_tests(spark: SparkSession, layout: Layout, as_of: date) -> DataFrame:
 def load_silver(spark: SparkSession, layout: Layout, days: list[date]) -> DataFrame:
     """Silver part of a run; returns the violations per day and rule."""
     masters = silver.load_masters(spark, layout)
-    return silver.load_days(spark, layout, days, masters)
+    return silver.load_days(spark, layout, days, masters, fresh_dir(spark, "silver"))
 
 
 def run_days(spark: SparkSession, source, layout: Layout, days: list[date], as_of: date | None = None) -> DataFrame:
@@ -123,8 +123,11 @@ def run_days(spark: SparkSession, source, layout: Layout, days: list[date], as_o
     """
     configure(spark)
     extract(source, layout, days)
-    size_shuffles(spark, *(f"{layout.bronze}/{name}" for name in TRANSACTIONS))
+    size_shuffles(spark, sum(stored_bytes(spark, day_path(f"{layout.bronze}/{name}", day))
+                             for name in TRANSACTIONS for day in days))
     masters = silver.load_masters(spark, layout)
-    silver.load_days(spark, layout, days, masters)
+    work = fresh_dir(spark, "run")
+    silver.load_days(spark, layout, days, masters, work)
+    discard(spark, work)
     build_gold(spark, layout, days, masters)
     return run_tests(spark, layout, as_of or days[-1])

@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 from tillhouse.layout import DAY_KEYS, Layout
 from tillhouse.operators import quality
-from tillhouse.schemas import MASTERS, ORDER_ITEMS, ORDERS, SILVER_ORDERS
-from tillhouse.session import stage
+from tillhouse.schemas import CHECKED_ORDERS, MASTERS, ORDER_ITEMS, ORDERS, RULE_COUNTS, SILVER_ORDERS
+from tillhouse.session import discard
 from tillhouse.sources import bronze, tables
 
 log = logging.getLogger(__name__)
 
+# Rules whose bad rows are a filter over day files: they need no shuffle to be written by day.
+ROW_RULES = {"invalid_payments", "orders_discrepancies"}
+
 
 def load_masters(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     """Refresh both masters and return them as stored."""
@@ -42,33 +45,40 @@ def quarantine_frames(checked: DataFrame, items: DataFrame, menu: DataFrame, sco
     }
 
 
-def load_days(spark: SparkSession, layout: Layout, days: list[date], masters: dict[str, DataFrame]) -> DataFrame:
+def load_days(
+    spark: SparkSession, layout: Layout, days: list[date], masters: dict[str, DataFrame], work: str
+) -> DataFrame:
     """Check and store any number of days in one go; returns violations per day and rule.
 
-    The raw items are parsed once, into silver; the orders with their item total are
-    written once to the working folder. Every later step reads those files, so a lost
-    executor costs a re-read, not a repeat of the joins.
+    The raw items are parsed once, into silver. The orders with item total and status are
+    written once to the working folder, split by day, so every later step is a scan of day
+    files without a shuffle of its rows, and a lost executor costs a re-read, not a repeat
+    of the join.
     """
     if not days:
         raise ValueError("no days to load")
     outlets, menu = masters["outlet_master"], masters["menu_master"]
 
     raw_items = bronze.read_transactions(spark, f"{layout.bronze}/order_items", ORDER_ITEMS, days)
-    tables.write_days(raw_items, f"{layout.silver}/order_items", days)
+    tables.write_days(raw_items, f"{layout.silver}/order_items", days, aligned=True)
     items = tables.read_day_files(spark, f"{layout.silver}/order_items", ORDER_ITEMS, days)
 
     raw_orders = bronze.read_transactions(spark, f"{layout.bronze}/orders", ORDERS, days)
-    totals = quality.with_order_totals(raw_orders, items, DAY_KEYS)
-    checked = stage(quality.with_status(totals), "checked-orders")
     tables.write_days(
-        checked.select(*SILVER_ORDERS.fieldNames(), *DAY_KEYS), f"{layout.silver}/orders", days
+        quality.with_status(quality.with_order_totals(raw_orders, items, DAY_KEYS)), f"{work}/orders", days
+    )
+    checked = tables.read_day_files(spark, f"{work}/orders", CHECKED_ORDERS, days)
+    tables.write_days(
+        checked.select(*SILVER_ORDERS.fieldNames(), *DAY_KEYS), f"{layout.silver}/orders", days, aligned=True
     )
 
     for rule, rows in quarantine_frames(checked, items, menu, DAY_KEYS).items():
-        hit = tables.write_days(rows, f"{layout.quarantine}/{rule}", days)
+        hit = tables.write_days(rows, f"{layout.quarantine}/{rule}", days, aligned=rule in ROW_RULES)
         log.info("%s: bad rows on %d of %d days", rule, len(hit), len(days))
 
-    counts = stage(quality.rule_counts(checked, items, outlets, menu, DAY_KEYS), "rule-counts")
+    tables.write_table(quality.rule_counts(checked, items, outlets, menu, DAY_KEYS), f"{work}/rule_counts")
+    counts = spark.read.schema(RULE_COUNTS).parquet(f"{work}/rule_counts")
     for row in counts.groupBy("rule").agg(F.sum("violations").alias("violations")).collect():
         log.warning("%s: %d violations", row.rule, row.violations)
+    discard(spark, f"{work}/orders")
     return counts

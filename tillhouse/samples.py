@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillhouse.functions.dates import day_keys
 from tillhouse.layout import DAY_KEYS, days_between
 from tillhouse.operators import quality
+from tillhouse.operators.skew import split_hot_join
 from tillhouse.schemas import AMOUNT, PRICE
 
 FIRST_DAY = date(2025, 1, 1)
@@ -96,8 +97,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     copies = F.when(key % 1000 == 7, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     return (
-        _raw(spark, sf_dir, "orders")
-        .join(totals, "o_orderkey", "left")
+        split_hot_join(_raw(spark, sf_dir, "orders"), totals, ["o_orderkey"])
         .select(
             key.alias("order_id"),
             F.when(key % 101 == 0, -1).otherwise(F.col("o_custkey") % 10).cast("int").alias("outlet_id"),

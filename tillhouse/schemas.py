@@ -61,11 +61,35 @@ DAY_FIELDS = _schema(year=T.StringType(), month=T.StringType(), day=T.StringType
 
 SILVER_ORDERS = T.StructType(ORDERS.fields + [T.StructField("data_quality_status", T.StringType(), True)])
 
+CHECKED_ORDERS = T.StructType(
+    ORDERS.fields
+    + [T.StructField("calculated_total", AMOUNT_SUM, True), T.StructField("data_quality_status", T.StringType(), True)]
+)
+
+FACT = _schema(
+    item_id=T.LongType(),
+    order_id=T.LongType(),
+    menu_id=T.IntegerType(),
+    quantity=T.IntegerType(),
+    price_per_item=PRICE,
+    subtotal=AMOUNT,
+    outlet_id=T.IntegerType(),
+    cashier_id=T.IntegerType(),
+    total_amount=AMOUNT,
+    payment_method=T.StringType(),
+    order_date=T.DateType(),
+    created_at=T.TimestampType(),
+)
+
 
 def with_days(schema: T.StructType) -> T.StructType:
     return T.StructType(schema.fields + DAY_FIELDS.fields)
 
 
+RULE_COUNTS = _schema(
+    year=T.StringType(), month=T.StringType(), day=T.StringType(), rule=T.StringType(), violations=T.LongType()
+)
+
 PRIMARY_KEYS = {
     "outlet_master": "outlet_id",
     "menu_master": "menu_id",

@@ -6,7 +6,7 @@ import math
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Runtime settings every job relies on. They can be set on a running session.
 SETTINGS = {
@@ -15,7 +15,7 @@ SETTINGS = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "4k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join even when that costs one more shuffle after it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
@@ -57,11 +57,9 @@ def shuffle_partitions(input_bytes: int, configured: int) -> int:
     return max(configured, min(wanted, MAX_SHUFFLE_PARTITIONS))
 
 
-def size_shuffles(spark: SparkSession, *paths: str) -> int:
-    """Set the initial shuffle width from the bytes stored under the given paths."""
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    total = sum(_stored_bytes(spark, path) for path in paths)
-    width = shuffle_partitions(total, configured)
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Set the initial shuffle width for a job that reads that much."""
+    width = shuffle_partitions(input_bytes, int(spark.conf.get("spark.sql.shuffle.partitions")))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(width))
     return width
 
@@ -72,7 +70,7 @@ def file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
-def _stored_bytes(spark: SparkSession, path: str) -> int:
+def stored_bytes(spark: SparkSession, path: str) -> int:
     fs, hadoop_path = file_system(spark, path)
     return fs.getContentSummary(hadoop_path).getLength() if fs.exists(hadoop_path) else 0
 
@@ -98,10 +96,7 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{work_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame once to the shared folder and read it back: later plans start from files."""
-    spark = df.sparkSession
-    path = fresh_dir(spark, name)
-    schema = df.schema
-    df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a working folder once nothing reads it any more."""
+    fs, folder = file_system(spark, path)
+    fs.delete(folder, True)

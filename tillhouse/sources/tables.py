@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tillhouse.functions.dates import day_text, in_days
-from tillhouse.layout import DAY_KEYS, day_path
+from tillhouse.layout import DAY_KEYS, day_path, partition_text
 from tillhouse.schemas import with_days
 from tillhouse.session import file_system
 
@@ -22,18 +22,28 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def write_days(
-    df: DataFrame, path: str, days: list[date], fmt: str = "parquet", options: dict[str, str] | None = None
+    df: DataFrame,
+    path: str,
+    days: list[date],
+    fmt: str = "parquet",
+    options: dict[str, str] | None = None,
+    aligned: bool = False,
 ) -> list[date]:
     """Replace the given days of a table, in one job, and return the days that now have rows.
 
     Rebalancing puts a small day into one file and splits a large one over several tasks.
-    A day that produced no rows is cleared, so nothing of an earlier run stays behind;
-    days outside the list are not touched.
+    aligned says that df comes straight from files that are already split by day: then
+    nothing is shuffled. A day that produced no rows is cleared, so nothing of an earlier
+    run stays behind; days outside the list are not touched.
     """
+    fs, root = file_system(df.sparkSession, path)
+    stored_before = fs.exists(root)
+    if not aligned and len(days) > 1:
+        df = df.hint("rebalance", *DAY_KEYS)
     written = Observation()
-    rows = df.hint("rebalance", *DAY_KEYS).observe(written, F.collect_set(day_text()).alias("days"))
     (
-        rows.write.mode("overwrite")
+        df.observe(written, F.collect_set(day_text()).alias("days"))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .options(**(options or {}))
         .partitionBy(*DAY_KEYS)
@@ -41,7 +51,8 @@ def write_days(
         .save(path)
     )
     found = set(written.get["days"])
-    clear_days(df.sparkSession, path, [day for day in days if day.isoformat() not in found])
+    if stored_before:
+        clear_days(df.sparkSession, path, [day for day in days if day.isoformat() not in found])
     return [day for day in days if day.isoformat() in found]
 
 
@@ -64,21 +75,17 @@ def read_day_files(
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Read only the folders of the given days: nothing else of the table is even listed."""
-    found, missing = [], []
-    for day in days:
-        fs, folder = file_system(spark, day_path(path, day))
-        (found if fs.exists(folder) else missing).append(day)
-    if missing:
-        log.warning("%s: no files for %d of %d days, first %s", path, len(missing), len(days), missing[0])
+    folders = ",".join(partition_text(day) for day in days)
+    pattern = f"{path}/{{{folders}}}"
+    fs, glob = file_system(spark, pattern)
+    found = fs.globStatus(glob) or []
+    if len(found) < len(days):
+        log.warning("%s: no files for %d of %d days", path, len(days) - len(found), len(days))
     full = with_days(schema)
-    if not found:
+    if not len(found):
         return spark.createDataFrame([], full)
     return (
-        spark.read.schema(full)
-        .options(**(options or {}))
-        .option("basePath", path)
-        .format(fmt)
-        .load([day_path(path, day) for day in found])
+        spark.read.schema(full).options(**(options or {})).option("basePath", path).format(fmt).load(pattern)
     )
 
 

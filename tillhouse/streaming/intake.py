@@ -11,25 +11,19 @@ from tillhouse.sources.bronze import CSV_OPTIONS
 
 
 def ingest_arrivals(
-    spark: SparkSession, source: str, schema: StructType, target: str, checkpoint: str, files_per_batch: int | None = None
+    spark: SparkSession, source: str, schema: StructType, target: str, checkpoint: str, files_per_batch: int = 10_000
 ) -> None:
     """Land every new raw file once as typed Parquet.
 
     The checkpoint remembers which files were read. A batch that is repeated after a
-    failure overwrites its own folder, so no row is stored twice.
+    failure overwrites its own folder, so no row is stored twice. Raw files are split by
+    day already, so landing them needs no shuffle.
     """
-    options = dict(CSV_OPTIONS)
-    if files_per_batch:
-        options["maxFilesPerTrigger"] = str(files_per_batch)
+    options = {**CSV_OPTIONS, "maxFilesPerTrigger": str(files_per_batch)}
     arrivals = spark.readStream.schema(with_days(schema)).options(**options).csv(source)
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        (
-            batch.hint("rebalance", *DAY_KEYS)
-            .write.mode("overwrite")
-            .partitionBy(*DAY_KEYS)
-            .parquet(f"{target}/batch={batch_id}")
-        )
+        batch.write.mode("overwrite").partitionBy(*DAY_KEYS).parquet(f"{target}/batch={batch_id}")
 
     query = (
         arrivals.writeStream.foreachBatch(land)
