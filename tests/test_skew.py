@@ -86,3 +86,88 @@ def test_totals_of_hot_orders(spark):
     hot = checked.filter("order_id = 5").groupBy("calculated_total", "data_quality_status").count().collect()
     assert [(str(row[0]), row[1], row[2]) for row in hot] == [("100.10", "MISMATCH TOTAL AMOUNT", 1000)]
     assert checked.filter("order_id IS NULL AND calculated_total IS NULL").count() == 500
+
+
+@pytest.fixture
+def tiny_partitions(spark):
+    """Shuffled joins only, and every partition above a few kilobytes counts as skewed."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+
+
+def splits_skew(df):
+    df.collect()
+    return "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def hot_items(spark, tmp_path):
+    """A third of the items belong to one order and one menu; every order has one row."""
+    n = F.col("id")
+    items = spark.range(0, ROWS, 1, 12).select(
+        n.alias("item_id"),
+        F.when(n % 3 == 0, 3).otherwise(n).cast("long").alias("order_id"),
+        F.when(n % 3 == 0, 3).otherwise(n % 200).cast("int").alias("menu_id"),
+        F.lit(1).alias("quantity"),
+        F.lit(10).cast("decimal(12,2)").alias("price_per_item"),
+        F.lit(10).cast("decimal(14,2)").alias("subtotal"),
+        F.lit("2026").alias("year"),
+        F.lit("03").alias("month"),
+        F.lit("01").alias("day"),
+    )
+    items.write.parquet(str(tmp_path / "items"))
+    return spark.read.parquet(str(tmp_path / "items"))
+
+
+def test_fact_join_splits_a_hot_order(spark, hot_items, tiny_partitions):
+    from tillhouse.plans.gold import fact_order_items
+
+    orders = spark.range(0, ROWS, 1, 6).selectExpr(
+        "id AS order_id", "1 AS outlet_id", "1 AS cashier_id", "CAST(10 AS DECIMAL(14,2)) AS total_amount",
+        "'Cash' AS payment_method", "TIMESTAMP '2026-03-01 10:00:00' AS created_at", "'valid' AS data_quality_status",
+    )
+    fact = fact_order_items(orders, hot_items)
+    assert splits_skew(fact)
+    assert fact.count() == ROWS
+
+
+def test_menu_joins_split_a_hot_menu(spark, hot_items, tiny_partitions):
+    menu = spark.range(0, 190).selectExpr(
+        "CAST(id AS INT) AS menu_id", *[f"CAST(11 AS DECIMAL(12,2)) AS {name}" for name in quality.MENU_PRICES]
+    )
+    priced = quality.with_menu_prices(hot_items, menu)
+    assert splits_skew(priced)
+    assert priced.count() == ROWS
+    orphans = quality.orphans(hot_items, menu.filter("menu_id <> 3"), "menu_id")
+    assert splits_skew(orphans)
+    assert orphans.filter("menu_id = 3").count() >= ROWS // 3
+
+
+def test_item_extract_splits_a_hot_order(spark, hot_items, tiny_partitions):
+    from datetime import date
+
+    from tillhouse.sources.source import items_between
+
+    orders = spark.range(0, ROWS, 1, 6).selectExpr("id AS order_id", "TIMESTAMP '2026-03-01 10:00:00' AS created_at")
+    rows = items_between(hot_items.drop("year", "month", "day"), orders, date(2026, 3, 1), date(2026, 3, 1))
+    assert splits_skew(rows)
+    assert rows.count() == ROWS
+
+
+def test_counts_do_not_shuffle_hot_rows(spark, hot_items, tiny_partitions):
+    """Foreign keys are counted per value first: at most one row per value and map task is shuffled."""
+    from tillhouse.operators.checks import unmatched
+
+    missing = unmatched(hot_items, "menu_id", spark.range(0, 100).selectExpr("CAST(id AS INT) AS menu_id"), "menu_id")
+    assert missing.agg(F.sum("n_records")).first()[0] == hot_items.filter("menu_id >= 100").count()
+    assert not splits_skew(missing)

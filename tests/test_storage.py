@@ -289,3 +289,17 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     for _ in range(2):
         intake.ingest_arrivals(spark, raw, ORDERS, landed, checkpoint)
         assert sorted(row.order_id for row in intake.read_landed(spark, landed, ORDERS).collect()) == [1, 2, 3, 4]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from tillhouse.__main__ import main
+
+    data = shop(spark, ORDER_ROWS, ITEM_ROWS)
+    for name, df in data.frames.items():
+        df.write.parquet(str(tmp_path / "till" / name))
+    lake = str(tmp_path / "lake")
+    main(["--source", str(tmp_path / "till"), "--root", lake, "--start-date", "2026-03-01", "--end-date", "2026-03-03"])
+    assert "unique_fact_item_id" in capsys.readouterr().out
+    assert runs.read_fact(spark, Layout.under(lake)).count() == 3
+    with pytest.raises(SystemExit):
+        main(["--source", "x", "--root", lake, "--start-date", "2026-03-03", "--end-date", "2026-03-01"])

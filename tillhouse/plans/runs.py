@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,18 +12,31 @@ from tillhouse.layout import Layout, day_path
 from tillhouse.operators import checks, history
 from tillhouse.plans import gold, silver
 from tillhouse.schemas import FACT, MASTERS, ORDER_ITEMS, PRIMARY_KEYS, SILVER_ORDERS, TRANSACTIONS
-from tillhouse.session import configure, discard, file_system, fresh_dir, size_shuffles, stored_bytes
+from tillhouse.session import (
+    configure,
+    discard,
+    file_system,
+    fresh_dir,
+    run_together,
+    size_shuffles,
+    stored_bytes,
+)
 from tillhouse.sources import bronze, tables
 
 
-def extract(source, layout: Layout, days: list[date]) -> None:
+def extract(spark: SparkSession, source, layout: Layout, days: list[date]) -> None:
     """Masters in full, transactions of the given days, all as raw files."""
-    for name in MASTERS:
+
+    def master(name: str) -> None:
         bronze.write_master(source.table(name), f"{layout.bronze}/{name}")
-    scans = {"orders": source.orders, "order_items": source.items}
-    for name, schema in TRANSACTIONS.items():
-        rows = scans[name](days[0], days[-1])
-        bronze.write_transactions(rows, schema.fieldNames(), f"{layout.bronze}/{name}", days)
+
+    def transactions(name: str) -> None:
+        scan = source.orders if name == "orders" else source.items
+        columns = TRANSACTIONS[name].fieldNames()
+        bronze.write_transactions(scan(days[0], days[-1]), columns, f"{layout.bronze}/{name}", days)
+
+    jobs = [*(partial(master, name) for name in MASTERS), *(partial(transactions, name) for name in TRANSACTIONS)]
+    run_together(spark, jobs)
 
 
 def _versions(spark: SparkSession, path: str) -> list[int]:
@@ -66,15 +80,23 @@ def refresh_history(spark: SparkSession, layout: Layout, table: str, master: Dat
 
 
 def build_gold(spark: SparkSession, layout: Layout, days: list[date], masters: dict[str, DataFrame]) -> None:
-    menu = refresh_history(spark, layout, "menu_master", masters["menu_master"])
-    outlets = refresh_history(spark, layout, "outlet_master", masters["outlet_master"])
-    tables.write_table(gold.dim_menu(menu), f"{layout.gold}/dim_menu")
-    tables.write_table(gold.dim_outlet(outlets), f"{layout.gold}/dim_outlet")
-    tables.write_table(gold.calendar(spark), f"{layout.gold}/dim_date")
+    def menu() -> None:
+        stored = refresh_history(spark, layout, "menu_master", masters["menu_master"])
+        tables.write_table(gold.dim_menu(stored), f"{layout.gold}/dim_menu")
+
+    def outlet() -> None:
+        stored = refresh_history(spark, layout, "outlet_master", masters["outlet_master"])
+        tables.write_table(gold.dim_outlet(stored), f"{layout.gold}/dim_outlet")
+
+    def dates() -> None:
+        tables.write_table(gold.calendar(spark), f"{layout.gold}/dim_date")
+
+    def fact() -> None:
+        orders = tables.read_day_files(spark, f"{layout.silver}/orders", SILVER_ORDERS, days)
+        items = tables.read_day_files(spark, f"{layout.silver}/order_items", ORDER_ITEMS, days)
+        tables.write_days(gold.fact_order_items(orders, items), f"{layout.gold}/fact_order_items", days)
 
-    orders = tables.read_day_files(spark, f"{layout.silver}/orders", SILVER_ORDERS, days)
-    items = tables.read_day_files(spark, f"{layout.silver}/order_items", ORDER_ITEMS, days)
-    tables.write_days(gold.fact_order_items(orders, items), f"{layout.gold}/fact_order_items", days)
+    run_together(spark, [menu, outlet, dates, fact])
 
 
 def read_fact(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -122,9 +144,9 @@ def run_days(spark: SparkSession, source, layout: Layout, days: list[date], as_o
     again gives the same state.
     """
     configure(spark)
-    extract(source, layout, days)
-    size_shuffles(spark, sum(stored_bytes(spark, day_path(f"{layout.bronze}/{name}", day))
-                             for name in TRANSACTIONS for day in days))
+    extract(spark, source, layout, days)
+    raw_folders = [day_path(f"{layout.bronze}/{name}", day) for name in TRANSACTIONS for day in days]
+    size_shuffles(spark, sum(stored_bytes(spark, folder) for folder in raw_folders))
     masters = silver.load_masters(spark, layout)
     work = fresh_dir(spark, "run")
     silver.load_days(spark, layout, days, masters, work)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from tillhouse.layout import DAY_KEYS, Layout
 from tillhouse.operators import quality
 from tillhouse.schemas import CHECKED_ORDERS, MASTERS, ORDER_ITEMS, ORDERS, RULE_COUNTS, SILVER_ORDERS
-from tillhouse.session import discard
+from tillhouse.session import discard, run_together
 from tillhouse.sources import bronze, tables
 
 log = logging.getLogger(__name__)
@@ -68,17 +69,25 @@ def load_days(
         quality.with_status(quality.with_order_totals(raw_orders, items, DAY_KEYS)), f"{work}/orders", days
     )
     checked = tables.read_day_files(spark, f"{work}/orders", CHECKED_ORDERS, days)
-    tables.write_days(
-        checked.select(*SILVER_ORDERS.fieldNames(), *DAY_KEYS), f"{layout.silver}/orders", days, aligned=True
-    )
 
-    for rule, rows in quarantine_frames(checked, items, menu, DAY_KEYS).items():
+    def store_orders() -> None:
+        rows = checked.select(*SILVER_ORDERS.fieldNames(), *DAY_KEYS)
+        tables.write_days(rows, f"{layout.silver}/orders", days, aligned=True)
+
+    def store_bad(rule: str, rows: DataFrame) -> None:
         hit = tables.write_days(rows, f"{layout.quarantine}/{rule}", days, aligned=rule in ROW_RULES)
         log.info("%s: bad rows on %d of %d days", rule, len(hit), len(days))
 
-    tables.write_table(quality.rule_counts(checked, items, outlets, menu, DAY_KEYS), f"{work}/rule_counts")
+    def store_counts() -> None:
+        rows = quality.rule_counts(checked, items, outlets, menu, DAY_KEYS)
+        tables.write_table(rows, f"{work}/rule_counts")
+
+    bad = quarantine_frames(checked, items, menu, DAY_KEYS)
+    jobs = [store_orders, store_counts, *(partial(store_bad, rule, rows) for rule, rows in bad.items())]
+    run_together(spark, jobs)
+    discard(spark, f"{work}/orders")
+
     counts = spark.read.schema(RULE_COUNTS).parquet(f"{work}/rule_counts")
     for row in counts.groupBy("rule").agg(F.sum("violations").alias("violations")).collect():
         log.warning("%s: %d violations", row.rule, row.violations)
-    discard(spark, f"{work}/orders")
     return counts

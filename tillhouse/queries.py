@@ -537,7 +537,7 @@ def test_summary(spark, sf_dir):
 def silver_day_run(spark, sf_dir):
     """One day from source to silver: violations per rule."""
     layout = _layout(spark, "silver-day")
-    runs.extract(_source(spark, sf_dir), layout, [RUN_DAY])
+    runs.extract(spark, _source(spark, sf_dir), layout, [RUN_DAY])
     return runs.load_silver(spark, layout, [RUN_DAY])
 
 
@@ -545,7 +545,7 @@ def silver_day_run(spark, sf_dir):
 def backfill_run(spark, sf_dir):
     """All days from source to silver in one run: violations per day and rule."""
     layout = _layout(spark, "backfill")
-    runs.extract(_source(spark, sf_dir), layout, samples.ALL_DAYS)
+    runs.extract(spark, _source(spark, sf_dir), layout, samples.ALL_DAYS)
     return runs.load_silver(spark, layout, samples.ALL_DAYS)
 
 
@@ -557,9 +557,9 @@ def late_lookback(spark, sf_dir):
     complete = samples.source_tables(spark, sf_dir)
     late = F.coalesce(F.col("payment_method") == "GoPay", F.lit(False))
     early = source.FrameSource({**complete, "orders": complete["orders"].filter(~late)})
-    runs.extract(early, layout, days)
+    runs.extract(spark, early, layout, days)
     runs.load_silver(spark, layout, days)
-    runs.extract(source.FrameSource(complete), layout, days)
+    runs.extract(spark, source.FrameSource(complete), layout, days)
     runs.load_silver(spark, layout, days)
     return _dated(tables.read_partitioned(spark, f"{layout.silver}/orders", SILVER_ORDERS))
 

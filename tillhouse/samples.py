@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from tillhouse.functions.dates import day_keys
 from tillhouse.layout import DAY_KEYS, days_between
 from tillhouse.operators import quality
-from tillhouse.operators.skew import split_hot_join
 from tillhouse.schemas import AMOUNT, PRICE
 
 FIRST_DAY = date(2025, 1, 1)
@@ -87,7 +86,11 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wrong totals, orphan outlets, one busy cashier, odd payments and repeated orders included."""
     key = F.col("o_orderkey")
-    totals = quality.order_totals(order_items(spark, sf_dir)).withColumnRenamed("order_id", "o_orderkey")
+    # The day makes it a join on two columns, so the sums are shuffled again and adaptive
+    # execution sees two shuffled sides: it can split an order that fills a partition.
+    day = _order_day("o_orderkey").alias("created_at")
+    sums = quality.order_totals(order_items(spark, sf_dir)).withColumnRenamed("order_id", "o_orderkey")
+    totals = sums.select("*", day)
     total = F.coalesce("calculated_total", F.lit(0)) + F.when(key % 20 == 0, 1).otherwise(0)
     priority = F.col("o_orderpriority")
     payment = (
@@ -97,14 +100,16 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     copies = F.when(key % 1000 == 7, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     return (
-        split_hot_join(_raw(spark, sf_dir, "orders"), totals, ["o_orderkey"])
+        _raw(spark, sf_dir, "orders")
+        .select("*", day)
+        .join(totals, ["o_orderkey", "created_at"], "left")
         .select(
             key.alias("order_id"),
             F.when(key % 101 == 0, -1).otherwise(F.col("o_custkey") % 10).cast("int").alias("outlet_id"),
             F.when(key % 5 == 0, 100).otherwise(101 + F.col("o_custkey") % 29).cast("int").alias("cashier_id"),
             total.cast(AMOUNT).alias("total_amount"),
             payment.alias("payment_method"),
-            _order_day("o_orderkey").alias("created_at"),
+            "created_at",
             F.explode(copies).alias("copy"),
         )
         .drop("copy")

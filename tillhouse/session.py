@@ -5,7 +5,11 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Runtime settings every job relies on. They can be set on a running session.
@@ -75,6 +79,14 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(hadoop_path).getLength() if fs.exists(hadoop_path) else 0
 
 
+def run_together(spark: SparkSession, jobs: Iterable[Callable[[], Any]], at_once: int = 4) -> list[Any]:
+    """Start jobs that do not depend on each other side by side, so small ones do not leave the
+    cluster idle. All of them finish; the first failure is then raised."""
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+    return [job.result() for job in started]
+
+
 _local_root: str | None = None
 
 
