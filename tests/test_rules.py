@@ -73,7 +73,7 @@ def test_rule_counts_list_every_rule_for_clean_data(spark):
     rows, bought = orders(spark, order(1)), items(spark, item(1, 1))
     menu = spark.createDataFrame([(1, *[Decimal(10)] * 4)], "menu_id int, base_price decimal(12,2), price_tier_1 decimal(12,2), price_tier_2 decimal(12,2), price_tier_3 decimal(12,2)")
     outlets = spark.createDataFrame([(1,)], "outlet_id int")
-    counts = quality.rule_counts(quality.with_order_totals(rows, bought), bought, outlets, menu)
+    counts = quality.rule_counts(rows, quality.with_order_totals(rows, bought), bought, outlets, menu)
     assert {row.violations for row in counts.collect()} == {0}
     assert counts.count() == 9
 

@@ -109,8 +109,8 @@ def test_keys_stay_text(spark, tmp_path, schema):
 def test_rerun_of_one_day(spark, tmp_path, schema):
     path = str(tmp_path / "t")
     three = [(1, "2026", "03", "01"), (2, "2026", "03", "02"), (3, "2026", "03", "03")]
-    assert tables.write_days(keyed(spark, *three), path, [D1, D2, D3]) == [D1, D2, D3]
-    assert tables.write_days(keyed(spark, (9, "2026", "03", "02")), path, [D2]) == [D2]
+    tables.write_days(keyed(spark, *three), path, [D1, D2, D3])
+    tables.write_days(keyed(spark, (9, "2026", "03", "02")), path, [D2])
     assert keys_by_day(tables.read_partitioned(spark, path, schema)) == [("01", 1), ("02", 9), ("03", 3)]
 
 
@@ -121,7 +121,9 @@ def test_clean_rerun_leaves_no_old_rows(spark, tmp_path, schema, aligned):
     tables.write_days(keyed(spark, (5, "2026", "03", "01")), path, [D1, D2], aligned=aligned)
     assert keys_by_day(tables.read_partitioned(spark, path, schema)) == [("01", 5)]
     nothing = tables.read_partitioned(spark, path, schema).filter("k > 100")
-    assert tables.write_days(nothing, path, [D1, D2], aligned=aligned) == []
+    assert tables.stored_days(spark, path, [D1, D2]) == [D1]
+    tables.write_days(nothing, path, [D1, D2], aligned=aligned)
+    assert tables.stored_days(spark, path, [D1, D2]) == []
     assert tables.read_partitioned(spark, path, schema).count() == 0
 
 
@@ -162,6 +164,7 @@ def test_catalog_tables(spark, tmp_path):
     tables.write_days(spark.createDataFrame([], ORDER_ITEMS).selectExpr("*", "'' year", "'' month", "'' day"), f"{layout.silver}/order_items", [D1])
     tables.write_table(spark.createDataFrame([], OUTLET_MASTER), f"{layout.silver}/outlet_master")
     tables.write_table(spark.createDataFrame([], MENU_MASTER), f"{layout.silver}/menu_master")
+    catalog.create_database(spark, layout, "shop")
     catalog.create_silver_tables(spark, layout, "shop")
     assert spark.table("shop.orders").filter("day = '01'").count() == 1
     assert spark.table("shop.menu_master").schema == MENU_MASTER
@@ -236,6 +239,12 @@ def test_daily_chain(spark, tmp_path):
     assert len(by_day["orphan_items"]) == 1 and len(by_day["invalid_prices"]) == 1
     assert len(by_day["invalid_payments"]) == 1 and len(by_day["orders_discrepancies"]) == 2
 
+    catalog.create_database(spark, layout, "star")
+    catalog.create_gold_tables(spark, layout, "star")
+    assert spark.table("star.fact_order_items").groupBy("day").count().count() == 2
+    assert spark.table("star.dim_date").count() == 730
+    assert runs.source_freshness(spark, layout, "2026-03-03 12:00:00").first().status == "pass"
+
     # running a day again changes nothing; all days in one run give the same
     runs.run_days(spark, first, layout, [D2])
     assert state(spark, layout) == by_day

@@ -114,6 +114,7 @@ def cashier_outliers(
 
 
 def rule_counts(
+    orders: DataFrame,
     orders_with_totals: DataFrame,
     items: DataFrame,
     outlets: DataFrame,
@@ -133,15 +134,15 @@ def rule_counts(
         F.count_if(payment_invalid(F.col("payment_method"))).alias("invalid_payments"),
         F.count_if(F.col("payment_method").isNull()).alias("null_payments"),
     )
-    per_outlet = _counted(orders_with_totals, [*scope, "outlet_id"])
+    per_outlet = _counted(orders, [*scope, "outlet_id"])
     orphan_orders = orphans(per_outlet, outlets, "outlet_id").groupBy(*scope).agg(_total().alias("orphan_orders"))
 
     per_price = _counted(items, [*scope, "menu_id", "price_per_item"])
     orphan_items = orphans(per_price, menu, "menu_id").groupBy(*scope).agg(_total().alias("orphan_items"))
     off_price = invalid_prices(per_price, menu).groupBy(*scope).agg(_total().alias("invalid_prices"))
 
-    duplicates = _rows(duplicate_orders(orders_with_totals, scope), scope, "duplicate_orders")
-    outliers = _rows(cashier_outliers(orders_with_totals, scope, group_cols), scope, "anomaly_cashiers")
+    duplicates = _rows(duplicate_orders(orders, scope), scope, "duplicate_orders")
+    outliers = _rows(cashier_outliers(orders, scope, group_cols), scope, "anomaly_cashiers")
 
     parts = [
         _as_rules(frame, scope)

@@ -131,6 +131,12 @@ def run_tests(spark: SparkSession, layout: Layout, as_of: date) -> DataFrame:
     )
 
 
+def source_freshness(spark: SparkSession, layout: Layout, now: str) -> DataFrame:
+    """Age of the newest silver order at the given time; the other tables are exempt."""
+    orders = tables.read_partitioned(spark, f"{layout.silver}/orders", SILVER_ORDERS)
+    return checks.freshness(orders, "created_at", now, "orders")
+
+
 def load_silver(spark: SparkSession, layout: Layout, days: list[date]) -> DataFrame:
     """Silver part of a run; returns the violations per day and rule."""
     masters = silver.load_masters(spark, layout)

@@ -75,11 +75,10 @@ def load_days(
         tables.write_days(rows, f"{layout.silver}/orders", days, aligned=True)
 
     def store_bad(rule: str, rows: DataFrame) -> None:
-        hit = tables.write_days(rows, f"{layout.quarantine}/{rule}", days, aligned=rule in ROW_RULES)
-        log.info("%s: bad rows on %d of %d days", rule, len(hit), len(days))
+        tables.write_days(rows, f"{layout.quarantine}/{rule}", days, aligned=rule in ROW_RULES)
 
     def store_counts() -> None:
-        rows = quality.rule_counts(checked, items, outlets, menu, DAY_KEYS)
+        rows = quality.rule_counts(checked, checked, items, outlets, menu, DAY_KEYS)
         tables.write_table(rows, f"{work}/rule_counts")
 
     bad = quarantine_frames(checked, items, menu, DAY_KEYS)

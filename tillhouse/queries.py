@@ -331,9 +331,11 @@ def silver_order_items(spark, sf_dir):
 
 @query
 def dq_summary(spark, sf_dir):
+    orders, items = samples.orders(spark, sf_dir), _items(spark, sf_dir)
     return quality.rule_counts(
-        _orders_with_totals(spark, sf_dir),
-        _items(spark, sf_dir),
+        orders,
+        quality.with_order_totals(orders, items),
+        items,
         samples.outlet_master(spark, sf_dir),
         samples.menu_master(spark, sf_dir),
     )

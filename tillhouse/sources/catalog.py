@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
 from tillhouse.layout import DAY_KEYS, Layout, day_path
-from tillhouse.schemas import MENU_MASTER, ORDER_ITEMS, OUTLET_MASTER, SILVER_ORDERS
+from tillhouse.schemas import FACT, MENU_MASTER, ORDER_ITEMS, OUTLET_MASTER, SILVER_ORDERS
 
 SILVER_TABLES = {
     "outlet_master": (OUTLET_MASTER, False),
@@ -48,8 +48,20 @@ def add_days(spark: SparkSession, name: str, location: str, days: list[date]) ->
         spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {specs}")
 
 
+def create_database(spark: SparkSession, layout: Layout, database: str) -> None:
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{layout.gold}/_database'")
+
+
+def create_gold_tables(spark: SparkSession, layout: Layout, database: str) -> None:
+    """Tables over the star schema; the dimensions take their columns from the files."""
+    for table in ("dim_date", "dim_menu", "dim_outlet"):
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{table} USING parquet LOCATION '{layout.gold}/{table}'")
+    fact = f"{database}.fact_order_items"
+    create_external_table(spark, fact, FACT, f"{layout.gold}/fact_order_items", by_day=True)
+    recover_partitions(spark, fact)
+
+
 def create_silver_tables(spark: SparkSession, layout: Layout, database: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{layout.silver}/_database'")
     for table, (schema, by_day) in SILVER_TABLES.items():
         create_external_table(spark, f"{database}.{table}", schema, f"{layout.silver}/{table}", by_day)
         if by_day:

@@ -5,11 +5,11 @@ from __future__ import annotations
 import logging
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tillhouse.functions.dates import day_text, in_days
+from tillhouse.functions.dates import in_days
 from tillhouse.layout import DAY_KEYS, day_path, partition_text
 from tillhouse.schemas import with_days
 from tillhouse.session import file_system
@@ -28,32 +28,51 @@ def write_days(
     fmt: str = "parquet",
     options: dict[str, str] | None = None,
     aligned: bool = False,
-) -> list[date]:
-    """Replace the given days of a table, in one job, and return the days that now have rows.
+) -> None:
+    """Replace the given days of a table, in one job.
 
     Rebalancing puts a small day into one file and splits a large one over several tasks.
     aligned says that df comes straight from files that are already split by day: then
     nothing is shuffled. A day that produced no rows is cleared, so nothing of an earlier
     run stays behind; days outside the list are not touched.
     """
-    fs, root = file_system(df.sparkSession, path)
-    stored_before = fs.exists(root)
+    spark = df.sparkSession
+    before = {day: _any_file(spark, day_path(path, day)) for day in stored_days(spark, path, days)}
     if not aligned and len(days) > 1:
         df = df.hint("rebalance", *DAY_KEYS)
-    written = Observation()
     (
-        df.observe(written, F.collect_set(day_text()).alias("days"))
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .options(**(options or {}))
         .partitionBy(*DAY_KEYS)
         .format(fmt)
         .save(path)
     )
-    found = set(written.get["days"])
-    if stored_before:
-        clear_days(df.sparkSession, path, [day for day in days if day.isoformat() not in found])
-    return [day for day in days if day.isoformat() in found]
+    # A day with new rows lost all its old files; one that still has them got no rows.
+    clear_days(spark, path, [day for day, file in before.items() if file and _exists(spark, file)])
+
+
+def stored_days(spark: SparkSession, path: str, days: list[date]) -> list[date]:
+    """Those of the days that have a folder."""
+    fs, pattern = file_system(spark, _day_pattern(path, days))
+    found = {entry.getPath().toString().rsplit("/year=", 1)[1] for entry in fs.globStatus(pattern) or []}
+    return [day for day in days if partition_text(day).removeprefix("year=") in found]
+
+
+def _day_pattern(path: str, days: list[date]) -> str:
+    """One glob for the folders of all days; days without a folder do not match."""
+    return f"{path}/{{{','.join(partition_text(day) for day in days)}}}"
+
+
+def _any_file(spark: SparkSession, folder: str) -> str | None:
+    fs, hadoop_path = file_system(spark, folder)
+    entries = fs.listStatusIterator(hadoop_path)
+    return entries.next().getPath().toString() if entries.hasNext() else None
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, hadoop_path = file_system(spark, path)
+    return fs.exists(hadoop_path)
 
 
 def clear_days(spark: SparkSession, path: str, days: list[date]) -> None:
@@ -75,18 +94,14 @@ def read_day_files(
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Read only the folders of the given days: nothing else of the table is even listed."""
-    folders = ",".join(partition_text(day) for day in days)
-    pattern = f"{path}/{{{folders}}}"
-    fs, glob = file_system(spark, pattern)
-    found = fs.globStatus(glob) or []
-    if len(found) < len(days):
-        log.warning("%s: no files for %d of %d days", path, len(days) - len(found), len(days))
+    missing = len(days) - len(stored_days(spark, path, days))
+    if missing:
+        log.warning("%s: no files for %d of %d days", path, missing, len(days))
     full = with_days(schema)
-    if not len(found):
+    if missing == len(days):
         return spark.createDataFrame([], full)
-    return (
-        spark.read.schema(full).options(**(options or {})).option("basePath", path).format(fmt).load(pattern)
-    )
+    reader = spark.read.schema(full).options(**(options or {})).option("basePath", path)
+    return reader.format(fmt).load(_day_pattern(path, days))
 
 
 def read_partitioned(spark: SparkSession, path: str, schema: StructType, days: list[date] | None = None) -> DataFrame:
