@@ -49,14 +49,20 @@ def test_exact_money(spark):
     assert values(quality.orders_without_items(checked), "order_id") == [(4,)]
 
 
+MENU_PRICES = "menu_id long, " + ", ".join(f"{name} decimal(12,2)" for name in quality.MENU_PRICES)
+
+
 def test_unknown_menu_is_orphan_not_off_price(spark):
     menu = spark.createDataFrame(
         [(1, *[Decimal(p) for p in ("10", "12", "14", "16")])],
-        "menu_id int, base_price decimal(12,2), price_tier_1 decimal(12,2), price_tier_2 decimal(12,2), price_tier_3 decimal(12,2)",
+        MENU_PRICES,
     )
     rows = items(spark, item(1, 1), item(2, 1, price="16"), item(3, 1, price="11"), item(4, 1, menu=9), item(5, 1, menu=None))
     assert values(quality.invalid_prices(rows, menu), "item_id") == [(3,)]
     assert values(quality.orphans(rows, menu, "menu_id"), "item_id") == [(4,), (5,)]
+    bad = quality.bad_items(rows, menu)
+    assert values(quality.unknown_menu(bad), *rows.columns) == values(quality.orphans(rows, menu, "menu_id"), *rows.columns)
+    assert values(quality.off_price(bad), "item_id") == [(3,)]
 
 
 @pytest.mark.parametrize(("cashiers", "flagged"), [(1, 0), (10, 0), (11, 1)])
@@ -71,11 +77,11 @@ def test_outliers_without_orders(spark):
 
 def test_rule_counts_list_every_rule_for_clean_data(spark):
     rows, bought = orders(spark, order(1)), items(spark, item(1, 1))
-    menu = spark.createDataFrame([(1, *[Decimal(10)] * 4)], "menu_id int, base_price decimal(12,2), price_tier_1 decimal(12,2), price_tier_2 decimal(12,2), price_tier_3 decimal(12,2)")
-    outlets = spark.createDataFrame([(1,)], "outlet_id int")
-    counts = quality.rule_counts(rows, quality.with_order_totals(rows, bought), bought, outlets, menu)
+    menu = spark.createDataFrame([(1, *[Decimal(10)] * 4)], MENU_PRICES)
+    found = {"duplicate_orders": quality.duplicate_orders(rows), "anomaly_cashiers": quality.cashier_outliers(rows)}
+    counts = quality.rule_counts(quality.with_order_totals(rows, bought), quality.bad_items(bought, menu), found)
     assert {row.violations for row in counts.collect()} == {0}
-    assert counts.count() == 9
+    assert counts.count() == 8
 
 
 def test_labels(spark):

@@ -6,7 +6,7 @@ keys when many days are checked in one plan.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -64,17 +64,36 @@ def invalid_payments(orders: DataFrame) -> DataFrame:
 
 
 def with_menu_prices(items: DataFrame, menu: DataFrame) -> DataFrame:
+    return _priced(items, menu).drop("menu_known")
+
+
+def _priced(items: DataFrame, menu: DataFrame) -> DataFrame:
     prices = [F.col(name) for name in MENU_PRICES]
-    return (
-        items.join(menu.select("menu_id", *MENU_PRICES), "menu_id", "left")
-        .select(*items.columns, *MENU_PRICES)
-        .withColumn("price_valid", price_valid(F.col("price_per_item"), *prices))
+    known = menu.select("menu_id", *MENU_PRICES, F.lit(True).alias("menu_known"))
+    return items.join(known, "menu_id", "left").select(
+        *items.columns,
+        *MENU_PRICES,
+        price_valid(F.col("price_per_item"), *prices).alias("price_valid"),
+        "menu_known",
     )
 
 
+def bad_items(items: DataFrame, menu: DataFrame) -> DataFrame:
+    """Items that break a menu rule, both rules from one join: unknown menu or a price that is none of its prices."""
+    return _priced(items, menu).filter(F.col("menu_known").isNull() | ~F.col("price_valid"))
+
+
+def unknown_menu(bad: DataFrame) -> DataFrame:
+    return bad.filter(F.col("menu_known").isNull()).drop(*MENU_PRICES, "price_valid", "menu_known")
+
+
+def off_price(bad: DataFrame) -> DataFrame:
+    """Items with an unknown menu are not in it."""
+    return bad.filter(~F.col("price_valid")).drop("menu_known")
+
+
 def invalid_prices(items: DataFrame, menu: DataFrame) -> DataFrame:
-    """Price matches none of the menu's prices; items with an unknown menu are not in it."""
-    return with_menu_prices(items, menu).filter(~F.col("price_valid"))
+    return off_price(bad_items(items, menu))
 
 
 def duplicate_orders(orders: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
@@ -114,18 +133,13 @@ def cashier_outliers(
 
 
 def rule_counts(
-    orders: DataFrame,
-    orders_with_totals: DataFrame,
-    items: DataFrame,
-    outlets: DataFrame,
-    menu: DataFrame,
-    scope: Sequence[str] = (),
-    group_cols: Sequence[str] = ("cashier_id",),
+    orders_with_totals: DataFrame, bad: DataFrame, found: Mapping[str, DataFrame], scope: Sequence[str] = ()
 ) -> DataFrame:
     """Violations per rule and batch, as rows (scope..., rule, violations).
 
-    A single batch lists every rule; many batches list only the rules they break. Lookups run on rows counted per key, so a frequent outlet or menu is one row when it
-    reaches the shuffle.
+    The rules on a single order share one pass, so do the rules on a single item; found
+    holds the rows other rules have found. A single batch lists every rule; many batches
+    list only the rules they break.
     """
     totals, calculated = F.col("total_amount"), F.col("calculated_total")
     order_rules = orders_with_totals.groupBy(*scope).agg(
@@ -134,36 +148,17 @@ def rule_counts(
         F.count_if(payment_invalid(F.col("payment_method"))).alias("invalid_payments"),
         F.count_if(F.col("payment_method").isNull()).alias("null_payments"),
     )
-    per_outlet = _counted(orders, [*scope, "outlet_id"])
-    orphan_orders = orphans(per_outlet, outlets, "outlet_id").groupBy(*scope).agg(_total().alias("orphan_orders"))
-
-    per_price = _counted(items, [*scope, "menu_id", "price_per_item"])
-    orphan_items = orphans(per_price, menu, "menu_id").groupBy(*scope).agg(_total().alias("orphan_items"))
-    off_price = invalid_prices(per_price, menu).groupBy(*scope).agg(_total().alias("invalid_prices"))
-
-    duplicates = _rows(duplicate_orders(orders, scope), scope, "duplicate_orders")
-    outliers = _rows(cashier_outliers(orders, scope, group_cols), scope, "anomaly_cashiers")
-
-    parts = [
-        _as_rules(frame, scope)
-        for frame in (order_rules, orphan_orders, orphan_items, off_price, duplicates, outliers)
+    item_rules = bad.groupBy(*scope).agg(
+        F.count_if(F.col("menu_known").isNull()).alias("orphan_items"),
+        F.count_if(~F.col("price_valid")).alias("invalid_prices"),
+    )
+    others = [
+        rows.groupBy(*scope).agg(F.count(F.lit(1)).alias(rule)) for rule, rows in found.items()
     ]
-    combined = reduce(DataFrame.unionByName, parts)
+    combined = reduce(DataFrame.unionByName, [_as_rules(df, scope) for df in (order_rules, item_rules, *others)])
     return combined.filter(F.col("violations") > 0) if scope else combined
 
 
-def _counted(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-
-
-def _total() -> Column:
-    return F.coalesce(F.sum("n"), F.lit(0))
-
-
-def _rows(df: DataFrame, scope: Sequence[str], rule: str) -> DataFrame:
-    return df.groupBy(*scope).agg(F.count(F.lit(1)).alias(rule))
-
-
 def _as_rules(df: DataFrame, scope: Sequence[str]) -> DataFrame:
     rules = [name for name in df.columns if name not in scope]
     return df.unpivot(list(scope), rules, "rule", "violations")

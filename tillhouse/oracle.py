@@ -10,7 +10,7 @@ SELECT CAST(s.s_suppkey AS INT) AS outlet_id, s.s_name AS outlet_name, n.n_name
        DATE '2025-01-01' AS created_at, DATE '2025-01-01' AS updated_at
 FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey""",
     "fx_menu_master": """
-SELECT CAST(p_partkey AS INT) AS menu_id, p_name AS menu_name,
+SELECT p_partkey AS menu_id, p_name AS menu_name,
        CASE CAST(p_partkey % 5 AS INT) WHEN 0 THEN 'Coffee' WHEN 1 THEN 'Non-Coffee' WHEN 2 THEN 'Pastry'
             WHEN 3 THEN 'Heavy Meal' ELSE 'Merch' END AS category,
        CAST(1000 * (3 + p_partkey % 20) AS DECIMAL(12,2)) AS base_price,
@@ -22,7 +22,7 @@ SELECT CAST(p_partkey AS INT) AS menu_id, p_name AS menu_name,
 FROM part""",
     "fx_order_items": """
 SELECT l.l_orderkey * 10 + l.l_linenumber AS item_id, l.l_orderkey AS order_id,
-       CAST(CASE WHEN l.l_orderkey % 97 = 0 THEN -1 ELSE l.l_partkey END AS INT) AS menu_id,
+       CASE WHEN l.l_orderkey % 97 = 0 THEN -1 ELSE l.l_partkey END AS menu_id,
        CAST(l.l_quantity AS INT) AS quantity,
        CAST(1000 * (3 + l.l_partkey % 20)
             + CASE WHEN l.l_quantity = 50 THEN 1 ELSE 3000 * (l.l_linenumber % 4) END AS DECIMAL(12,2)) AS price_per_item,
@@ -125,7 +125,7 @@ SELECT menu_id, menu_name, category,
        CASE WHEN menu_id % 10 = 0 THEN DATE '2025-03-01' ELSE updated_at END AS updated_at
 FROM fx_menu_master WHERE menu_id % 50 <> 7
 UNION ALL
-SELECT CAST(menu_id + 100000 AS INT), menu_name, category, base_price, price_tier_1, price_tier_2, price_tier_3,
+SELECT -100 - menu_id, menu_name, category, base_price, price_tier_1, price_tier_2, price_tier_3,
        is_promo_active, DATE '2025-03-02'
 FROM fx_menu_master WHERE menu_id < 5""",
     "outlet_2": """
@@ -133,7 +133,7 @@ SELECT outlet_id, outlet_name, city, CASE WHEN outlet_id % 4 = 1 THEN '1' ELSE r
        created_at, CASE WHEN outlet_id % 4 = 1 THEN DATE '2025-06-15' ELSE updated_at END AS updated_at
 FROM fx_outlet_master WHERE outlet_id % 25 <> 4
 UNION ALL
-SELECT CAST(outlet_id + 100000 AS INT), outlet_name, city, region_tier, DATE '2025-06-16', DATE '2025-06-16'
+SELECT -100 - outlet_id, outlet_name, city, region_tier, DATE '2025-06-16', DATE '2025-06-16'
 FROM fx_outlet_master WHERE outlet_id <= 3""",
     "menu_versions": """
 SELECT o.*, CASE WHEN n.updated_at > o.updated_at THEN n.updated_at END AS valid_to

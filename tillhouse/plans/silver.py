@@ -11,14 +11,24 @@ from pyspark.sql import functions as F
 
 from tillhouse.layout import DAY_KEYS, Layout
 from tillhouse.operators import quality
-from tillhouse.schemas import CHECKED_ORDERS, MASTERS, ORDER_ITEMS, ORDERS, RULE_COUNTS, SILVER_ORDERS
+from tillhouse.schemas import (
+    BAD_ITEMS,
+    CASHIER_COUNTS,
+    CHECKED_ORDERS,
+    DUPLICATE_ORDERS,
+    MASTERS,
+    ORDER_ITEMS,
+    ORDERS,
+    RULE_COUNTS,
+    SILVER_ORDERS,
+)
 from tillhouse.session import discard, run_together
 from tillhouse.sources import bronze, tables
 
 log = logging.getLogger(__name__)
 
-# Rules whose bad rows are a filter over day files: they need no shuffle to be written by day.
-ROW_RULES = {"invalid_payments", "orders_discrepancies"}
+# Rules on groups of orders. Their rows are computed, those of other rules are picked from day files.
+GROUP_RULES = {"duplicate_orders": DUPLICATE_ORDERS, "anomaly_cashiers": CASHIER_COUNTS}
 
 
 def load_masters(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
@@ -31,15 +41,15 @@ def load_masters(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     return loaded
 
 
-def quarantine_frames(checked: DataFrame, items: DataFrame, menu: DataFrame, scope: list[str]) -> dict[str, DataFrame]:
+def quarantine_frames(checked: DataFrame, bad_items: DataFrame, scope: list[str]) -> dict[str, DataFrame]:
     """Bad rows by quarantine table. checked holds the orders with total and status."""
     order_columns = [*ORDERS.fieldNames(), *DAY_KEYS]
     orders = checked.select(*order_columns)
     with_totals = checked.select(*order_columns, "calculated_total")
     return {
-        "orphan_items": quality.orphans(items, menu, "menu_id"),
+        "orphan_items": quality.unknown_menu(bad_items),
         "invalid_payments": quality.invalid_payments(orders),
-        "invalid_prices": quality.invalid_prices(items, menu),
+        "invalid_prices": quality.off_price(bad_items),
         "duplicate_orders": quality.duplicate_orders(orders, scope),
         "anomaly_cashiers": quality.cashier_outliers(orders, scope),
         "orders_discrepancies": quality.order_discrepancies(with_totals),
@@ -51,10 +61,9 @@ def load_days(
 ) -> DataFrame:
     """Check and store any number of days in one go; returns violations per day and rule.
 
-    The raw items are parsed once, into silver. The orders with item total and status are
-    written once to the working folder, split by day, so every later step is a scan of day
-    files without a shuffle of its rows, and a lost executor costs a re-read, not a repeat
-    of the join.
+    The raw items are parsed once, into silver. The orders with item total and status, and
+    the bad items, are written once to the working folder, split by day. Every later step
+    is a scan of day files, and a lost executor costs a re-read, not a repeat of the joins.
     """
     if not days:
         raise ValueError("no days to load")
@@ -63,28 +72,38 @@ def load_days(
     raw_items = bronze.read_transactions(spark, f"{layout.bronze}/order_items", ORDER_ITEMS, days)
     tables.write_days(raw_items, f"{layout.silver}/order_items", days, aligned=True)
     items = tables.read_day_files(spark, f"{layout.silver}/order_items", ORDER_ITEMS, days)
-
     raw_orders = bronze.read_transactions(spark, f"{layout.bronze}/orders", ORDERS, days)
-    tables.write_days(
-        quality.with_status(quality.with_order_totals(raw_orders, items, DAY_KEYS)), f"{work}/orders", days
-    )
-    checked = tables.read_day_files(spark, f"{work}/orders", CHECKED_ORDERS, days)
+
+    def check_orders() -> DataFrame:
+        rows = quality.with_status(quality.with_order_totals(raw_orders, items, DAY_KEYS))
+        tables.write_days(rows, f"{work}/orders", days)
+        return tables.read_day_files(spark, f"{work}/orders", CHECKED_ORDERS, days)
+
+    def check_items() -> DataFrame:
+        tables.write_days(quality.bad_items(items, menu), f"{work}/bad_items", days)
+        return tables.read_day_files(spark, f"{work}/bad_items", BAD_ITEMS, days)
+
+    checked, bad_items = run_together(spark, [check_orders, check_items])
 
     def store_orders() -> None:
         rows = checked.select(*SILVER_ORDERS.fieldNames(), *DAY_KEYS)
         tables.write_days(rows, f"{layout.silver}/orders", days, aligned=True)
 
     def store_bad(rule: str, rows: DataFrame) -> None:
-        tables.write_days(rows, f"{layout.quarantine}/{rule}", days, aligned=rule in ROW_RULES)
+        tables.write_days(rows, f"{layout.quarantine}/{rule}", days, aligned=rule not in GROUP_RULES)
 
-    def store_counts() -> None:
-        rows = quality.rule_counts(checked, checked, items, outlets, menu, DAY_KEYS)
-        tables.write_table(rows, f"{work}/rule_counts")
+    bad = quarantine_frames(checked, bad_items, DAY_KEYS)
+    run_together(spark, [store_orders, *(partial(store_bad, rule, rows) for rule, rows in bad.items())])
 
-    bad = quarantine_frames(checked, items, menu, DAY_KEYS)
-    jobs = [store_orders, store_counts, *(partial(store_bad, rule, rows) for rule, rows in bad.items())]
-    run_together(spark, jobs)
+    found = {
+        rule: tables.read_day_files(spark, f"{layout.quarantine}/{rule}", schema, days)
+        for rule, schema in GROUP_RULES.items()
+    }
+    found["orphan_orders"] = quality.orphans(checked, outlets, "outlet_id")
+    rows = quality.rule_counts(checked, bad_items, found, DAY_KEYS)
+    tables.write_table(rows, f"{work}/rule_counts")
     discard(spark, f"{work}/orders")
+    discard(spark, f"{work}/bad_items")
 
     counts = spark.read.schema(RULE_COUNTS).parquet(f"{work}/rule_counts")
     for row in counts.groupBy("rule").agg(F.sum("violations").alias("violations")).collect():

@@ -332,13 +332,13 @@ def silver_order_items(spark, sf_dir):
 @query
 def dq_summary(spark, sf_dir):
     orders, items = samples.orders(spark, sf_dir), _items(spark, sf_dir)
-    return quality.rule_counts(
-        orders,
-        quality.with_order_totals(orders, items),
-        items,
-        samples.outlet_master(spark, sf_dir),
-        samples.menu_master(spark, sf_dir),
-    )
+    found = {
+        "orphan_orders": quality.orphans(orders, samples.outlet_master(spark, sf_dir), "outlet_id"),
+        "duplicate_orders": quality.duplicate_orders(orders),
+        "anomaly_cashiers": quality.cashier_outliers(orders),
+    }
+    bad = quality.bad_items(items, samples.menu_master(spark, sf_dir))
+    return quality.rule_counts(quality.with_order_totals(orders, items), bad, found)
 
 
 @query

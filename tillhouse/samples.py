@@ -55,7 +55,7 @@ def menu_master(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(residue == 3, "Heavy Meal").otherwise("Merch")
     )
     return _raw(spark, sf_dir, "part").select(
-        F.col("p_partkey").cast("int").alias("menu_id"),
+        F.col("p_partkey").alias("menu_id"),
         F.col("p_name").alias("menu_name"),
         category.alias("category"),
         base.cast(PRICE).alias("base_price"),
@@ -75,7 +75,7 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw(spark, sf_dir, "lineitem").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("item_id"),
         F.col("l_orderkey").alias("order_id"),
-        F.when(F.col("l_orderkey") % 97 == 0, -1).otherwise(F.col("l_partkey")).cast("int").alias("menu_id"),
+        F.when(F.col("l_orderkey") % 97 == 0, -1).otherwise(F.col("l_partkey")).alias("menu_id"),
         quantity.alias("quantity"),
         price.cast(PRICE).alias("price_per_item"),
         (quantity * price).cast(AMOUNT).alias("subtotal"),
@@ -167,7 +167,7 @@ def second_menu(menu: DataFrame) -> DataFrame:
     )
     added = menu.filter(F.col("menu_id") < 5).withColumns(
         {
-            "menu_id": (F.col("menu_id") + 100000).cast("int"),
+            "menu_id": -100 - F.col("menu_id"),
             "updated_at": F.lit("2025-03-02").cast("date"),
         }
     )
@@ -186,7 +186,7 @@ def second_outlets(outlets: DataFrame) -> DataFrame:
     )
     added = outlets.filter(F.col("outlet_id") <= 3).withColumns(
         {
-            "outlet_id": (F.col("outlet_id") + 100000).cast("int"),
+            "outlet_id": -100 - F.col("outlet_id"),
             "created_at": F.lit("2025-06-16").cast("date"),
             "updated_at": F.lit("2025-06-16").cast("date"),
         }

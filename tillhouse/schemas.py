@@ -24,7 +24,7 @@ OUTLET_MASTER = _schema(
 )
 
 MENU_MASTER = _schema(
-    menu_id=T.IntegerType(),
+    menu_id=T.LongType(),
     menu_name=T.StringType(),
     category=T.StringType(),
     base_price=PRICE,
@@ -47,7 +47,7 @@ ORDERS = _schema(
 ORDER_ITEMS = _schema(
     item_id=T.LongType(),
     order_id=T.LongType(),
-    menu_id=T.IntegerType(),
+    menu_id=T.LongType(),
     quantity=T.IntegerType(),
     price_per_item=PRICE,
     subtotal=AMOUNT,
@@ -66,10 +66,23 @@ CHECKED_ORDERS = T.StructType(
     + [T.StructField("calculated_total", AMOUNT_SUM, True), T.StructField("data_quality_status", T.StringType(), True)]
 )
 
+BAD_ITEMS = T.StructType(
+    [
+        *ORDER_ITEMS.fields,
+        *[field for field in MENU_MASTER.fields if field.dataType == PRICE],
+        T.StructField("price_valid", T.BooleanType(), True),
+        T.StructField("menu_known", T.BooleanType(), True),
+    ]
+)
+
+DUPLICATE_ORDERS = _schema(order_id=T.LongType(), count=T.LongType())
+
+CASHIER_COUNTS = _schema(cashier_id=T.IntegerType(), tx_count=T.LongType())
+
 FACT = _schema(
     item_id=T.LongType(),
     order_id=T.LongType(),
-    menu_id=T.IntegerType(),
+    menu_id=T.LongType(),
     quantity=T.IntegerType(),
     price_per_item=PRICE,
     subtotal=AMOUNT,
