@@ -326,7 +326,11 @@ SELECTS = {
     "stg_orders": "SELECT * FROM stg_orders",
     "stg_order_items": "SELECT * FROM stg_order_items",
     "fact_incremental_overwrite": f"SELECT * FROM fact WHERE NOT (order_date = {_RUN_DAY} AND cashier_id = 100)",
-    "insert_if_absent": "SELECT * FROM fx_orders_one",
+    "insert_if_absent": f"""SELECT DISTINCT * FROM fx_orders WHERE created_at < DATE '2026-01-01'
+        UNION ALL
+        SELECT {_ORDER} FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY outlet_id, cashier_id,
+            total_amount, payment_method NULLS FIRST, created_at) AS n FROM fx_orders)
+        WHERE n = 1 AND order_id NOT IN (SELECT order_id FROM fx_orders WHERE created_at < DATE '2026-01-01')""",
     "dq_orders_without_items": f"SELECT {_ORDER} FROM calc WHERE calculated_total IS NULL",
     "dq_order_discrepancies": "SELECT * FROM calc WHERE total_amount <> calculated_total",
     "dq_orphan_items": "SELECT * FROM orphan_items",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,9 @@ ALL_DAYS = days_between(FIRST_DAY, LAST_DAY)
 SPREAD_DAYS = len(ALL_DAYS)
 
 
+@cache
 def _raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One frame per table: its files are listed and their footers read once."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
