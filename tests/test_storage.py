@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from tillhouse.layout import (
     Layout, days_between, lookback_days, parse_day, partition_text, projected_partitions, resolve_days,
+    storage_section,
 )
-from tillhouse.plans import runs
+from tillhouse.plans import gold, runs
 from tillhouse.schemas import MENU_MASTER, ORDER_ITEMS, ORDERS, OUTLET_MASTER, SILVER_ORDERS
 from tillhouse.session import shuffle_partitions, work_root
 from tillhouse.sources import bronze, catalog, source, tables
@@ -66,6 +67,13 @@ def test_locations():
         Layout.from_settings({"bronze": "x"})
 
 
+def test_config_file(tmp_path):
+    path = tmp_path / "config.json"
+    path.write_text('{"storage": {"bronze": "b", "silver": "s", "quarantine": "q", "gold": "/data/g"}}')
+    layout = Layout.from_settings(storage=storage_section(str(path)))
+    assert layout == Layout("s3a://b", "s3a://s", "s3a://q", "/data/g")
+
+
 def test_shuffle_width():
     assert shuffle_partitions(10, 200) == 200
     assert shuffle_partitions(100 * 1024**4, 200) == 32768
@@ -300,6 +308,63 @@ def test_stream_takes_each_file_once(spark, tmp_path):
         assert sorted(row.order_id for row in intake.read_landed(spark, landed, ORDERS).collect()) == [1, 2, 3, 4]
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_source_day_reaches_the_scan(spark, tmp_path):
+    data = shop(spark, ORDER_ROWS, ITEM_ROWS)
+    for name, df in data.frames.items():
+        df.write.parquet(str(tmp_path / name))
+    till = source.ParquetSource(spark, str(tmp_path))
+    plan = plan_of(till.orders(D2, D2).select("order_id"))
+    assert "GreaterThanOrEqual(created_at,2026-03-02 00:00:00.0), LessThan(created_at" in plan
+    assert "ReadSchema: struct<order_id:bigint,created_at:timestamp>" in plan
+    assert sorted(row.order_id for row in till.items(D2, D2).collect()) == [2, 2, 3, 3]
+
+
+def test_fact_of_a_day_prunes_both_sides(spark, tmp_path):
+    orders = spark.sql(
+        "SELECT 1L order_id, 1 outlet_id, 1 cashier_id, CAST(1 AS DECIMAL(14,2)) total_amount, 'Cash' payment_method, "
+        "TIMESTAMP '2026-03-02 08:00:00' created_at, 'valid' data_quality_status, '2026' year, '03' month, '02' day"
+    )
+    items = spark.sql(
+        "SELECT 1L item_id, 1L order_id, 1L menu_id, 1 quantity, CAST(1 AS DECIMAL(12,2)) price_per_item, "
+        "CAST(1 AS DECIMAL(14,2)) subtotal, '2026' year, '03' month, '02' day"
+    )
+    for name, df in (("orders", orders), ("order_items", items)):
+        tables.write_days(df, str(tmp_path / name), [D2])
+    fact = gold.fact_for_day(
+        tables.read_partitioned(spark, str(tmp_path / "orders"), SILVER_ORDERS),
+        tables.read_partitioned(spark, str(tmp_path / "order_items"), ORDER_ITEMS),
+        D2,
+    )
+    assert plan_of(fact).count("PartitionFilters: [isnotnull(year") == 2
+    assert fact.count() == 1
+    assert gold.fact_for_days(orders, items, [D1, D2]).count() == 1
+    assert gold.fact_for_days(orders, items, [D3]).count() == 0
+
+
+def test_large_day_is_split_and_small_days_are_one_file(spark, tmp_path, schema):
+    """A small day may share the fate of a large one that hashes to the same partition; most do not."""
+    path = tmp_path / "t"
+    rows = spark.range(0, 60_000, 1, 8).selectExpr(
+        "CAST(id AS INT) AS k", "'2026' AS year", "'03' AS month",
+        "IF(id % 20 < 9, CONCAT('1', CAST(id % 20 AS STRING)), '03') AS day",
+    )
+    days = days_between(D1, date(2026, 3, 20))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        tables.write_days(rows, str(path), days)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {folder.name: len(list(folder.glob("part-*"))) for folder in path.glob("year=2026/month=03/day=*")}
+    assert len(files) == 10
+    assert files.pop("day=03") > 2
+    assert sorted(files.values())[4] == 1
+    assert tables.read_partitioned(spark, str(path), schema).count() == 60_000
+
+
 def test_command_line(spark, tmp_path, capsys):
     from tillhouse.__main__ import main
 

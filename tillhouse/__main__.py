@@ -6,7 +6,7 @@ import argparse
 import logging
 import os
 
-from tillhouse.layout import Layout, resolve_days
+from tillhouse.layout import Layout, resolve_days, storage_section
 from tillhouse.plans.runs import run_days
 from tillhouse.session import get_spark
 from tillhouse.sources.source import JdbcSource, ParquetSource
@@ -22,6 +22,7 @@ def arguments() -> argparse.ArgumentParser:
     source.add_argument("--jdbc-url", help="till database; user and password come from TILL_DB_USER and TILL_DB_PASSWORD")
     parser.add_argument("--readers", type=int, default=8, help="parallel database readers")
     parser.add_argument("--root", help="one folder for all layers")
+    parser.add_argument("--config", help="YAML or JSON file with a storage section")
     for layer in ("bronze", "silver", "quarantine", "gold"):
         parser.add_argument(f"--{layer}", help=f"bucket or folder of the {layer} layer")
     return parser
@@ -32,7 +33,7 @@ def layout_of(options: argparse.Namespace) -> Layout:
     if options.root:
         below = Layout.under(options.root)
         given = {layer: value or getattr(below, layer) for layer, value in given.items()}
-    return Layout.from_settings(given, os.environ)
+    return Layout.from_settings(given, os.environ, storage_section(options.config) if options.config else None)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -48,7 +49,11 @@ def main(argv: list[str] | None = None) -> None:
         source = JdbcSource(spark, options.jdbc_url, login, options.readers)
     else:
         source = ParquetSource(spark, options.source)
-    run_days(spark, source, layout, days).show(truncate=False)
+    results = run_days(spark, source, layout, days).collect()
+    for row in results:
+        print(f"{row.status:5} {row.violations:>8} {row.test_name}")
+    if any(row.status == "fail" for row in results):
+        raise SystemExit("data tests failed")
 
 
 if __name__ == "__main__":

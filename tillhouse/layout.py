@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
@@ -50,6 +51,18 @@ class Layout:
         return cls(**found)
 
 
+def storage_section(path: str) -> dict[str, str]:
+    """The storage section of a YAML or JSON config file: layer name -> bucket or folder."""
+    with open(path, encoding="utf-8") as file:
+        if path.endswith(".json"):
+            config = json.load(file)
+        else:
+            import yaml  # only needed for YAML files
+
+            config = yaml.safe_load(file)
+    return config["storage"]
+
+
 def parse_day(text: str) -> date:
     """Strict YYYY-MM-DD."""
     parsed = datetime.strptime(text, "%Y-%m-%d").date()

@@ -34,7 +34,7 @@ FROM lineitem l""",
 SELECT o.o_orderkey AS order_id,
        CAST(CASE WHEN o.o_orderkey % 101 = 0 THEN -1 ELSE o.o_custkey % 10 END AS INT) AS outlet_id,
        CAST(CASE WHEN o.o_orderkey % 5 = 0 THEN 100 ELSE 101 + o.o_custkey % 29 END AS INT) AS cashier_id,
-       CAST(COALESCE(t.s, 0) + CASE WHEN o.o_orderkey % 20 = 0 THEN 1 ELSE 0 END AS DECIMAL(14,2)) AS total_amount,
+       TRY_CAST(COALESCE(t.s, 0) + CASE WHEN o.o_orderkey % 20 = 0 THEN 1 ELSE 0 END AS DECIMAL(14,2)) AS total_amount,
        CASE o.o_orderpriority WHEN '1-URGENT' THEN 'QRIS' WHEN '2-HIGH' THEN 'Cash' WHEN '3-MEDIUM' THEN 'GoPay'
             WHEN '5-LOW' THEN 'cash'
             ELSE CASE WHEN o.o_orderkey % 2 = 0 THEN 'OVO' ELSE NULL END END AS payment_method,
@@ -329,7 +329,7 @@ SELECTS = {
     "insert_if_absent": f"""SELECT DISTINCT * FROM fx_orders WHERE created_at < DATE '2026-01-01'
         UNION ALL
         SELECT {_ORDER} FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY outlet_id, cashier_id,
-            total_amount, payment_method NULLS FIRST, created_at) AS n FROM fx_orders)
+            total_amount NULLS FIRST, payment_method NULLS FIRST, created_at) AS n FROM fx_orders)
         WHERE n = 1 AND order_id NOT IN (SELECT order_id FROM fx_orders WHERE created_at < DATE '2026-01-01')""",
     "dq_orders_without_items": f"SELECT {_ORDER} FROM calc WHERE calculated_total IS NULL",
     "dq_order_discrepancies": "SELECT * FROM calc WHERE total_amount <> calculated_total",

@@ -110,7 +110,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
             key.alias("order_id"),
             F.when(key % 101 == 0, -1).otherwise(F.col("o_custkey") % 10).cast("int").alias("outlet_id"),
             F.when(key % 5 == 0, 100).otherwise(101 + F.col("o_custkey") % 29).cast("int").alias("cashier_id"),
-            total.cast(AMOUNT).alias("total_amount"),
+            total.try_cast(AMOUNT).alias("total_amount"),
             payment.alias("payment_method"),
             "created_at",
             F.explode(copies).alias("copy"),
