@@ -311,6 +311,10 @@ SELECTS = {
     "bronze_partition_layout": """SELECT 'year=' || STRFTIME(created_at, '%Y') || '/month=' || STRFTIME(created_at, '%m')
         || '/day=' || STRFTIME(created_at, '%d') AS partition_path, COUNT(*) AS row_count FROM fx_orders GROUP BY 1""",
     "scan_csv_schema": "SELECT * FROM items",
+    # Header lines sort after the digits every data line starts with.
+    "scan_csv_preview": """SELECT CAST(item_id AS STRING) AS _c0, CAST(order_id AS STRING) AS _c1,
+        CAST(menu_id AS STRING) AS _c2, CAST(quantity AS STRING) AS _c3, CAST(price_per_item AS STRING) AS _c4,
+        CAST(subtotal AS STRING) AS _c5 FROM items ORDER BY 1, 2, 3, 4, 5, 6 LIMIT 5""",
     "silver_master_load": "SELECT * FROM fx_menu_master",
     "silver_outlet_load": "SELECT * FROM fx_outlet_master",
     "silver_partition_overwrite": f"""SELECT * REPLACE (CASE WHEN created_at = {_RUN_DAY} THEN UPPER(payment_method)

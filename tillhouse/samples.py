@@ -1,4 +1,7 @@
-"""Restaurant tables derived from the TPC-H-like test tables, with every kind of bad row in them."""
+"""Restaurant tables derived from the TPC-H-like test tables, with every kind of bad row in them.
+
+The frames are only plans; they are built once per session and folder and used by many queries.
+"""
 
 from __future__ import annotations
 
@@ -9,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillhouse.functions.dates import day_keys
-from tillhouse.layout import DAY_KEYS, days_between
+from tillhouse.layout import days_between
 from tillhouse.operators import quality
 from tillhouse.schemas import AMOUNT, PRICE
 
@@ -33,6 +36,7 @@ def _order_day(key: str) -> Column:
     return F.date_add(_first_day(), (F.col(key) % SPREAD_DAYS).cast("int"))
 
 
+@cache
 def outlet_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier, nation = _raw(spark, sf_dir, "supplier"), _raw(spark, sf_dir, "nation")
     residue = F.col("s_suppkey") % 5
@@ -50,6 +54,7 @@ def outlet_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@cache
 def menu_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = 1000 * (3 + F.col("p_partkey") % 20)
     residue = F.col("p_partkey") % 5
@@ -70,6 +75,7 @@ def menu_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@cache
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orphan menus, off-tier prices and repeated item ids included."""
     extra = F.when(F.col("l_quantity") == 50, 1).otherwise(3000 * (F.col("l_linenumber") % 4))
@@ -86,6 +92,7 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@cache
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wrong totals, orphan outlets, one busy cashier, odd payments and repeated orders included."""
     key = F.col("o_orderkey")
@@ -144,6 +151,7 @@ def source_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+@cache
 def silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with status and day keys, all days as one batch."""
     rows = orders(spark, sf_dir)
@@ -153,6 +161,7 @@ def silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@cache
 def silver_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = order_items(spark, sf_dir)
     return items.select("*", *day_keys(F.col("order_date"))).drop("order_date")
