@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import language, likelihood, packing, pieces, quality, token_counts
+from tillhouse.llm import language, likelihood, near_duplicates, packing, pieces, quality, repeats, token_counts
 from tillhouse.llm.common import remainder, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,11 @@ def op1_language_id(spark, sf_dir):
     return language.identify(documents, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@query
+def op2_near_duplicates(spark, sf_dir):
+    return near_duplicates.link(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
 @query
 def op3_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
@@ -47,6 +52,11 @@ def op8_sequence_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_repeated_passages(spark, sf_dir):
+    return repeats.remove(table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_line_quality(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
