@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.llm import language, likelihood, near_duplicates, packing, pieces, quality, repeats, token_counts
+from tillhouse.llm import language, licenses, likelihood, near_duplicates, neighbours, packing, pieces, quality, repeats, token_counts
 from tillhouse.llm.common import remainder, table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,11 +37,21 @@ def op3_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_license_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_piece_encoding(spark, sf_dir):
     return pieces.encode_and_decode(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_hilbert_neighbours(spark, sf_dir):
+    return neighbours.search(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op7_lattice_likelihood(spark, sf_dir):
     return likelihood.score(table(spark, sf_dir, "documents"))

@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 from xxhash import xxh3_128_digest
 
 from tillhouse.llm.common import BROADCAST_BYTES, map_rows, stored
@@ -318,3 +319,40 @@ def cut(raw: bytes, spans: list[dict] | None) -> tuple[bytes, int]:
         at = end
     kept.append(raw[at:])
     return b"".join(kept), len(gone)
+
+
+def strip(documents: DataFrame, length: int = LENGTH) -> DataFrame:
+    """The documents without the bytes that repeat, with all their columns; n_chars, if there is one, is counted again.
+
+    A character that loses some of its bytes goes as a whole. Documents with nothing left stay, with an empty text.
+    """
+    spans, small = _spans(documents, length)
+    key = "_text_hash"
+    while key in documents.columns:
+        key += "_"
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = pa.array([_text_hash(text) for text in batch.column("text").to_pylist()], type=pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, hashes], names=[*batch.schema.names, key])
+
+    def cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = batch.column(gone).to_pylist()
+            texts = batch.column("text").to_pylist()
+            for i, own in enumerate(found):
+                if own and texts[i]:
+                    texts[i] = cut(texts[i].encode(), own)[0].decode(errors="ignore")
+            new = {"text": pa.array(texts, type=batch.schema.field("text").type)}
+            if "n_chars" in batch.schema.names:
+                old = batch.column("n_chars").to_pylist()
+                kind = batch.schema.field("n_chars").type
+                new["n_chars"] = pa.array([len(t) if f and t is not None else n for t, f, n in zip(texts, found, old, strict=True)], type=kind)
+            names = documents_schema.names
+            yield pa.RecordBatch.from_arrays([new.get(name, batch.column(name)) for name in names], names=names)
+
+    documents_schema = documents.schema
+    gone = f"{key}_spans"
+    rows = documents.mapInArrow(hashed, StructType([*documents_schema.fields, StructField(key, BinaryType())]))
+    spans = spans.toDF(key, gone)
+    return rows.join(F.broadcast(spans) if small else spans, key, "left").drop(key).mapInArrow(cut_texts, documents_schema)
