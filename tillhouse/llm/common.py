@@ -88,14 +88,3 @@ def gathered(df: DataFrame, merge: Callable, schema: str) -> list:
         df = map_rows(df.repartition(parts), merge, schema)
     return df.collect()
 
-
-#: Rows of at most BROADCAST_BYTES / row bytes are broadcast; their number is counted first.
-BROADCAST_BYTES = 8 << 20
-
-
-def join_counted(left: DataFrame, right: DataFrame, on: list[str], how: str, row_bytes: int) -> DataFrame:
-    """Join with a stored table, broadcast only if its counted rows fit; else both sides are shuffled, and adaptive
-    execution splits hot keys of the left side."""
-    if right.count() * row_bytes <= BROADCAST_BYTES:
-        right = F.broadcast(right)
-    return left.join(right, on, how)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from tillhouse.llm.common import join_counted, lower_words, map_rows, stored
+from tillhouse.llm.common import lower_words, map_rows, stored
 from tillhouse.llm.graph import components
 
 BANDS, ROWS = 40, 6
@@ -161,8 +161,7 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, documents: DataFrame, width
     asked = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
     asked = stored(asked.join(classes, "cls").select("cls", F.col("doc_id").alias("asked_id")), "asked")
     texts = documents.select("doc_id", "text")
-    small = asked.count() * 64 <= 8 << 20
-    texts = texts.join(F.broadcast(asked) if small else asked, F.col("doc_id").eqNullSafe(F.col("asked_id")))
+    texts = texts.join(asked, F.col("doc_id").eqNullSafe(F.col("asked_id")))
 
     def sets_of(batches: Iterable[dict[str, list]]) -> Iterator[dict[str, list]]:
         for batch in batches:
@@ -243,7 +242,7 @@ def link(documents: DataFrame, width: int = SHINGLE, percent: int = PERCENT) ->
     bands = _bands(classes)
     met = bands.groupBy("key").agg(F.min("cls").alias("root"), F.count(F.lit(1)).alias("classes")).filter("classes > 1")
     roots = stored(met.select("key", "root"), "roots")
-    buckets = stored(join_counted(bands, roots, ["key"], "inner", 64), "buckets")
+    buckets = stored(bands.join(roots, "key"), "buckets")
     first = buckets.filter("cls <> root").select(F.col("root").alias("a"), F.col("cls").alias("b")).distinct()
     first = stored(_estimated(first, classes, percent), "pairs")
     links = stored(_confirmed(first, classes, documents, width, percent), "links")
@@ -259,7 +258,7 @@ def link(documents: DataFrame, width: int = SHINGLE, percent: int = PERCENT) ->
     smallest = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"), F.sum("members").alias("documents"))
     smallest = stored(smallest.filter("documents > 1").select("label", "component_id"), "smallest")
     named = stored(labelled.join(smallest, "label").select("cls", "component_id", F.lit(True).alias("grouped")), "named")
-    joined = join_counted(sketches.select("doc_id", "n", "cls"), named, ["cls"], "left", 64)
+    joined = sketches.select("doc_id", "n", "cls").join(named, "cls", "left")
     component = F.when(F.col("grouped"), F.col("component_id")).otherwise(F.col("doc_id"))
     return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
@@ -267,4 +266,4 @@ def link(documents: DataFrame, width: int = SHINGLE, percent: int = PERCENT) ->
 def keep_one(documents: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The documents with one of each group of near duplicates, with all their columns."""
     dropped = stored(link(documents, width, percent).filter(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct(), "dropped")
-    return join_counted(documents, dropped, ["doc_id"], "left_anti", 32)
+    return documents.join(dropped, "doc_id", "left_anti")

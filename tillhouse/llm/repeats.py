@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 from xxhash import xxh3_128_digest
 
-from tillhouse.llm.common import BROADCAST_BYTES, map_rows, stored
+from tillhouse.llm.common import map_rows, stored
 
 LENGTH = 400
 #: Bytes of a gram, as a share of the length; longer grams repeat less often by chance, shorter ones give fewer samples.
@@ -211,9 +211,10 @@ def covered(documents: DataFrame, length: int = LENGTH) -> tuple[DataFrame, Data
 
     found = stored(_samples_of(documents, length, gram), "samples")
     twice = stored(found.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name"), "names")
-    repeated = stored(found.join(twice, "name").distinct(), "repeated")
+    repeated = stored(found.join(twice, "name"), "repeated")
 
-    # one row per context: how many places have it, one of them
+    # one row per context: how many places have it, one of them. A text that occurs twice has its places twice
+    # here, but its contexts occur several times in any case
     groups = repeated.join(copied.withColumn("copied", F.lit(True)), "h", "left").groupBy("name", "context").agg(
         F.count(F.lit(1)).alias("places"),
         F.max(F.coalesce("copied", F.lit(False))).alias("copied"),
@@ -238,10 +239,8 @@ def _data_of(asked: DataFrame, texts: DataFrame, documents: DataFrame, length: i
     places = F.collect_list(F.struct("name", "context", "many", "contexts", "position", "first", "last"))
     wanted = asked.groupBy("h").agg(places.alias("places")).join(texts.select("h", "doc_id"), "h")
     wanted = stored(wanted.withColumnRenamed("doc_id", "asked_id"), "wanted")
-    # a context takes about 60 bytes here
-    small = asked.count() * 60 <= BROADCAST_BYTES
     rows = documents.filter(F.octet_length("text") >= length).select("doc_id", "text")
-    rows = rows.join(F.broadcast(wanted) if small else wanted, F.col("doc_id").eqNullSafe(F.col("asked_id")))
+    rows = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("asked_id")))
 
     def work(batches: Iterable[dict[str, list]]) -> Iterator[dict[str, list]]:
         for batch in batches:
@@ -272,26 +271,24 @@ def united(intervals: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _spans(documents: DataFrame, length: int) -> tuple[DataFrame, bool]:
-    """h, spans (intervals to remove) of texts that lose something, and whether the table may be broadcast."""
+def _spans(documents: DataFrame, length: int) -> DataFrame:
+    """h, spans (intervals to remove) of texts that lose something."""
     intervals, copied = covered(documents, length)
     spans = intervals.join(copied, "h", "left_anti").distinct().groupBy("h").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     whole = copied.select("h", F.array(F.struct(F.lit(0).cast("long").alias("start"), F.lit(-1).cast("long").alias("end"))).alias("spans"))
-    spans = stored(spans.unionByName(whole), "spans")
-    size = spans.agg(F.sum(32 + 16 * F.size("spans")).alias("bytes")).first().bytes or 0
-    return spans, size <= BROADCAST_BYTES
+    return stored(spans.unionByName(whole), "spans")
 
 
 def remove(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
-    spans, small = _spans(documents, length)
+    spans = _spans(documents, length)
 
     def hashed(batches: Iterable[dict[str, list]]) -> Iterator[dict[str, list]]:
         for batch in batches:
             yield batch | {"h": [_text_hash(text) for text in batch["text"]]}
 
     rows = map_rows(documents.select("doc_id", "text"), hashed, "doc_id long, text string, h binary")
-    rows = rows.join(F.broadcast(spans) if small else spans, "h", "left")
+    rows = rows.join(spans, "h", "left")
 
     def work(batches: Iterable[dict[str, list]]) -> Iterator[dict[str, list]]:
         for batch in batches:
@@ -326,7 +323,7 @@ def strip(documents: DataFrame, length: int = LENGTH) -> DataFrame:
 
     A character that loses some of its bytes goes as a whole. Documents with nothing left stay, with an empty text.
     """
-    spans, small = _spans(documents, length)
+    spans = _spans(documents, length)
     key = "_text_hash"
     while key in documents.columns:
         key += "_"
@@ -355,4 +352,4 @@ def strip(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     gone = f"{key}_spans"
     rows = documents.mapInArrow(hashed, StructType([*documents_schema.fields, StructField(key, BinaryType())]))
     spans = spans.toDF(key, gone)
-    return rows.join(F.broadcast(spans) if small else spans, key, "left").drop(key).mapInArrow(cut_texts, documents_schema)
+    return rows.join(spans, key, "left").drop(key).mapInArrow(cut_texts, documents_schema)
