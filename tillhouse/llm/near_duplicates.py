@@ -10,9 +10,11 @@ meet in none of 40 bands is 6e-9. Pairs that meet are dropped if their estimated
 that agree by chance, is more than five standard deviations below the threshold; all others are confirmed on full sets.
 
 No bucket is expanded into all its pairs. First each class is compared with the smallest class of its buckets;
-confirmed links give components. Only where a bucket still has classes of several components are these compared with each other,
-register by register inside the task, in blocks, and only pairs from different components that pass
-the estimate leave it. So every pair that meets is either confirmed, refuted, or in one component already.
+confirmed links give components. Only where a bucket still has classes of several components are these compared with
+each other, in blocks inside the tasks: first register by register, where a pair counts only in its first common
+band; what passes the estimate is compared on full sets, and each block hands on no more links than join its
+components. So every pair that meets is either confirmed, refuted, or in one component already, and no list of pairs
+is ever made.
 
 Defined results: a NULL text and one without words have the empty set, are linked with nothing and kept. Equal sets
 are linked. A component's id is its smallest non-null doc_id; a component without one has NULL and keeps its rows.
@@ -38,7 +40,7 @@ BANDS, ROWS = 40, 6
 REGISTERS = BANDS * ROWS
 MANTISSA = 10
 #: Members of a bucket that are compared with each other in one task.
-BLOCK = 512
+BLOCK = 1024
 #: Linked if 100 * intersection >= percent * union.
 SHINGLE, PERCENT = 5, 80
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x2545F4914F6CDD1D], dtype=np.uint64)
@@ -135,9 +137,13 @@ def _bands(classes: DataFrame) -> DataFrame:
         for batch in batches:
             if batch["cls"]:
                 keys = band_keys(np.frombuffer(b"".join(batch["registers"]), dtype="<u2").reshape(-1, REGISTERS))
-                yield {"key": keys.ravel(), "cls": np.repeat(np.array(batch["cls"], dtype=object), BANDS)}
+                yield {
+                    "key": keys.ravel(),
+                    "band": np.tile(np.arange(BANDS, dtype=np.int32), len(keys)),
+                    "cls": np.repeat(np.array(batch["cls"], dtype=object), BANDS),
+                }
 
-    return map_rows(classes.select("cls", "registers"), work, "key long, cls binary")
+    return map_rows(classes.select("cls", "registers"), work, "key long, band int, cls binary")
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -156,14 +162,10 @@ def _estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return map_rows(joined, work, "a binary, b binary")
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, documents: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the threshold. Texts are read again for the classes in question only."""
-    asked = pairs.select(F.col("a").alias("cls")).unionByName(pairs.select(F.col("b").alias("cls"))).distinct()
-    asked = stored(asked.join(classes, "cls").select("cls", F.col("doc_id").alias("asked_id")), "asked")
-    texts = documents.select("doc_id", "text")
-    texts = texts.join(asked, F.col("doc_id").eqNullSafe(F.col("asked_id")))
+def _sets(asked: DataFrame, documents: DataFrame, width: int) -> DataFrame:
+    """cls, hashes: the full sets of the classes asked for, from one document of each."""
 
-    def sets_of(batches: Iterable[dict[str, list]]) -> Iterator[dict[str, list]]:
+    def work(batches: Iterable[dict[str, list]]) -> Iterator[dict[str, list]]:
         for batch in batches:
             out: dict[str, list] = {"cls": [], "hashes": []}
             for text, cls in zip(batch["text"], batch["cls"], strict=True):
@@ -173,8 +175,13 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, documents: DataFrame, width
                     out["hashes"].append(hashes)
             yield out
 
-    sets = map_rows(texts.select("cls", "text"), sets_of, "cls binary, hashes binary")
-    sets = stored(sets, "sets")
+    # shuffled at every size: how many classes are asked for grows with the data
+    texts = documents.select("doc_id", "text").join(asked.hint("merge"), F.col("doc_id").eqNullSafe(F.col("asked_id")))
+    return map_rows(texts.select("cls", "text"), work, "cls binary, hashes binary").dropDuplicates(["cls"])
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the threshold."""
 
     def compare(batches: Iterable[dict[str, list]]) -> Iterator[dict[str, list]]:
         for batch in batches:
@@ -189,45 +196,91 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, documents: DataFrame, width
     return map_rows(joined, compare, "a binary, b binary")
 
 
-def _rest(buckets: DataFrame, roots: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that meet in a bucket, lie in different components and pass the estimate.
+def _open_blocks(buckets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """key, i, j, block, cls, label of the classes that may still be linked with one of another component.
 
-    buckets: key, cls, root (smallest class of the bucket, already compared with all others), label (component).
+    buckets: key, band, cls, root (smallest class of the bucket, already compared with all others), label (component).
+    Pairs of blocks i <= j of a bucket are looked at apart.
     """
     several = buckets.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members"))
-    several = stored(several.filter("low <> high").select("key", "members"), "open-buckets")
+    several = stored(several.filter("low <> high and members > 2").select("key", "members"), "open-buckets")
     open_ = buckets.join(several, "key").filter("cls <> root")  # pairs with the root are known
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     open_ = open_.join(classes.select("cls", "n", "registers"), "cls").select(
-        "key", "cls", "label", "n", "registers", blocks.alias("blocks"), F.pmod(F.xxhash64("cls"), blocks).cast("int").alias("block")
+        "key", "band", "cls", "label", "n", "registers", blocks.alias("blocks"), F.pmod(F.xxhash64("cls"), blocks).cast("int").alias("block")
     )
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     paired = open_.select("*", other.alias("other")).select(
-        "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "cls", "label", "n", "registers"
+        "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "band", "block", "cls", "label", "n", "registers"
     )
 
     def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         _, i, j = key
-        left = rows[rows.block == i].sort_values("cls")
-        right = rows[rows.block == j].sort_values("cls")
-        out: dict[str, list] = {"a": [], "b": []}
-        if len(left) and len(right):
-            registers = np.frombuffer(b"".join(right.registers), dtype="<u2").reshape(-1, REGISTERS)
-            labels, sizes, names = right.label.to_numpy(), right.n.to_numpy(), right.cls.to_numpy()
-            for cls, label, n, own in zip(left.cls, left.label, left.n, left.registers, strict=True):
-                apart = np.fromiter((x != label for x in labels), dtype=bool, count=len(labels))
-                if i == j:
-                    apart &= np.fromiter((x > cls for x in names), dtype=bool, count=len(names))
-                at = np.flatnonzero(apart)
+        rows = rows.sort_values("cls", ignore_index=True)
+        registers = np.frombuffer(b"".join(rows.registers), dtype="<u2").reshape(-1, REGISTERS)
+        labels, sizes, block, band = pd.factorize(rows.label)[0], rows.n.to_numpy(), rows.block.to_numpy(), int(rows.band.iloc[0])
+        taking_part = np.zeros(len(rows), dtype=bool)
+        for x in np.flatnonzero(block == i):
+            at = np.flatnonzero((labels != labels[x]) & (block == j))
+            if i == j:
+                at = at[at > x]
+            if len(at):
+                equal = registers[at] == registers[x]
+                near = passes(equal.mean(1), sizes[x], sizes[at], percent)
+                at, equal = at[near], equal[near]
+                first = equal.reshape(len(at), BANDS, ROWS).all(2).argmax(1)
+                at = at[first == band]
                 if len(at):
-                    agree = (registers[at] == np.frombuffer(own, dtype="<u2")).mean(1)
-                    for k in at[passes(agree, n, sizes[at], percent)]:
-                        a, b = sorted((cls, names[k]))
-                        out["a"].append(a)
-                        out["b"].append(b)
-        return pd.DataFrame(out)
+                    taking_part[x] = True
+                    taking_part[at] = True
+        return rows.loc[taking_part, ["key", "i", "j", "block", "cls", "label"]]
+
+    return paired.groupBy("key", "i", "j").applyInPandas(compare, "key long, i int, j int, block int, cls binary, label binary")
+
+
+def joining_links(sets: list[np.ndarray], labels: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links between members of `left` and `right` (positions) that join components: a spanning forest of all there are."""
+    parent = list(range(int(labels.max()) + 1)) if len(labels) else []
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    out: list[tuple[int, int]] = []
+    hashes = np.concatenate([sets[k] for k in right])
+    owners = np.repeat(np.arange(len(right)), [len(sets[k]) for k in right])
+    order = np.argsort(hashes, kind="stable")
+    hashes, owners = hashes[order], owners[order]
+    sizes = np.array([len(sets[k]) for k in right])
+    for x in left:
+        low, high = np.searchsorted(hashes, sets[x], "left"), np.searchsorted(hashes, sets[x], "right")
+        runs = high - low
+        at = np.repeat(low - np.concatenate([[0], np.cumsum(runs)[:-1]]), runs) + np.arange(runs.sum())
+        both = np.bincount(owners[at], minlength=len(right))
+        for k in right[100 * both >= percent * (len(sets[x]) + sizes - both)].tolist():
+            a, b = root(int(labels[x])), root(int(labels[k]))
+            if a != b:
+                parent[a] = b
+                out.append((int(x), k))
+    return out
+
+
+def _rest(open_blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between classes of different components, on full sets."""
+
+    def compare(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        _, i, j = key
+        rows = rows.sort_values("cls", ignore_index=True)
+        block, names = rows.block.to_numpy(), rows.cls.to_numpy()
+        hashes = [np.frombuffer(h, dtype=np.uint64) for h in rows.hashes]
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        links = joining_links(hashes, pd.factorize(rows.label)[0], left, right, percent) if len(left) and len(right) else []
+        pairs = [sorted((names[x], names[y])) for x, y in links]
+        return pd.DataFrame({"a": [a for a, _ in pairs], "b": [b for _, b in pairs]})
 
-    return paired.groupBy("key", "i", "j").applyInPandas(compare, "a binary, b binary").distinct()
+    return open_blocks.join(sets, "cls").groupBy("key", "i", "j").applyInPandas(compare, "a binary, b binary")
 
 
 def link(documents: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -243,13 +296,14 @@ def link(documents: DataFrame, width: int = SHINGLE, percent: int = PERCENT) ->
     met = bands.groupBy("key").agg(F.min("cls").alias("root"), F.count(F.lit(1)).alias("classes")).filter("classes > 1")
     roots = stored(met.select("key", "root"), "roots")
     buckets = stored(bands.join(roots, "key"), "buckets")
+    asked = stored(buckets.select("cls").distinct().join(classes, "cls").select("cls", F.col("doc_id").alias("asked_id")), "asked")
+    sets = stored(_sets(asked, documents, width), "sets")
     first = buckets.filter("cls <> root").select(F.col("root").alias("a"), F.col("cls").alias("b")).distinct()
-    first = stored(_estimated(first, classes, percent), "pairs")
-    links = stored(_confirmed(first, classes, documents, width, percent), "links")
+    links = stored(_confirmed(_estimated(first, classes, percent), sets, percent), "links")
     found = stored(components(links).toDF("cls", "label"), "components")
     labelled = buckets.join(found, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-    rest = stored(_rest(labelled, roots, classes, percent), "pairs")
-    more = stored(_confirmed(rest, classes, documents, width, percent), "links")
+    open_blocks = stored(_open_blocks(stored(labelled, "labelled"), classes, percent), "open-blocks")
+    more = stored(_rest(open_blocks, sets, percent), "links")
     if not more.isEmpty():
         found = stored(components(links.unionByName(more)).toDF("cls", "label"), "components")
 
