@@ -76,7 +76,7 @@ def test_config_file(tmp_path):
 
 def test_shuffle_width():
     assert shuffle_partitions(10, 200) == 200
-    assert shuffle_partitions(100 * 1024**4, 200) == 32768
+    assert shuffle_partitions(100 * 1024**4, 200) == 409_600
     assert shuffle_partitions(1024**4, 200) == 4096
 
 
@@ -146,11 +146,37 @@ def test_missing_days_are_empty(spark, tmp_path, schema):
 def test_partitions_are_pruned(spark, tmp_path, schema):
     path = str(tmp_path / "t")
     tables.write_days(keyed(spark, (1, "2026", "03", "01"), (2, "2026", "03", "02")), path, [D1, D2])
-    assert len(tables.read_partitioned(spark, path, schema, [D2]).inputFiles()) >= 1
+    assert "PartitionFilters: [(concat_ws" in plan_of(tables.read_partitioned(spark, path, schema, [D2]))
     assert keys_by_day(tables.read_partitioned(spark, path, schema, [D2])) == [("02", 2)]
     assert all("day=02" in name for name in tables.read_day_files(spark, path, schema, [D2]).inputFiles())
 
 
+def test_days_with_a_gap_leave_the_gap_alone(spark, tmp_path, schema):
+    path = str(tmp_path / "t")
+    three = [(1, "2026", "03", "01"), (2, "2026", "03", "02"), (3, "2026", "03", "03")]
+    tables.write_days(keyed(spark, *three), path, [D1, D2, D3])
+    tables.write_days(keyed(spark, *[(k + 10, *rest) for k, *rest in three]), path, [D1, D3])
+    assert keys_by_day(tables.read_partitioned(spark, path, schema)) == [("01", 11), ("02", 2), ("03", 13)]
+    assert keys_by_day(tables.read_partitioned(spark, path, schema, [D1, D3])) == [("01", 11), ("03", 13)]
+
+
+def test_one_large_day_is_split_and_one_small_day_is_one_file(spark, tmp_path):
+    rows = spark.range(0, 1000, 1, 8).selectExpr("id", "'2026' AS year", "'03' AS month", "'01' AS day")
+    tables.write_days(rows, str(tmp_path / "t"), [D1])
+    assert len(list(tmp_path.glob("t/year=2026/month=03/day=01/part-*"))) == 1
+
+
+def test_line_breaks_survive_the_raw_layer(spark, tmp_path):
+    odd = ["a\nb", "c\r\nd", 'e "f"\n,g', "back\\slash\\n", "\\", None]
+    rows = spark.createDataFrame([(n, 1, 1, Decimal("1.00"), text, datetime(2026, 3, 1)) for n, text in enumerate(odd)], ORDERS)
+    bronze.write_transactions(rows, ORDERS.fieldNames(), str(tmp_path / "days"), [D1])
+    found = bronze.read_transactions(spark, str(tmp_path / "days"), ORDERS, [D1])
+    assert [row.payment_method for row in found.orderBy("order_id").collect()] == odd
+    bronze.write_master(rows, str(tmp_path / "flat"))
+    flat = bronze.read_master(spark, str(tmp_path / "flat"), ORDERS)
+    assert [row.payment_method for row in flat.orderBy("order_id").collect()] == odd
+
+
 def test_insert_if_absent(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.write_table(spark.createDataFrame([(1, "old")], "k int, v string"), path)
@@ -223,12 +249,11 @@ def state(spark, layout):
     found = {}
     for name, schema in (("orders", SILVER_ORDERS), ("order_items", ORDER_ITEMS)):
         found[name] = sorted(map(str, tables.read_partitioned(spark, f"{layout.silver}/{name}", schema).collect()))
-    for rule in ("orphan_items", "invalid_payments", "invalid_prices", "orders_discrepancies"):
-        schema = SILVER_ORDERS if "o" == rule[0] and "orders" in rule else None
-        try:
-            found[rule] = sorted(map(str, spark.read.parquet(f"{layout.quarantine}/{rule}").collect()))
-        except Exception:  # no day of the table has rows
-            found[rule] = []
+    rules = "orphan_items invalid_payments invalid_prices orders_discrepancies duplicate_orders anomaly_cashiers"
+    for rule in rules.split():
+        path = f"{layout.quarantine}/{rule}"
+        rows = spark.read.parquet(path).collect() if tables.every_stored_day(spark, path) else []
+        found[rule] = sorted(map(str, rows))
     found["fact"] = sorted(map(str, runs.read_fact(spark, layout).collect()))
     for name in ("dim_menu", "dim_outlet", "dim_date"):
         found[name] = sorted(map(str, spark.read.parquet(f"{layout.gold}/{name}").collect()))
@@ -270,6 +295,44 @@ def test_daily_chain(spark, tmp_path):
     assert len(after["fact"]) == 4
 
 
+def test_run_of_days_with_a_gap(spark, tmp_path):
+    layout = Layout.under(str(tmp_path / "gap"))
+    runs.run_days(spark, shop(spark, ORDER_ROWS, ITEM_ROWS), layout, [D1, D2, D3])
+    before = state(spark, layout)
+    doubled = [(o, str(2 * Decimal(t)), p, d) for o, t, p, d in ORDER_ROWS]
+    runs.run_days(spark, shop(spark, doubled, ITEM_ROWS), layout, [D1, D3])
+    after = state(spark, layout)
+    middle = [row for row in before["orders"] if "day='02'" in row]
+    assert len(middle) == 2 and [row for row in after["orders"] if "day='02'" in row] == middle
+    assert before["orders"] != after["orders"]
+
+
+def test_clean_days_list_every_rule(spark, tmp_path):
+    layout = Layout.under(str(tmp_path / "clean"))
+    runs.extract(spark, shop(spark, ORDER_ROWS[:1], ITEM_ROWS[:1]), layout, [D1, D2])
+    counts = runs.load_silver(spark, layout, [D1, D2]).collect()
+    assert len(counts) == 18 and {row.violations for row in counts} == {0}
+
+
+def test_run_after_the_default_calendar(spark, tmp_path):
+    layout = Layout.under(str(tmp_path / "later"))
+    data = shop(spark, [(1, "10.00", "Cash", "2027-01-05 09:00:00")], ITEM_ROWS[:1])
+    summary = runs.run_days(spark, data, layout, [date(2027, 1, 5)], calendar_end="2027-12-31")
+    assert all(row.status != "fail" for row in summary.collect())
+    assert runs.read_fact(spark, layout).count() == 1
+
+
+def test_shuffles_are_sized_before_the_extract(spark, tmp_path, monkeypatch):
+    seen = []
+    monkeypatch.setattr(runs, "size_shuffles", lambda _, size: seen.append(("size", size)))
+    monkeypatch.setattr(runs, "extract", lambda *_: seen.append("extract") or (_ for _ in ()).throw(KeyboardInterrupt))
+    data = shop(spark, ORDER_ROWS, ITEM_ROWS)
+    data.size_bytes = lambda: 7
+    with pytest.raises(KeyboardInterrupt):
+        runs.run_days(spark, data, Layout.under(str(tmp_path)), [D1])
+    assert seen == [("size", 7), "extract"]
+
+
 def test_day_without_orders(spark, tmp_path):
     layout = Layout.under(str(tmp_path / "empty"))
     nothing = shop(spark, ORDER_ROWS, ITEM_ROWS)
@@ -308,6 +371,17 @@ def test_stream_takes_each_file_once(spark, tmp_path):
         assert sorted(row.order_id for row in intake.read_landed(spark, landed, ORDERS).collect()) == [1, 2, 3, 4]
 
 
+def test_stream_replaces_a_day_that_is_run_again(spark, tmp_path):
+    raw, landed, checkpoint = (str(tmp_path / name) for name in ("raw", "landed", "checkpoint"))
+    data, names = shop(spark, ORDER_ROWS, ITEM_ROWS), ORDERS.fieldNames()
+    bronze.write_transactions(data.orders(D1, D3), names, raw, [D1, D2, D3])
+    intake.ingest_arrivals(spark, raw, ORDERS, landed, checkpoint)
+    bronze.write_transactions(data.orders(D2, D2), names, raw, [D2])
+    bronze.write_transactions(data.orders(D1, D1).limit(0), names, raw, [D1])
+    intake.ingest_arrivals(spark, raw, ORDERS, landed, checkpoint)
+    assert sorted(row.order_id for row in intake.read_landed(spark, landed, ORDERS).collect()) == [2, 3, 4]
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

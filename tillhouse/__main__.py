@@ -6,7 +6,8 @@ import argparse
 import logging
 import os
 
-from tillhouse.layout import Layout, resolve_days, storage_section
+from tillhouse.functions.fixed_values import CALENDAR_END
+from tillhouse.layout import Layout, lookback_days, parse_day, resolve_days, storage_section
 from tillhouse.plans.runs import run_days
 from tillhouse.session import get_spark
 from tillhouse.sources.source import JdbcSource, ParquetSource
@@ -21,6 +22,9 @@ def arguments() -> argparse.ArgumentParser:
     source.add_argument("--source", help="folder with one Parquet table per source table")
     source.add_argument("--jdbc-url", help="till database; user and password come from TILL_DB_USER and TILL_DB_PASSWORD")
     parser.add_argument("--readers", type=int, default=8, help="parallel database readers")
+    parser.add_argument("--lookback", type=int, default=0, help="days before each day that its late rows may belong to")
+    parser.add_argument("--calendar-end", default=CALENDAR_END, help="last day of dim_date")
+    parser.add_argument("--normalize-tier", action="store_true", help="read 'Tier 1' as 1")
     parser.add_argument("--root", help="one folder for all layers")
     parser.add_argument("--config", help="YAML or JSON file with a storage section")
     for layer in ("bronze", "silver", "quarantine", "gold"):
@@ -49,7 +53,11 @@ def main(argv: list[str] | None = None) -> None:
         source = JdbcSource(spark, options.jdbc_url, login, options.readers)
     else:
         source = ParquetSource(spark, options.source)
-    results = run_days(spark, source, layout, days).collect()
+    days = sorted({late for day in days for late in lookback_days(day, options.lookback)})
+    calendar_end = parse_day(options.calendar_end).isoformat()
+    results = run_days(
+        spark, source, layout, days, calendar_end=calendar_end, normalize_tier=options.normalize_tier
+    ).collect()
     for row in results:
         print(f"{row.status:5} {row.violations:>8} {row.test_name}")
     if any(row.status == "fail" for row in results):

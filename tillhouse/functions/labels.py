@@ -48,6 +48,11 @@ def payment_invalid(method: Column) -> Column:
     return ~method.isin(fixed.PAYMENT_METHODS)
 
 
+def total_differs(total: Column, calculated: Column) -> Column:
+    """NULL, hence not true, for an order without items."""
+    return total != calculated
+
+
 def price_valid(price: Column, *allowed: Column) -> Column:
     """Three-valued: NULL when the menu row is missing."""
     matches = price == allowed[0]

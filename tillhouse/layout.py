@@ -94,6 +94,22 @@ def lookback_days(day: date, lag: int = 2) -> list[date]:
     return days_between(day - timedelta(days=lag), day)
 
 
+def stretches(days: list[date]) -> list[tuple[date, date]]:
+    """First and last day of each run of days without a gap."""
+    out: list[tuple[date, date]] = []
+    for day in sorted(set(days)):
+        if out and out[-1][1] + timedelta(days=1) == day:
+            out[-1] = (out[-1][0], day)
+        else:
+            out.append((day, day))
+    return out
+
+
+def day_values(day: date) -> tuple[str, str, str]:
+    """Partition keys of a day."""
+    return f"{day.year}", f"{day.month:02d}", f"{day.day:02d}"
+
+
 def partition_text(day: date) -> str:
     return f"year={day.year}/month={day.month:02d}/day={day.day:02d}"
 

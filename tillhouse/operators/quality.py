@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.functions.fixed_values import OUTLIER_DEVIATIONS
-from tillhouse.functions.labels import order_status, payment_invalid, price_valid
+from tillhouse.functions.labels import order_status, payment_invalid, price_valid, total_differs
 from tillhouse.operators.skew import ROWS_PER_SPLIT, split_hot_join
 from tillhouse.schemas import AMOUNT_SUM
 
@@ -49,9 +49,7 @@ def orders_without_items(orders_with_totals: DataFrame) -> DataFrame:
 
 def order_discrepancies(orders_with_totals: DataFrame) -> DataFrame:
     """Total differs from the item sum; orders without items are not in it."""
-    return orders_with_totals.filter(
-        F.col("calculated_total").isNotNull() & (F.col("total_amount") != F.col("calculated_total"))
-    )
+    return orders_with_totals.filter(total_differs(F.col("total_amount"), F.col("calculated_total")))
 
 
 def orphans(df: DataFrame, master: DataFrame, key: str) -> DataFrame:
@@ -133,18 +131,22 @@ def cashier_outliers(
 
 
 def rule_counts(
-    orders_with_totals: DataFrame, bad: DataFrame, found: Mapping[str, DataFrame], scope: Sequence[str] = ()
+    orders_with_totals: DataFrame,
+    bad: DataFrame,
+    found: Mapping[str, DataFrame],
+    scope: Sequence[str] = (),
+    batches: DataFrame | None = None,
 ) -> DataFrame:
     """Violations per rule and batch, as rows (scope..., rule, violations).
 
     The rules on a single order share one pass, so do the rules on a single item; found
-    holds the rows other rules have found. A single batch lists every rule; many batches
-    list only the rules they break.
+    holds the rows other rules have found. Every batch lists every rule, also those that
+    found nothing; batches holds the scope columns of all batches, needed where there is a scope.
     """
     totals, calculated = F.col("total_amount"), F.col("calculated_total")
     order_rules = orders_with_totals.groupBy(*scope).agg(
         F.count_if(calculated.isNull()).alias("orders_without_items"),
-        F.count_if(calculated.isNotNull() & (totals != calculated)).alias("orders_discrepancies"),
+        F.count_if(total_differs(totals, calculated)).alias("orders_discrepancies"),
         F.count_if(payment_invalid(F.col("payment_method"))).alias("invalid_payments"),
         F.count_if(F.col("payment_method").isNull()).alias("null_payments"),
     )
@@ -156,7 +158,13 @@ def rule_counts(
         rows.groupBy(*scope).agg(F.count(F.lit(1)).alias(rule)) for rule, rows in found.items()
     ]
     combined = reduce(DataFrame.unionByName, [_as_rules(df, scope) for df in (order_rules, item_rules, *others)])
-    return combined.filter(F.col("violations") > 0) if scope else combined
+    if not scope:
+        return combined
+    counted = (order_rules, item_rules, *others)
+    rules = [name for df in counted for name in df.columns if name not in scope]
+    grid = batches.select(*scope, F.explode(F.array(*map(F.lit, rules))).alias("rule"))
+    violations = F.coalesce("violations", F.lit(0)).alias("violations")
+    return grid.join(combined, [*scope, "rule"], "left").select(*scope, "rule", violations)
 
 
 def _as_rules(df: DataFrame, scope: Sequence[str]) -> DataFrame:

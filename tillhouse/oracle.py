@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tillhouse.samples import FIRST_DAY, LAST_DAY
+
 VIEWS = {
     "fx_outlet_master": """
 SELECT CAST(s.s_suppkey AS INT) AS outlet_id, s.s_name AS outlet_name, n.n_name AS city,
@@ -284,6 +286,20 @@ _DAY_KEYS_OF = """CAST(EXTRACT(year FROM created_at) AS STRING) AS year,
        LPAD(CAST(EXTRACT(month FROM created_at) AS STRING), 2, '0') AS month,
        LPAD(CAST(EXTRACT(day FROM created_at) AS STRING), 2, '0') AS day"""
 
+_RULE_NAMES = (
+    "orders_without_items orders_discrepancies invalid_payments null_payments orphan_items invalid_prices "
+    "duplicate_orders anomaly_cashiers orphan_orders"
+).split()
+
+
+def _rules_on(days: str) -> str:
+    """Violations of every rule on each of the days."""
+    names = ", ".join(f"('{name}')" for name in _RULE_NAMES)
+    return f"""SELECT {_DAY_KEYS_OF}, rule, (SELECT COUNT(*) FROM source_rules s
+        WHERE s.created_at = g.created_at AND s.rule = g.rule) AS violations
+        FROM (SELECT d.created_at, r.rule FROM ({days}) d, (VALUES {names}) r(rule)) g"""
+
+
 _DIM_DATE = """
 SELECT date, CAST(EXTRACT(year FROM date) AS INT) AS year, CAST(EXTRACT(month FROM date) AS INT) AS month,
        CAST(EXTRACT(day FROM date) AS INT) AS day, CAST(EXTRACT(quarter FROM date) AS INT) AS quarter,
@@ -400,10 +416,18 @@ SELECTS = {
     ),
     "test_constraints": _constraints(),
     "test_summary": _tests(),
-    "silver_day_run": f"""SELECT {_DAY_KEYS_OF}, rule, COUNT(*) AS violations FROM source_rules
-        WHERE created_at = {_RUN_DAY} GROUP BY created_at, rule""",
-    "backfill_run": f"""SELECT {_DAY_KEYS_OF}, rule, COUNT(*) AS violations FROM source_rules
-        GROUP BY created_at, rule""",
+    "silver_day_run": _rules_on(f"SELECT {_RUN_DAY} AS created_at"),
+    "backfill_run": _rules_on(
+        f"SELECT CAST(UNNEST(GENERATE_SERIES(DATE '{FIRST_DAY}', DATE '{LAST_DAY}', INTERVAL 1 DAY)) AS DATE) AS created_at"
+    ),
+    "backfill_gap_days": f"""{_SILVER_DAYS} WHERE created_at BETWEEN DATE '2026-04-29' AND {_RUN_DAY}
+        AND (created_at <> DATE '2026-04-30' OR payment_method IS NULL OR payment_method <> 'GoPay')""",
+    "csv_odd_text": """SELECT * REPLACE (payment_method || CHR(10) || '"x\\n", ' || CHR(13) || '\\' AS payment_method)
+        FROM fx_orders""",
+    "stream_rerun_day": f"""SELECT * REPLACE (CASE WHEN created_at = {_RUN_DAY} THEN UPPER(payment_method)
+        ELSE payment_method END AS payment_method), {_DAY_KEYS_OF} FROM fx_orders""",
+    "run_dim_menu": _DIM_MENU + "(SELECT *, CAST(NULL AS DATE) AS valid_to FROM fx_menu_master)",
+    "run_dim_outlet": _dim_outlet("(SELECT *, CAST(NULL AS DATE) AS valid_to FROM fx_outlet_master)", "region_tier"),
     "late_lookback": f"{_SILVER_DAYS} WHERE created_at BETWEEN DATE '2026-04-29' AND {_RUN_DAY}",
     "daily_run": f"""SELECT i.item_id, i.order_id, i.menu_id, i.quantity, i.price_per_item, i.subtotal, o.outlet_id,
         o.cashier_id, o.total_amount, o.payment_method, o.created_at AS order_date, o.created_at,

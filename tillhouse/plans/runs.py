@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from datetime import date
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tillhouse.functions.dates import recent
-from tillhouse.layout import Layout, day_path
+from tillhouse.functions.fixed_values import CALENDAR_END
+from tillhouse.layout import Layout, day_path, stretches
 from tillhouse.operators import checks, history
 from tillhouse.plans import gold, silver
 from tillhouse.schemas import FACT, MASTERS, ORDER_ITEMS, PRIMARY_KEYS, SILVER_ORDERS, TRANSACTIONS
@@ -33,7 +34,9 @@ def extract(spark: SparkSession, source, layout: Layout, days: list[date]) -> No
     def transactions(name: str) -> None:
         scan = source.orders if name == "orders" else source.items
         columns = TRANSACTIONS[name].fieldNames()
-        bronze.write_transactions(scan(days[0], days[-1]), columns, f"{layout.bronze}/{name}", days)
+        # one range per stretch of days: what lies in a gap between them is not read
+        rows = reduce(DataFrame.unionByName, [scan(first, last) for first, last in stretches(days)])
+        bronze.write_transactions(rows, columns, f"{layout.bronze}/{name}", days)
 
     jobs = [*(partial(master, name) for name in MASTERS), *(partial(transactions, name) for name in TRANSACTIONS)]
     run_together(spark, jobs)
@@ -79,17 +82,24 @@ def refresh_history(spark: SparkSession, layout: Layout, table: str, master: Dat
     return read_history(spark, layout, table)
 
 
-def build_gold(spark: SparkSession, layout: Layout, days: list[date], masters: dict[str, DataFrame]) -> None:
+def build_gold(
+    spark: SparkSession,
+    layout: Layout,
+    days: list[date],
+    masters: dict[str, DataFrame],
+    calendar_end: str = CALENDAR_END,
+    normalize_tier: bool = False,
+) -> None:
     def menu() -> None:
         stored = refresh_history(spark, layout, "menu_master", masters["menu_master"])
         tables.write_table(gold.dim_menu(stored), f"{layout.gold}/dim_menu")
 
     def outlet() -> None:
         stored = refresh_history(spark, layout, "outlet_master", masters["outlet_master"])
-        tables.write_table(gold.dim_outlet(stored), f"{layout.gold}/dim_outlet")
+        tables.write_table(gold.dim_outlet(stored, normalize_tier), f"{layout.gold}/dim_outlet")
 
     def dates() -> None:
-        tables.write_table(gold.calendar(spark), f"{layout.gold}/dim_date")
+        tables.write_table(gold.calendar(spark, end=calendar_end), f"{layout.gold}/dim_date")
 
     def fact() -> None:
         orders = tables.read_day_files(spark, f"{layout.silver}/orders", SILVER_ORDERS, days)
@@ -143,19 +153,31 @@ def load_silver(spark: SparkSession, layout: Layout, days: list[date]) -> DataFr
     return silver.load_days(spark, layout, days, masters, fresh_dir(spark, "silver"))
 
 
-def run_days(spark: SparkSession, source, layout: Layout, days: list[date], as_of: date | None = None) -> DataFrame:
-    """The daily chain over a run of consecutive days; returns the test summary.
+def run_days(
+    spark: SparkSession,
+    source,
+    layout: Layout,
+    days: list[date],
+    as_of: date | None = None,
+    calendar_end: str = CALENDAR_END,
+    normalize_tier: bool = False,
+) -> DataFrame:
+    """The daily chain over any days; returns the test summary.
 
     A backfill is the same plan with more days: there is no loop over them. Running it
-    again gives the same state.
+    again gives the same state, and days that are not named stay as they are.
+    calendar_end is the last day of dim_date; the fact's days must lie before it.
     """
     configure(spark)
+    size_shuffles(spark, source.size_bytes())
     extract(spark, source, layout, days)
     raw_folders = [day_path(f"{layout.bronze}/{name}", day) for name in TRANSACTIONS for day in days]
     size_shuffles(spark, sum(stored_bytes(spark, folder) for folder in raw_folders))
     masters = silver.load_masters(spark, layout)
     work = fresh_dir(spark, "run")
-    silver.load_days(spark, layout, days, masters, work)
-    discard(spark, work)
-    build_gold(spark, layout, days, masters)
-    return run_tests(spark, layout, as_of or days[-1])
+    try:
+        silver.load_days(spark, layout, days, masters, work)
+    finally:
+        discard(spark, work)
+    build_gold(spark, layout, days, masters, calendar_end, normalize_tier)
+    return run_tests(spark, layout, as_of or max(days))

@@ -9,7 +9,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillhouse.layout import DAY_KEYS, Layout
+from tillhouse.layout import DAY_KEYS, Layout, day_values
 from tillhouse.operators import quality
 from tillhouse.schemas import (
     BAD_ITEMS,
@@ -100,7 +100,8 @@ def load_days(
         for rule, schema in GROUP_RULES.items()
     }
     found["orphan_orders"] = quality.orphans(checked, outlets, "outlet_id")
-    rows = quality.rule_counts(checked, bad_items, found, DAY_KEYS)
+    batches = spark.createDataFrame([day_values(day) for day in days], DAY_KEYS)
+    rows = quality.rule_counts(checked, bad_items, found, DAY_KEYS, batches)
     tables.write_table(rows, f"{work}/rule_counts")
     discard(spark, f"{work}/orders")
     discard(spark, f"{work}/bad_items")

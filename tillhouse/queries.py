@@ -183,7 +183,8 @@ def catalog_external_table(spark, sf_dir):
     path = fresh_dir(spark, "silver-orders")
     rows = _in_time(samples.silver_orders(spark, sf_dir))
     tables.write_days(rows, path, samples.ALL_DAYS)
-    name = f"silver_orders_{path.rsplit('-', 1)[1]}"
+    name = "sample_silver_orders"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
     catalog.create_external_table(spark, name, SILVER_ORDERS, path, by_day=True)
     catalog.recover_partitions(spark, name)
     return (
@@ -566,6 +567,40 @@ def late_lookback(spark, sf_dir):
     return _dated(tables.read_partitioned(spark, f"{layout.silver}/orders", SILVER_ORDERS))
 
 
+@query
+def backfill_gap_days(spark, sf_dir):
+    """Three days are stored without their GoPay orders, then the first and the last are run again with all."""
+    layout = _layout(spark, "gap")
+    days = lookback_days(RUN_DAY)
+    complete = samples.source_tables(spark, sf_dir)
+    late = F.coalesce(F.col("payment_method") == "GoPay", F.lit(False))
+    early = source.FrameSource({**complete, "orders": complete["orders"].filter(~late)})
+    runs.extract(spark, early, layout, days)
+    runs.load_silver(spark, layout, days)
+    again = [days[0], days[2]]
+    runs.extract(spark, source.FrameSource(complete), layout, again)
+    runs.load_silver(spark, layout, again)
+    return _dated(tables.read_partitioned(spark, f"{layout.silver}/orders", SILVER_ORDERS))
+
+
+@query
+def run_dim_menu(spark, sf_dir):
+    """The menu dimension as a run stores it."""
+    return _stored_dimension(spark, sf_dir, "dim_menu")
+
+
+@query
+def run_dim_outlet(spark, sf_dir):
+    """The outlet dimension as a run stores it."""
+    return _stored_dimension(spark, sf_dir, "dim_outlet")
+
+
+def _stored_dimension(spark, sf_dir, name):
+    layout = _layout(spark, "dims")
+    runs.run_days(spark, _source(spark, sf_dir), layout, [RUN_DAY])
+    return _dated(spark.read.parquet(f"{layout.gold}/{name}"))
+
+
 @query
 def daily_run(spark, sf_dir):
     """One day from source to gold: the stored fact."""
@@ -574,6 +609,28 @@ def daily_run(spark, sf_dir):
     return _dated(runs.read_fact(spark, layout))
 
 
+@query
+def csv_odd_text(spark, sf_dir):
+    """Payment methods with quotes, backslashes and line breaks, through the raw layer of transactions."""
+    path = f"{fresh_dir(spark, 'odd')}/orders"
+    rows = _source(spark, sf_dir).table("orders")
+    odd = rows.withColumn("payment_method", F.concat("payment_method", F.lit('\n"x\\n", \r\\')))
+    bronze.write_transactions(odd, ORDERS.fieldNames(), path, samples.ALL_DAYS)
+    return _dated(bronze.read_transactions(spark, path, ORDERS, samples.ALL_DAYS).drop(*DAY_KEYS))
+
+
+@query
+def stream_rerun_day(spark, sf_dir):
+    """All days arrive, then one day arrives again with its payments in capitals."""
+    path = _bronze_orders(spark, sf_dir, "stream")
+    landed, checkpoint = fresh_dir(spark, "landed"), fresh_dir(spark, "stream-checkpoint")
+    intake.ingest_arrivals(spark, path, ORDERS, landed, checkpoint)
+    again = _source(spark, sf_dir).orders(RUN_DAY, RUN_DAY).withColumn("payment_method", F.upper("payment_method"))
+    bronze.write_transactions(again, ORDERS.fieldNames(), path, [RUN_DAY])
+    intake.ingest_arrivals(spark, path, ORDERS, landed, checkpoint)
+    return _dated(intake.read_landed(spark, landed, ORDERS))
+
+
 @query
 def stream_bronze_ingest(spark, sf_dir):
     path = _bronze_orders(spark, sf_dir, "stream")

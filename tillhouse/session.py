@@ -33,7 +33,6 @@ OBJECT_STORE_SETTINGS = {
 }
 
 SHUFFLE_BYTES = 256 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 32768
 
 
 def get_spark(app: str = "tillhouse", master: str | None = None, paths: tuple[str, ...] = ()) -> SparkSession:
@@ -58,7 +57,7 @@ def configure(spark: SparkSession) -> SparkSession:
 def shuffle_partitions(input_bytes: int, configured: int) -> int:
     """Partitions to start a shuffle with; adaptive execution merges small ones afterwards."""
     wanted = math.ceil(input_bytes / SHUFFLE_BYTES)
-    return max(configured, min(wanted, MAX_SHUFFLE_PARTITIONS))
+    return max(configured, wanted)
 
 
 def size_shuffles(spark: SparkSession, input_bytes: int) -> int:

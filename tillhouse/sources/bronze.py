@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from tillhouse.functions.dates import day_keys
 from tillhouse.functions.fixed_values import NULL_TEXT
@@ -14,6 +16,11 @@ from tillhouse.layout import DAY_KEYS
 from tillhouse.sources.source import as_text
 from tillhouse.sources.tables import read_day_files, write_days
 
+# Masters are small, so a line break in a value may cost their files' splitting. In transactions it is written as
+# two characters, and so is the backslash that marks it.
+MASTER_OPTIONS = {"multiLine": "true"}
+ESCAPES = (("\\", "\\s"), ("\n", "\\n"), ("\r", "\\r"))
+
 # Quotes inside a value are doubled, NULL is written out as text.
 CSV_OPTIONS = {"header": "true", "nullValue": NULL_TEXT, "escape": '"'}
 
@@ -24,17 +31,29 @@ def write_master(df: DataFrame, path: str) -> None:
 
 def write_transactions(df: DataFrame, columns: list[str], path: str, days: list[date]) -> None:
     """Split by the day of created_at, which items carry from their order."""
-    keyed = df.select(*df.columns, *day_keys(F.col("created_at")))
+    keyed = _replaced(df, ESCAPES).select("*", *day_keys(F.col("created_at")))
     write_days(as_text(keyed.select(*columns, *DAY_KEYS)), path, days, fmt="csv", options=CSV_OPTIONS)
 
 
 def read_master(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    return spark.read.schema(schema).options(**CSV_OPTIONS, **MASTER_OPTIONS).csv(path)
 
 
 def read_transactions(spark: SparkSession, path: str, schema: StructType, days: list[date]) -> DataFrame:
     """Rows of the given days; days without files are skipped with a warning."""
-    return read_day_files(spark, path, schema, days, fmt="csv", options=CSV_OPTIONS)
+    rows = read_day_files(spark, path, schema, days, fmt="csv", options=CSV_OPTIONS)
+    return _replaced(rows, [(code, text) for text, code in reversed(ESCAPES)])
+
+
+def _replaced(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """All text columns but the day keys, with each pair replaced in order."""
+
+    def column(field: StructField) -> Column:
+        if field.dataType.typeName() != "string" or field.name in DAY_KEYS:
+            return F.col(field.name)
+        return reduce(lambda text, pair: F.replace(text, *map(F.lit, pair)), pairs, F.col(field.name)).alias(field.name)
+
+    return df.select(*[column(field) for field in df.schema])
 
 
 def preview(spark: SparkSession, path: str, rows: int = 5) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillhouse.functions.dates import within
 from tillhouse.schemas import TABLES
+from tillhouse.session import stored_bytes
 
 
 class FrameSource:
@@ -17,6 +18,10 @@ class FrameSource:
     def __init__(self, frames: dict[str, DataFrame]):
         self.frames = frames
 
+    def size_bytes(self) -> int:
+        """Bytes to size shuffles after; 0 where they are not known."""
+        return 0
+
     def table(self, name: str) -> DataFrame:
         return self.frames[name].select(*TABLES[name].fieldNames())
 
@@ -32,13 +37,18 @@ class ParquetSource(FrameSource):
 
     def __init__(self, spark: SparkSession, root: str):
         super().__init__({name: spark.read.parquet(f"{root}/{name}") for name in TABLES})
+        self.spark, self.root = spark, root
+
+    def size_bytes(self) -> int:
+        return stored_bytes(self.spark, self.root)
 
 
 def jdbc_options(
     url: str, query: str, column: str | None = None, start: str = "", end: str = "", readers: int = 1
 ) -> dict[str, str]:
     """Reader options; with a column the scan is split into that many ranges of it."""
-    options = {"url": url, "dbtable": f"({query}) AS scan", "fetchsize": "10000"}
+    # times stay as the database shows them, whatever zone the JVM is in
+    options = {"url": url, "dbtable": f"({query}) AS scan", "fetchsize": "10000", "preferTimestampNTZ": "true"}
     if column and readers > 1:
         options.update(
             partitionColumn=column, lowerBound=start, upperBound=end, numPartitions=str(readers)
@@ -72,6 +82,9 @@ class JdbcSource:
         self.properties = properties or {}
         self.readers = readers
 
+    def size_bytes(self) -> int:
+        return 0
+
     def _read(self, options: dict[str, str]) -> DataFrame:
         return self.spark.read.format("jdbc").options(**{**options, **self.properties}).load()
 

@@ -34,11 +34,12 @@ def write_days(
     Rebalancing puts a small day into one file and splits a large one over several tasks.
     aligned says that df comes straight from files that are already split by day: then
     nothing is shuffled. A day that produced no rows is cleared, so nothing of an earlier
-    run stays behind; days outside the list are not touched.
+    run stays behind. Rows of other days are left out: days outside the list are not touched.
     """
     spark = df.sparkSession
     before = {day: _any_file(spark, day_path(path, day)) for day in stored_days(spark, path, days)}
-    if not aligned and len(days) > 1:
+    df = df.filter(in_days(days))
+    if not aligned:
         df = df.hint("rebalance", *DAY_KEYS)
     (
         df.write.mode("overwrite")
@@ -59,6 +60,13 @@ def stored_days(spark: SparkSession, path: str, days: list[date]) -> list[date]:
     return [day for day in days if partition_text(day).removeprefix("year=") in found]
 
 
+def every_stored_day(spark: SparkSession, path: str) -> list[date]:
+    """All days that have a folder."""
+    fs, pattern = file_system(spark, f"{path}/year=*/month=*/day=*")
+    texts = [entry.getPath().toString().rsplit("/year=", 1)[1] for entry in fs.globStatus(pattern) or []]
+    return sorted(date(*(int(part.rsplit("=", 1)[-1]) for part in text.split("/"))) for text in texts)
+
+
 def _day_pattern(path: str, days: list[date]) -> str:
     """One glob for the folders of all days; days without a folder do not match."""
     return f"{path}/{{{','.join(partition_text(day) for day in days)}}}"

@@ -2,28 +2,36 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tillhouse.layout import DAY_KEYS
 from tillhouse.schemas import with_days
-from tillhouse.sources.bronze import CSV_OPTIONS
+from tillhouse.sources import tables
+from tillhouse.sources.bronze import CSV_OPTIONS, read_transactions
 
 
 def ingest_arrivals(
     spark: SparkSession, source: str, schema: StructType, target: str, checkpoint: str, files_per_batch: int = 10_000
 ) -> None:
-    """Land every new raw file once as typed Parquet.
+    """Land raw days as typed Parquet whenever new files of them have arrived.
 
-    The checkpoint remembers which files were read. A batch that is repeated after a
-    failure overwrites its own folder, so no row is stored twice. Raw files are split by
-    day already, so landing them needs no shuffle.
+    The checkpoint remembers which files were seen. The raw layer replaces a day with new files when it is
+    run again, so a batch tells which days have changed, and these are read in full and replaced: a repeated
+    day or batch never counts twice. Raw files are split by day already, so landing them needs no shuffle.
+    Days that are no longer in the raw layer go, too.
     """
     options = {**CSV_OPTIONS, "maxFilesPerTrigger": str(files_per_batch)}
     arrivals = spark.readStream.schema(with_days(schema)).options(**options).csv(source)
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").partitionBy(*DAY_KEYS).parquet(f"{target}/batch={batch_id}")
+        # one row per day of the batch
+        days = sorted(date(*map(int, row)) for row in batch.select(*DAY_KEYS).distinct().collect())
+        if days:
+            rows = read_transactions(batch.sparkSession, source, schema, days)
+            tables.write_days(rows, target, days, aligned=True)
 
     query = (
         arrivals.writeStream.foreachBatch(land)
@@ -32,9 +40,10 @@ def ingest_arrivals(
         .start()
     )
     query.awaitTermination()
+    kept = set(tables.every_stored_day(spark, source))
+    tables.clear_days(spark, target, [day for day in tables.every_stored_day(spark, target) if day not in kept])
 
 
 def read_landed(spark: SparkSession, target: str, schema: StructType) -> DataFrame:
-    """All landed rows, without the batch they came in."""
-    fields = with_days(schema).add("batch", "string")
-    return spark.read.schema(fields).parquet(target).drop("batch")
+    """All landed rows."""
+    return tables.read_partitioned(spark, target, schema)
