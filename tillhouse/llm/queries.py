@@ -32,6 +32,29 @@ def op2_near_duplicates(spark, sf_dir):
     return near_duplicates.link(table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+# Links by shared shingles, then everything reachable over them.
+ORACLE_SQL["op2_near_duplicates"] = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, array_to_string(words[i : i + 2], ' ') AS shingle
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 1, 2))) AS i FROM w WHERE len(words) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id
+), links AS (
+    SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b WHERE 100 * p.both >= 85 * (x.n + y.n - p.both)
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM w
+    UNION
+    SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+), c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, w.doc_id = c.component_id AS kept
+FROM w JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)"""
+
+
 @query
 def op3_token_counts(spark, sf_dir):
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
