@@ -240,7 +240,7 @@ def _data_of(asked: DataFrame, texts: DataFrame, documents: DataFrame, length: i
     wanted = asked.groupBy("h").agg(places.alias("places")).join(texts.select("h", "doc_id"), "h")
     wanted = stored(wanted.withColumnRenamed("doc_id", "asked_id"), "wanted")
     rows = documents.filter(F.octet_length("text") >= length).select("doc_id", "text")
-    rows = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("asked_id")))
+    rows = rows.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("asked_id")))
 
     def work(batches: Iterable[dict[str, list]]) -> Iterator[dict[str, list]]:
         for batch in batches:
@@ -288,7 +288,7 @@ def remove(documents: DataFrame, length: int = LENGTH) -> DataFrame:
             yield batch | {"h": [_text_hash(text) for text in batch["text"]]}
 
     rows = map_rows(documents.select("doc_id", "text"), hashed, "doc_id long, text string, h binary")
-    rows = rows.join(spans, "h", "left")
+    rows = rows.join(spans.hint("merge"), "h", "left")  # shuffled at every size: the spans grow with the data
 
     def work(batches: Iterable[dict[str, list]]) -> Iterator[dict[str, list]]:
         for batch in batches:
@@ -352,4 +352,4 @@ def strip(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     gone = f"{key}_spans"
     rows = documents.mapInArrow(hashed, StructType([*documents_schema.fields, StructField(key, BinaryType())]))
     spans = spans.toDF(key, gone)
-    return rows.join(spans, key, "left").drop(key).mapInArrow(cut_texts, documents_schema)
+    return rows.join(spans.hint("merge"), key, "left").drop(key).mapInArrow(cut_texts, documents_schema)
