@@ -149,7 +149,9 @@ def train(training: DataFrame, per_language: int = SAMPLE_DOCUMENTS, clusters: i
     hashed = training.select("lang", F.xxhash64("doc_id", F.length("text")).alias("h"))
     first = Window.partitionBy("lang").orderBy("h")
     limits = hashed.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= per_language).groupBy("lang").agg(F.max("h").alias("h"))
-    sample = training.join(limits.withColumnRenamed("h", "last"), "lang").filter(F.xxhash64("doc_id", F.length("text")) <= F.col("last"))
+    # one number per language, so texts are filtered where they are read
+    last = F.create_map(*[F.lit(x) for row in limits.collect() for x in (row.lang, row.h)])
+    sample = training.filter(F.xxhash64("doc_id", F.length("text")) <= last[F.col("lang")])
 
     def vectors(batches: Iterable[dict[str, list]]) -> Iterator[dict[str, list]]:
         for batch in batches:
