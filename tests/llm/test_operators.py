@@ -439,3 +439,30 @@ def test_licenses(spark, nothing):
     assert not {51, 52, 53, 54} & {r.doc_id for r in found}
     assert sum(r.doc_id == 0 for r in found) == 2
     assert licenses.scan(nothing).count() == 0
+
+
+NOTICES = [
+    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
+    ("GPL-2.0", "This file is distributed under the GNU General Public License v2.0"),
+    ("GPL-1.0-or-later", "Released under the GNU GPL."),
+    ("GPL-3.0", "// SPDX-License-Identifier: GPL-3.0-or-later"),
+    ("LGPL-2.1", "licensed under the GNU Lesser General Public License, version 2.1 only"),
+    ("AGPL-3.0", "The server is released under the GNU Affero General Public License v3.0."),
+    ("MIT", "Released under the MIT License."),
+    ("MIT", "# SPDX-License-Identifier: MIT"),
+    ("BSD-2-Clause", "It is available under the BSD 2-Clause License."),
+    ("BSD-3-Clause", "It is available under the 3-Clause BSD License."),
+    ("ISC", "Distributed under the ISC License"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("CC-BY-NC-SA-4.0", "The photographs are published under CC BY-NC-SA 4.0."),
+    ("all-rights-reserved", "Copyright (c) 2021 Some Body. All rights reserved."),
+]
+
+
+def test_short_notices_of_every_license(spark):
+    others = ["Released under the Zlib License.", "The MIT campus has a license to sell beer.", "She reserved all seats.", "Das ist mit der Lizenz gemeint."]
+    rows = [(i, f"some words\n{notice}\nmore words") for i, notice in enumerate([n for _, n in NOTICES] + others)]
+    found = licenses.scan(prepare(spark).createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.license, r.wording) for r in found) == [(i, name, "exact") for i, (name, _) in enumerate(NOTICES)]
+    assert {name.removesuffix("-header") for name in licenses.TEMPLATES} <= {name for name, _ in licenses.WORDINGS}
+    assert all(licenses.CUE.search(wording) for _, wording in licenses.WORDINGS if not wording.startswith(("or", "and")))
