@@ -466,3 +466,15 @@ def test_short_notices_of_every_license(spark):
     assert sorted((r.doc_id, r.license, r.wording) for r in found) == [(i, name, "exact") for i, (name, _) in enumerate(NOTICES)]
     assert {name.removesuffix("-header") for name in licenses.TEMPLATES} <= {name for name, _ in licenses.WORDINGS}
     assert all(licenses.CUE.search(wording) for _, wording in licenses.WORDINGS if not wording.startswith(("or", "and")))
+
+
+def test_notices_in_long_lines():
+    """One line of any length, the notice at its start, in its middle and at its end; a cue in every line or none."""
+    rng = random.Random(6)
+    for size in (300, 4_000, 60_000):
+        for around in (prose(rng, "en", size // 6), " ".join(["a license for all"] * (size // 18))):
+            for name, wording in licenses.TEMPLATES.items():
+                for at in (0, len(around) // 2, len(around)):
+                    text = f"{around[:at]} {wording} {around[at:]}"
+                    found = licenses.notices(text)
+                    assert [(text[a:b].rstrip("."), n, d) for a, b, n, _, d, _ in found] == [(wording.rstrip(".:"), name, 0)], (size, name, at)
