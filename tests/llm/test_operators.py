@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import textwrap
 import zlib
 from collections import Counter
 
@@ -478,3 +479,42 @@ def test_notices_in_long_lines():
                     text = f"{around[:at]} {wording} {around[at:]}"
                     found = licenses.notices(text)
                     assert [(text[a:b].rstrip("."), n, d) for a, b, n, _, d, _ in found] == [(wording.rstrip(".:"), name, 0)], (size, name, at)
+
+
+@pytest.mark.parametrize("prefix", ["", "# ", " * ", "// "])
+@pytest.mark.parametrize("width", [30, 72])
+def test_wrapped_notices(prefix, width):
+    """Every wording as it is wrapped in files, with blank lines around it and between sentences."""
+    for name, wording in licenses.WORDINGS:
+        if wording.startswith(("or", "and")):
+            continue
+        lines = textwrap.wrap(wording, width, break_on_hyphens=False, break_long_words=False)
+        for text in ("\n".join(["int x;", "", *lines, "", "int y;"]), "\n\n".join(["a b c", *lines, "d e f"])):
+            text = "\n".join(prefix + line for line in text.split("\n"))
+            assert [(n, d) for _, _, n, _, d, _ in licenses.notices(text)] == [(name, 0)], text
+
+
+def test_several_notices_in_a_text(spark):
+    grants = dict((n, w) for n, w in licenses.WORDINGS[: len(licenses.TEMPLATES)])
+    wrapped = {n: "\n".join(textwrap.wrap(w, 60)) for n, w in grants.items()}
+    rng = random.Random(8)
+    cases = [
+        ("Licensed under the Apache License, Version 2.0 or the MIT License.", ["Apache-2.0", "MIT"]),
+        (f"{wrapped['MIT']}\n{wrapped['GPL-3.0']}", ["MIT", "GPL-3.0"]),
+        ("Copyright (c) 2020 A. All rights reserved.\n\n" + wrapped["BSD-3-Clause"], ["all-rights-reserved", "BSD-3-Clause"]),
+        ("\n".join(wrapped.values()), list(wrapped)),  # more lines than any window
+        ("\n".join(["Released under the MIT License."] * 300), ["MIT"] * 300),
+        ("\n".join(f"Released under the MIT License.\n{prose(rng, 'en', k)}" for k in range(0, 400, 7)), ["MIT"] * 58),
+    ]
+    rows = [(i, text) for i, (text, _) in enumerate(cases)]
+    found = {}
+    for r in licenses.scan(prepare(spark).createDataFrame(rows, "doc_id long, text string")).collect():
+        assert r.wording == "exact"
+        found.setdefault(r.doc_id, []).append((r.start, r.license))
+    assert [[name for _, name in sorted(found[i])] for i in range(len(cases))] == [names for _, names in cases]
+
+
+def test_every_cue_has_a_stem():
+    for _, wording in licenses.WORDINGS:
+        for m in licenses.CUE.finditer(wording):
+            assert any(s in m.group().lower() for s in licenses.STEMS) or any(s in m.group() for s in licenses.CAPITALS)
