@@ -166,6 +166,29 @@ def test_near_duplicates_without_ids(spark):
     )
 
 
+def test_one_row_of_each_group_stays(spark):
+    """With repeated rows, without ids, and with two texts under one id; what stays is not emptied by the next stage."""
+    rng = random.Random(12)
+    a, b, c, d, e, f = (prose(rng, "en", 120) for _ in range(6))
+    near = a + " one more"
+    rows = [(1, a, 0), (1, a, 0), (1, a, 1), (2, near, 2)]  # a repeated row, a row with another column, a near copy
+    rows += [(None, b, 3), (None, b, 3), (None, b, 4)]  # copies without ids
+    rows += [(9, c, 5), (None, c, 6), (8, c, 7)]  # some of the ids are missing
+    rows += [(3, d, 8), (3, near, 9)]  # two texts under one id, one of them a near copy
+    rows += [(4, e, 10), (4, f, 11), (4, f + " end", 12)]  # and a group under a single id
+    rows += [(5, None, 13), (5, None, 13), (None, "", 14), (None, "", 14)]  # linked with nothing
+    frame = prepare(spark).createDataFrame([(*row, {"k": "v"}) for row in rows], "doc_id long, text string, label int, h map<string,string>").repartition(4)
+    kept = near_duplicates.keep_one(frame)
+    assert kept.schema == frame.schema
+    got = sorted((r.label, r.doc_id, r.text) for r in kept.collect())
+    last = min([(f, 11), (f + " end", 12)], key=lambda x: hashlib.sha256(x[0].encode()).digest())
+    wanted = [(0, 1, a), (3, None, b), (7, 8, c), (8, 3, d), (10, 4, e), (last[1], 4, last[0])]
+    assert [g for g in got if g[0] < 13] == wanted and [g[0] for g in got if g[0] >= 13] == [13, 13, 14, 14]
+    assert all(r.text for r in repeats.strip(kept).collect() if r.label < 13)
+    distinct = frame.filter("label in (2, 5, 8, 10)")
+    assert sorted(r.label for r in near_duplicates.keep_one(distinct).collect()) == [2, 5, 8, 10]
+
+
 def test_sketches_estimate_similarity():
     rng = np.random.default_rng(1)
     for share in (0.5, 0.8, 0.95):

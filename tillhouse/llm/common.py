@@ -49,6 +49,11 @@ def remainder(column: str, divisor: int) -> Column:
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % divisor, F.lit(-1))
 
 
+def text_hash(column: str = "text") -> Column:
+    """128 bits that stand for a text; NULL for NULL."""
+    return F.substring(F.unhex(F.sha2(F.col(column).cast("binary"), 256)), 1, 16)
+
+
 def words(text: str | None) -> list[bytes]:
     """Words [^\\x20\\x09-\\x0D]+ as UTF-8 bytes."""
     return text.encode().split() if text else []

@@ -17,8 +17,9 @@ components. So every pair that meets is either confirmed, refuted, or in one com
 is ever made.
 
 Defined results: a NULL text and one without words have the empty set, are linked with nothing and kept. Equal sets
-are linked. A component's id is its smallest non-null doc_id; a component without one has NULL and keeps its rows.
-Rows with the same id are one document. An empty table gives no rows.
+are linked. A component's id is its smallest non-null doc_id; a component without one has NULL, and `link` marks all its
+rows as kept. `keep_one` decides by row, not by id: of each component exactly one row stays, whatever ids are repeated
+or missing. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from tillhouse.llm.common import lower_words, map_rows, stored
+from tillhouse.llm.common import lower_words, map_rows, stored, text_hash
 from tillhouse.llm.graph import components
 
 BANDS, ROWS = 40, 6
@@ -124,12 +125,13 @@ def _sketches(documents: DataFrame, width: int) -> DataFrame:
             sets = [shingles(text, width) for text in batch["text"]]
             yield {
                 "doc_id": batch["doc_id"],
+                "h": batch["h"],
                 "n": [len(s) for s in sets],
                 "cls": [xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
                 "registers": [sketch(s).tobytes() if len(s) else None for s in sets],
             }
 
-    return map_rows(documents.select("doc_id", "text"), work, "doc_id long, n long, cls binary, registers binary")
+    return map_rows(documents.select("doc_id", "text", text_hash().alias("h")), work, "doc_id long, h binary, n long, cls binary, registers binary")
 
 
 def _bands(classes: DataFrame) -> DataFrame:
@@ -283,8 +285,8 @@ def _rest(open_blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return open_blocks.join(sets, "cls").groupBy("key", "i", "j").applyInPandas(compare, "a binary, b binary")
 
 
-def link(documents: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every document."""
+def _groups(documents: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The sketches of all rows; and cls, label, component_id of classes in components of several rows."""
     sketches = stored(_sketches(documents, width), "sketches")
     classes = stored(
         sketches.filter("n > 0").groupBy("cls").agg(
@@ -311,13 +313,43 @@ def link(documents: DataFrame, width: int = SHINGLE, percent: int = PERCENT) ->
     labelled = classes.join(found, "cls", "left").select("cls", "doc_id", "members", F.coalesce("label", "cls").alias("label"))
     smallest = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"), F.sum("members").alias("documents"))
     smallest = stored(smallest.filter("documents > 1").select("label", "component_id"), "smallest")
-    named = stored(labelled.join(smallest, "label").select("cls", "component_id", F.lit(True).alias("grouped")), "named")
-    joined = sketches.select("doc_id", "n", "cls").join(named, "cls", "left")
+    return sketches, stored(labelled.join(smallest, "label").select("cls", "label", "component_id"), "named")
+
+
+def link(documents: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every document."""
+    sketches, named = _groups(documents, width, percent)
+    joined = sketches.select("doc_id", "n", "cls").join(named.select("cls", "component_id", F.lit(True).alias("grouped")), "cls", "left")
     component = F.when(F.col("grouped"), F.col("component_id")).otherwise(F.col("doc_id"))
     return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
 def keep_one(documents: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The documents with one of each group of near duplicates, with all their columns."""
-    dropped = stored(link(documents, width, percent).filter(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct(), "dropped")
-    return documents.join(dropped, "doc_id", "left_anti")
+    """The documents with one row of each group of near duplicates, with all their columns.
+
+    It is the row with the smallest non-null id, then the smallest text hash, then the smallest other columns.
+    """
+    sketches, named = _groups(documents, width, percent)
+    rows = sketches.select("doc_id", "h", "cls").join(named.select("cls", "label"), "cls")
+    ids = rows.groupBy("label", "h", "doc_id").agg(F.count(F.lit(1)).alias("copies"))
+    first = F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "copies"))
+    texts = stored(ids.groupBy("label", "h").agg(first.alias("one")).select("label", "h", "one.*"), "grouped-texts")
+    one = F.min(F.struct("none", "doc_id", "h", "copies"))
+    chosen = stored(texts.groupBy("label").agg(one.alias("one")).select("one.h", "one.doc_id", "one.copies"), "chosen")
+
+    key = "_text_hash"
+    while any(name.startswith(key) for name in documents.columns):
+        key += "_"
+    own_id, copies, grouped = f"{key}_id", f"{key}_copies", f"{key}_grouped"
+    decided = texts.select("h", F.lit(True)).toDF(key, grouped).join(chosen.toDF(key, own_id, copies), key, "left")
+    decided = stored(decided, "decided")
+    # shuffled at every size: how many texts are in groups grows with the data
+    joined = documents.withColumn(key, text_hash()).join(decided.hint("merge"), key, "left")
+    stays = joined.filter(F.isnull(grouped) | F.col(copies).isNotNull() & F.col("doc_id").eqNullSafe(F.col(own_id)))
+    if chosen.filter("copies > 1").isEmpty():
+        return stays.select(documents.columns)
+    # several rows with the chosen id and text: one of them, combined before the shuffle
+    stays = stored(stays, "stays")
+    sorted_by = [field.name for field in documents.schema if "map<" not in field.dataType.simpleString()]
+    least = stays.filter(F.col(copies) > 1).groupBy(key).agg(F.min_by(F.struct(*documents.columns), F.struct(*sorted_by)).alias("row"))
+    return stays.filter(F.isnull(copies) | (F.col(copies) == 1)).select(documents.columns).unionByName(least.select("row.*"))
