@@ -26,7 +26,7 @@ from tillhouse.llm import (
     repeats,
     token_counts,
 )
-from tillhouse.llm.common import prepare
+from tillhouse.llm.common import map_rows, prepare
 from tillhouse.llm.graph import components
 
 SYLLABLES = {"en": "the on ing ed th er an re".split(), "xx": "qu oi eau ié ç le ment ré".split()}
@@ -228,6 +228,40 @@ def brute_covered(datas, length):
     return out
 
 
+def test_texts_without_ids_are_fetched_once(spark, monkeypatch):
+    """Many texts under NULL or one id: rows that reach the workers do not grow with their product, results are right."""
+    rng = random.Random(21)
+    passages = [prose(rng, "en", 40) for _ in range(20)]
+    rows = [(own, f"{prose(rng, 'en', 8)} {passages[i]} {prose(rng, 'en', 8)}") for own in (None, 7) for i in range(20)]
+    frame = prepare(spark).createDataFrame(rows, "doc_id long, text string").repartition(2).cache()
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(df, work, schema, plain=map_rows):
+        if not {"places", "cls"} & set(df.columns) or "text" not in df.columns:
+            return plain(df, work, schema)
+
+        def run(batches):
+            def seen():
+                for batch in batches:
+                    read.add(len(batch["text"]))
+                    yield batch
+
+            return work(seen())
+
+        return plain(df, run, schema)
+
+    monkeypatch.setattr(near_duplicates, "map_rows", counted)
+    monkeypatch.setattr(repeats, "map_rows", counted)
+    found = repeats.remove(frame, 100).collect()
+    gone = brute_covered([raw(t) for _, t in rows], 100)
+    assert sorted(r.n_removed for r in found) == sorted(sum(g) for g in gone) and sum(map(sum, gone))
+    assert 0 < read.value <= 2 * len(rows)
+    near = [(own, text) for own, text in rows] + [(own, f"{text} end") for own, text in rows]
+    before = read.value
+    linked = near_duplicates.link(spark.createDataFrame(near, "doc_id long, text string"), 3, 85).collect()
+    assert len(linked) == len(near) and 0 < read.value - before <= 2 * len(near)
+
+
 @pytest.mark.parametrize(("length", "most", "size"), [(400, 4096, 1 << 21), (30, 4096, 1 << 21), (30, 1, 64), (100, 2, 256)])
 def test_repeats(documents, monkeypatch, length, most, size):
     """Also with names whose contexts are merged in Spark, and with texts longer than a slice."""

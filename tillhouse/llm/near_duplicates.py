@@ -165,20 +165,20 @@ def _estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 
 def _sets(asked: DataFrame, documents: DataFrame, width: int) -> DataFrame:
-    """cls, hashes: the full sets of the classes asked for, from one document of each."""
+    """cls, hashes: the full sets of the classes asked for, from one text of each."""
 
     def work(batches: Iterable[dict[str, list]]) -> Iterator[dict[str, list]]:
         for batch in batches:
             out: dict[str, list] = {"cls": [], "hashes": []}
             for text, cls in zip(batch["text"], batch["cls"], strict=True):
-                hashes = shingles(text, width).tobytes()
-                if xxh3_128_digest(hashes) == cls:  # another row may have the same id
-                    out["cls"].append(cls)
-                    out["hashes"].append(hashes)
+                out["cls"].append(cls)
+                out["hashes"].append(shingles(text, width).tobytes())
             yield out
 
-    # shuffled at every size: how many classes are asked for grows with the data
-    texts = documents.select("doc_id", "text").join(asked.hint("merge"), F.col("doc_id").eqNullSafe(F.col("asked_id")))
+    # shuffled at every size: how many classes are asked for grows with the data. Each text hash is asked for once, so a
+    # row meets one asked row at most, whatever ids are repeated or missing; the id only spares other copies of the text
+    same = F.col("h").eqNullSafe(F.col("asked_h")) & F.col("doc_id").eqNullSafe(F.col("asked_id"))
+    texts = documents.select("doc_id", text_hash().alias("h"), "text").join(asked.hint("merge"), same)
     return map_rows(texts.select("cls", "text"), work, "cls binary, hashes binary").dropDuplicates(["cls"])
 
 
@@ -290,15 +290,16 @@ def _groups(documents: DataFrame, width: int, percent: int) -> tuple[DataFrame,
     sketches = stored(_sketches(documents, width), "sketches")
     classes = stored(
         sketches.filter("n > 0").groupBy("cls").agg(
-            F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("registers").alias("registers"), F.count(F.lit(1)).alias("members")
-        ),
+            F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "h")).alias("one"),
+            F.first("n").alias("n"), F.first("registers").alias("registers"), F.count(F.lit(1)).alias("members"),
+        ).select("cls", "one.doc_id", "one.h", "n", "registers", "members"),
         "classes",
     )
     bands = _bands(classes)
     met = bands.groupBy("key").agg(F.min("cls").alias("root"), F.count(F.lit(1)).alias("classes")).filter("classes > 1")
     roots = stored(met.select("key", "root"), "roots")
     buckets = stored(bands.join(roots, "key"), "buckets")
-    asked = stored(buckets.select("cls").distinct().join(classes, "cls").select("cls", F.col("doc_id").alias("asked_id")), "asked")
+    asked = stored(buckets.select("cls").distinct().join(classes, "cls").select("cls", F.col("h").alias("asked_h"), F.col("doc_id").alias("asked_id")), "asked")
     sets = stored(_sets(asked, documents, width), "sets")
     first = buckets.filter("cls <> root").select(F.col("root").alias("a"), F.col("cls").alias("b")).distinct()
     links = stored(_confirmed(_estimated(first, classes, percent), sets, percent), "links")

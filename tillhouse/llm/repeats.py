@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 from xxhash import xxh3_128_digest
 
-from tillhouse.llm.common import map_rows, stored
+from tillhouse.llm.common import map_rows, stored, text_hash
 
 LENGTH = 400
 #: Bytes of a gram, as a share of the length; longer grams repeat less often by chance, shorter ones give fewer samples.
@@ -202,10 +202,12 @@ def covered(documents: DataFrame, length: int = LENGTH) -> tuple[DataFrame, Data
 
     def hashed(batches: Iterable[dict[str, list]]) -> Iterator[dict[str, list]]:
         for batch in batches:
-            yield {"h": [_text_hash(text) for text in batch["text"]], "doc_id": batch["doc_id"]}
+            yield {"h": [_text_hash(text) for text in batch["text"]], "doc_id": batch["doc_id"], "key": batch["key"]}
 
-    long = documents.filter(F.octet_length("text") >= length).select("doc_id", "text")
-    texts = map_rows(long, hashed, "h binary, doc_id long").groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
+    long = documents.filter(F.octet_length("text") >= length).select("doc_id", "text", text_hash().alias("key"))
+    texts = map_rows(long, hashed, "h binary, doc_id long, key binary").groupBy("h").agg(
+        F.min("doc_id").alias("doc_id"), F.min("key").alias("key"), F.count(F.lit(1)).alias("copies")
+    )
     texts = stored(texts, "texts")
     copied = texts.filter("copies > 1").select("h")
 
@@ -237,17 +239,18 @@ def covered(documents: DataFrame, length: int = LENGTH) -> tuple[DataFrame, Data
 def _data_of(asked: DataFrame, texts: DataFrame, documents: DataFrame, length: int) -> DataFrame:
     """The bytes of each context, from one document that has its text."""
     places = F.collect_list(F.struct("name", "context", "many", "contexts", "position", "first", "last"))
-    wanted = asked.groupBy("h").agg(places.alias("places")).join(texts.select("h", "doc_id"), "h")
-    wanted = stored(wanted.withColumnRenamed("doc_id", "asked_id"), "wanted")
-    rows = documents.filter(F.octet_length("text") >= length).select("doc_id", "text")
-    rows = rows.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("asked_id")))
+    wanted = asked.groupBy("h").agg(places.alias("places")).join(texts.select("h", "doc_id", "key"), "h")
+    wanted = stored(wanted.withColumnsRenamed({"doc_id": "asked_id", "key": "asked_key"}), "wanted")
+    rows = documents.filter(F.octet_length("text") >= length).select("doc_id", "text", text_hash().alias("key"))
+    # a row meets one wanted row at most, whatever ids are repeated or missing; the id only spares other copies of the text
+    rows = rows.join(wanted.hint("merge"), F.col("key").eqNullSafe(F.col("asked_key")) & F.col("doc_id").eqNullSafe(F.col("asked_id")))
 
     def work(batches: Iterable[dict[str, list]]) -> Iterator[dict[str, list]]:
         for batch in batches:
             out: dict[str, list] = {c: [] for c in ("name", "context", "many", "contexts", "before", "data")}
             for text, h, places in zip(batch["text"], batch["h"], batch["places"], strict=True):
                 raw = text.encode()
-                if xxh3_128_digest(raw) != h:  # another row with the same id
+                if xxh3_128_digest(raw) != h:
                     continue
                 for place in places:
                     for c in ("name", "context", "many", "contexts"):
