@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tillhouse.llm import (
@@ -390,6 +391,18 @@ def test_language(spark, nothing):
     assert language.keep_known(nothing, model).count() == 0
 
 
+def test_documents_that_stay_by_language(spark):
+    rng = random.Random(10)
+    rows = [(i, prose(rng, lang, rng.randint(15, 80)), lang) for i, lang in enumerate(["en", "xx"] * 30)]
+    learn = prepare(spark).createDataFrame(rows, "doc_id long, text string, lang string")
+    unlearned = [(100 + i, " ".join("".join(rng.choices("жщюфы", k=5)) for _ in range(60)), None) for i in range(5)]
+    both = spark.createDataFrame(rows + unlearned, learn.schema)
+    assert sorted(r.doc_id for r in language.keep_known(both, language.train(learn)).collect()) == list(range(60))
+    # no row has a language: there is nothing to reject by
+    unlabelled = both.withColumn("lang", F.lit(None).cast("string"))
+    assert language.keep_known(unlabelled, language.train(unlabelled)).count() == 65
+
+
 def test_grams_of_slices(monkeypatch):
     text = "The quick  BROWN fox, élan 𐐷𐐷 x"
     whole = language.grams(text)

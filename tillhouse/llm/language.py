@@ -225,7 +225,9 @@ def identify(documents: DataFrame, model: Model | None) -> DataFrame:
 
 
 def keep_known(documents: DataFrame, model: Model | None) -> DataFrame:
-    """The documents that are not rejected, with all their columns."""
+    """The documents that are not rejected, with all their columns; without a model nothing is known to reject, and all stay."""
+    if model is None:
+        return documents
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
