@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillhouse.session import fresh_dir
@@ -93,3 +94,25 @@ def gathered(df: DataFrame, merge: Callable, schema: str) -> list:
         df = map_rows(df.repartition(parts), merge, schema)
     return df.collect()
 
+
+
+def ranked(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+    """The rows with rank (from 0 within their group, by order, NULLs first) and total (rows of the group).
+
+    No task holds a group: rows are sorted over all tasks by ranges, and only the numbers of rows of a group in each
+    range are added up. Rows that tie in all of order may end up in different ranges. The result is read from a table.
+    """
+    columns = [*group, *order]
+    ids = df.withColumn("_id", F.monotonically_increasing_id())
+    keys = [F.col(c).asc_nulls_first() for c in (*columns, "_id")]
+    ranges = ids.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_id")
+    ranges = stored(ranges.select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_at")), name)
+    parts = ranges.groupBy(*group, "_part").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    own = Window.partitionBy(*group)
+    before = F.coalesce(F.sum("_n").over(own.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = parts.select(
+        *[F.col(c).alias(f"_of_{c}") for c in group], F.col("_part").alias("_in"), "_first", before.alias("_before"), F.sum("_n").over(own).alias("total")
+    )
+    same = [F.col("_part") == F.col("_in"), *[F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in group]]
+    found = ranges.join(parts, reduce(Column.__and__, same))
+    return found.select(*df.columns, (F.col("_before") + F.col("_at") - F.col("_first")).alias("rank"), "total")
