@@ -2,6 +2,7 @@
 
 from datetime import date, datetime
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,10 +11,10 @@ from tillhouse.layout import (
     Layout, days_between, lookback_days, parse_day, partition_text, projected_partitions, resolve_days,
     storage_section,
 )
-from tillhouse.plans import gold, runs
-from tillhouse.schemas import MENU_MASTER, ORDER_ITEMS, ORDERS, OUTLET_MASTER, SILVER_ORDERS
+from tillhouse.plans import changes, gold, runs
+from tillhouse.schemas import MALFORMED_ROWS, MENU_MASTER, ORDER_ITEMS, ORDERS, OUTLET_MASTER, SILVER_ORDERS
 from tillhouse.session import shuffle_partitions, work_root
-from tillhouse.sources import bronze, catalog, source, tables
+from tillhouse.sources import bronze, catalog, commits, source, tables
 from tillhouse.streaming import intake
 
 D1, D2, D3 = days_between(date(2026, 3, 1), date(2026, 3, 3))
@@ -110,7 +111,7 @@ def test_csv_round_trip_of_odd_text(spark, tmp_path):
 def test_keys_stay_text(spark, tmp_path, schema):
     path = str(tmp_path / "t")
     tables.write_days(keyed(spark, (1, "2026", "03", "01")), path, [D1])
-    assert [tuple(row) for row in spark.read.parquet(path).collect()] == [(1, "2026", "03", "01")]
+    assert [tuple(row) for row in tables.read_partitioned(spark, path, schema).collect()] == [(1, "2026", "03", "01")]
     assert [tuple(row) for row in tables.read_day_files(spark, path, schema, [D1]).collect()] == [(1, "2026", "03", "01")]
 
 
@@ -163,7 +164,7 @@ def test_days_with_a_gap_leave_the_gap_alone(spark, tmp_path, schema):
 def test_one_large_day_is_split_and_one_small_day_is_one_file(spark, tmp_path):
     rows = spark.range(0, 1000, 1, 8).selectExpr("id", "'2026' AS year", "'03' AS month", "'01' AS day")
     tables.write_days(rows, str(tmp_path / "t"), [D1])
-    assert len(list(tmp_path.glob("t/year=2026/month=03/day=01/part-*"))) == 1
+    assert len(list(tmp_path.glob("t/run=*/year=2026/month=03/day=01/part-*"))) == 1
 
 
 def test_line_breaks_survive_the_raw_layer(spark, tmp_path):
@@ -205,8 +206,11 @@ def test_catalog_tables(spark, tmp_path):
     later = rows.withColumn("day", F.lit("02"))
     tables.write_days(later, f"{layout.silver}/orders", [D2])
     assert spark.table("shop.orders").count() == 1
-    catalog.add_days(spark, "shop.orders", f"{layout.silver}/orders", [D1, D2])
-    spark.catalog.refreshTable("shop.orders")
+    catalog.register_days(spark, "shop.orders", f"{layout.silver}/orders", [D1, D2])
+    assert spark.table("shop.orders").count() == 2
+    tables.write_days(rows.unionAll(rows), f"{layout.silver}/orders", [D1, D2])
+    catalog.register_days(spark, "shop.orders", f"{layout.silver}/orders", [D1, D2])
+    assert [tuple(row) for row in spark.sql("SHOW PARTITIONS shop.orders").collect()] == [("year=2026/month=03/day=01",)]
     assert spark.table("shop.orders").count() == 2
 
 
@@ -252,7 +256,8 @@ def state(spark, layout):
     rules = "orphan_items invalid_payments invalid_prices orders_discrepancies duplicate_orders anomaly_cashiers"
     for rule in rules.split():
         path = f"{layout.quarantine}/{rule}"
-        rows = spark.read.parquet(path).collect() if tables.every_stored_day(spark, path) else []
+        folders = commits.state(spark, path).folders(path)
+        rows = spark.read.option("basePath", path).parquet(*folders).drop("run").collect() if folders else []
         found[rule] = sorted(map(str, rows))
     found["fact"] = sorted(map(str, runs.read_fact(spark, layout).collect()))
     for name in ("dim_menu", "dim_outlet", "dim_date"):
@@ -311,7 +316,7 @@ def test_clean_days_list_every_rule(spark, tmp_path):
     layout = Layout.under(str(tmp_path / "clean"))
     runs.extract(spark, shop(spark, ORDER_ROWS[:1], ITEM_ROWS[:1]), layout, [D1, D2])
     counts = runs.load_silver(spark, layout, [D1, D2]).collect()
-    assert len(counts) == 18 and {row.violations for row in counts} == {0}
+    assert len(counts) == 20 and {row.violations for row in counts} == {0}
 
 
 def test_run_after_the_default_calendar(spark, tmp_path):
@@ -363,7 +368,7 @@ def test_stream_takes_each_file_once(spark, tmp_path):
 
     arrive(D1)
     arrive(D2)
-    intake.ingest_arrivals(spark, raw, ORDERS, landed, checkpoint, files_per_batch=1)
+    intake.ingest_arrivals(spark, raw, ORDERS, landed, checkpoint, days_per_batch=1)
     assert intake.read_landed(spark, landed, ORDERS).count() == 3
     arrive(D3)
     for _ in range(2):
@@ -382,6 +387,150 @@ def test_stream_replaces_a_day_that_is_run_again(spark, tmp_path):
     assert sorted(row.order_id for row in intake.read_landed(spark, landed, ORDERS).collect()) == [2, 3, 4]
 
 
+def test_reader_keeps_the_state_it_started_with(spark, tmp_path, schema):
+    """A commit while somebody reads: the reader ends on its files, and they go with the commit after the next."""
+    path = str(tmp_path / "t")
+    tables.write_days(keyed(spark, (1, "2026", "03", "01"), (2, "2026", "03", "02")), path, [D1, D2])
+    before = tables.read_partitioned(spark, path, schema)
+    files = before.inputFiles()
+    tables.write_days(keyed(spark, (9, "2026", "03", "01")), path, [D1, D2])
+    assert keys_by_day(before) == [("01", 1), ("02", 2)]
+    assert keys_by_day(tables.read_partitioned(spark, path, schema)) == [("01", 9)]
+    assert all(Path(name.removeprefix("file://")).exists() for name in files)
+    tables.write_days(keyed(spark, (7, "2026", "03", "02")), path, [D2])
+    assert not any(Path(name.removeprefix("file://")).exists() for name in files)
+    assert keys_by_day(tables.read_partitioned(spark, path, schema)) == [("01", 9), ("02", 7)]
+
+
+def test_nothing_counts_before_its_commit(spark, tmp_path, schema, monkeypatch):
+    path = str(tmp_path / "t")
+    tables.write_days(keyed(spark, (1, "2026", "03", "01")), path, [D1])
+    with monkeypatch.context() as patched:
+        patched.setattr(commits, "commit", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            tables.write_days(keyed(spark, (5, "2026", "03", "01"), (6, "2026", "03", "02")), path, [D1, D2])
+    assert keys_by_day(tables.read_partitioned(spark, path, schema)) == [("01", 1)]
+    assert commits.remove_unfinished(spark, path) == 1
+    assert commits.remove_unfinished(spark, path) == 0
+    assert keys_by_day(tables.read_partitioned(spark, path, schema)) == [("01", 1)]
+
+
+def test_writers_that_meet_lose_nothing(spark, tmp_path, schema, monkeypatch):
+    """Another writer commits between a writer's look at the state and its own commit."""
+    path = str(tmp_path / "t")
+    tables.write_days(keyed(spark, (1, "2026", "03", "01")), path, [D1])
+    publish, meeting = commits._publish, []
+
+    def overtaken(*args):
+        if not meeting:
+            meeting.append(1)
+            tables.write_days(keyed(spark, (2, "2026", "03", "02")), path, [D2])
+        return publish(*args)
+
+    monkeypatch.setattr(commits, "_publish", overtaken)
+    tables.write_days(keyed(spark, (3, "2026", "03", "03")), path, [D3])
+    assert keys_by_day(tables.read_partitioned(spark, path, schema)) == [("01", 1), ("02", 2), ("03", 3)]
+    assert commits.state(spark, path).version == 3
+
+
+def test_blanks_and_null_text_survive_the_raw_layer(spark, tmp_path):
+    odd = [" a ", "\tb\t", "  ", "<nil>", "x <nil> y", "\\0", "", None]
+    rows = spark.createDataFrame([(n, 1, 1, Decimal("1.00"), text, datetime(2026, 3, 1)) for n, text in enumerate(odd)], ORDERS)
+    bronze.write_transactions(rows, ORDERS.fieldNames(), str(tmp_path / "days"), [D1])
+    found = bronze.read_transactions(spark, str(tmp_path / "days"), ORDERS, [D1])
+    assert [row.payment_method for row in found.orderBy("order_id").collect()] == odd
+
+
+def test_malformed_lines_are_counted_and_kept(spark, tmp_path):
+    layout = Layout.under(str(tmp_path / "malformed"))
+    days = [D1, D2, D3]
+    runs.extract(spark, shop(spark, ORDER_ROWS, ITEM_ROWS), layout, days)
+    lines = {"orders": "7,1,101,oops,Cash,2026-03-02 09:00:00", "order_items": "90,2,1,one,10.00"}
+    for name, line in lines.items():
+        (file,) = (tmp_path / "malformed" / "bronze" / name).glob("run=*/year=2026/month=03/day=02/part-*")
+        file.write_text(file.read_text() + line + "\n")
+        (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+    counts = runs.load_silver(spark, layout, days).collect()
+    assert {row.day: row.violations for row in counts if row.rule == "malformed_rows"} == {"01": 0, "02": 2, "03": 0}
+    kept = tables.read_partitioned(spark, f"{layout.quarantine}/malformed_rows", MALFORMED_ROWS).collect()
+    assert {(row.table_name, row.malformed_line, row.day) for row in kept} == {(name, line, "02") for name, line in lines.items()}
+    silver = tables.read_partitioned(spark, f"{layout.silver}/orders", SILVER_ORDERS)
+    assert silver.filter("order_id = 7 AND total_amount IS NULL").count() == 1
+    # put right and loaded again, they are gone
+    runs.extract(spark, shop(spark, ORDER_ROWS, ITEM_ROWS), layout, days)
+    runs.load_silver(spark, layout, days)
+    assert tables.every_stored_day(spark, f"{layout.quarantine}/malformed_rows") == []
+
+
+def test_emptied_raw_layer_takes_nothing_away(spark, tmp_path):
+    """Only a commit that says so empties a day; a missing raw layer, or one begun anew, says nothing about other days."""
+    raw, landed, checkpoint = (str(tmp_path / name) for name in ("raw", "landed", "checkpoint"))
+    data, names = shop(spark, ORDER_ROWS, ITEM_ROWS), ORDERS.fieldNames()
+    bronze.write_transactions(data.orders(D1, D2), names, raw, [D1, D2])
+    intake.ingest_arrivals(spark, raw, ORDERS, landed, checkpoint)
+    moved = tmp_path / "raw"
+    moved.rename(tmp_path / "away")
+    intake.ingest_arrivals(spark, raw, ORDERS, landed, checkpoint)
+    assert intake.read_landed(spark, landed, ORDERS).count() == 3
+    bronze.write_transactions(data.orders(D3, D3), names, raw, [D3])
+    intake.ingest_arrivals(spark, raw, ORDERS, landed, str(tmp_path / "checkpoint-2"))
+    assert sorted(row.order_id for row in intake.read_landed(spark, landed, ORDERS).collect()) == [1, 2, 3, 4]
+
+
+def test_stream_batches_can_be_repeated(spark, tmp_path):
+    """Without its checkpoint a stream sees all commits again, and lands nothing."""
+    raw, landed = str(tmp_path / "raw"), str(tmp_path / "landed")
+    data, names = shop(spark, ORDER_ROWS, ITEM_ROWS), ORDERS.fieldNames()
+    bronze.write_transactions(data.orders(D1, D3), names, raw, [D1, D2, D3])
+    intake.ingest_arrivals(spark, raw, ORDERS, landed, str(tmp_path / "c1"))
+    held = commits.state(spark, landed)
+    assert [(row.day, row.row_count) for row in intake.ledger(spark, landed).collect()] == [(D1, 1), (D2, 2), (D3, 1)]
+    intake.ingest_arrivals(spark, raw, ORDERS, landed, str(tmp_path / "c2"))
+    assert commits.state(spark, landed) == held
+    kept = {name for name in (tmp_path / "c1" / "sources" / "0").rglob("*") if name.is_file()}
+    assert not any("part-" in name.read_text(errors="replace") for name in kept)
+    assert intake.damaged_days(spark, landed, ORDERS) == []
+    (file,) = (tmp_path / "landed").glob("run=*/year=2026/month=03/day=01/part-*")
+    file.unlink()
+    assert intake.damaged_days(spark, landed, ORDERS) == [D1]
+
+
+def test_late_rows_are_found_however_late(spark, tmp_path):
+    layout = Layout.under(str(tmp_path / "late"))
+    early = shop(spark, [ORDER_ROWS[0], *ORDER_ROWS[2:]], ITEM_ROWS)
+    later = days_between(D1, date(2026, 3, 11))
+    runs.run_days(spark, early, layout, later[:3])
+    assert changes.late_days(spark, early, layout, later[2]) == []
+    complete = shop(spark, ORDER_ROWS, ITEM_ROWS)
+    found = changes.changed_days(spark, complete, layout, D1, later[-1]).collect()
+    assert [tuple(row) for row in found] == [(D2, 1, 2, 2, 4)]
+    # no look-back is given: the run of a day nine days later picks the row up
+    runs.run_days(spark, complete, layout, [later[10]], catch_up=True)
+    assert tables.read_partitioned(spark, f"{layout.silver}/orders", SILVER_ORDERS).count() == 4
+    assert changes.late_days(spark, complete, layout, later[10]) == []
+    # a changed value is a change, too, and so is a day that has lost its rows
+    changed = shop(spark, [(1, "10.00", "QRIS", "2026-03-01 09:00:00"), *ORDER_ROWS[1:3]], ITEM_ROWS)
+    found = changes.changed_days(spark, changed, layout, D1, D3).collect()
+    assert [tuple(row) for row in found] == [(D1, 1, 1, 1, 1), (D3, 1, 1, 0, 0)]
+
+
+def test_tests_of_a_run_stay_in_its_days(spark, tmp_path, monkeypatch):
+    layout = Layout.under(str(tmp_path / "scoped"))
+    far = date(2026, 5, 20)
+    data = shop(spark, [*ORDER_ROWS, (9, "10.00", "Cash", "2026-05-20 10:00:00")], [*ITEM_ROWS, (9, 1, "10.00")])
+    runs.run_days(spark, data, layout, [D1, D2, D3])
+    opened = []
+    real = tables.read_folders
+    monkeypatch.setattr(tables, "read_folders", lambda s, p, c, folders, *rest: opened.extend(folders) or real(s, p, c, folders, *rest))
+    summary = runs.run_days(spark, data, layout, [far], now="2026-05-21 09:00:00").collect()
+    assert opened and all("month=05/day=20" in name for name in opened)
+    assert {row.test_name: row.status for row in summary}["freshness_orders"] == "pass"
+    late = runs.freshness_test(spark, layout, "2026-06-21 09:00:00").first()
+    assert (late.violations, late.status) == (1, "fail")
+    everything = runs.run_tests(spark, layout, far).collect()
+    assert len(everything) == 11 and {row.status for row in everything} == {"pass"}
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -432,7 +581,7 @@ def test_large_day_is_split_and_small_days_are_one_file(spark, tmp_path, schema)
         tables.write_days(rows, str(path), days)
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    files = {folder.name: len(list(folder.glob("part-*"))) for folder in path.glob("year=2026/month=03/day=*")}
+    files = {folder.name: len(list(folder.glob("part-*"))) for folder in path.glob("run=*/year=2026/month=03/day=*")}
     assert len(files) == 10
     assert files.pop("day=03") > 2
     assert sorted(files.values())[4] == 1
@@ -449,5 +598,14 @@ def test_command_line(spark, tmp_path, capsys):
     main(["--source", str(tmp_path / "till"), "--root", lake, "--start-date", "2026-03-01", "--end-date", "2026-03-03"])
     assert "unique_fact_item_id" in capsys.readouterr().out
     assert runs.read_fact(spark, Layout.under(lake)).count() == 3
+    # a day, its catalog tables and a late row in one go
+    more = [*ORDER_ROWS, (5, "10.00", "Cash", "2026-03-04 09:00:00"), (6, "5.00", "Cash", "2026-03-01 10:00:00")]
+    data = shop(spark, more, [*ITEM_ROWS, (5, 1, "10.00"), (6, 2, "5.00")])
+    for name in ("orders", "order_items"):
+        data.frames[name].write.mode("overwrite").parquet(str(tmp_path / "till" / name))
+    main(["--source", str(tmp_path / "till"), "--root", lake, "--date", "2026-03-04", "--catch-up", "--database", "till_cli"])
+    rows = spark.sql("SELECT day, COUNT(*) AS n FROM till_cli.orders GROUP BY day ORDER BY day").collect()
+    assert [tuple(row) for row in rows] == [("01", 2), ("04", 1)]
+    assert spark.sql("SELECT SUM(quantity) FROM till_cli.fact_order_items WHERE day = '04'").first()[0] == 1
     with pytest.raises(SystemExit):
         main(["--source", "x", "--root", lake, "--start-date", "2026-03-03", "--end-date", "2026-03-01"])

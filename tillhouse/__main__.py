@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import logging
 import os
+from datetime import datetime, timezone
 
 from tillhouse.functions.fixed_values import CALENDAR_END
 from tillhouse.layout import Layout, lookback_days, parse_day, resolve_days, storage_section
@@ -23,6 +24,10 @@ def arguments() -> argparse.ArgumentParser:
     source.add_argument("--jdbc-url", help="till database; user and password come from TILL_DB_USER and TILL_DB_PASSWORD")
     parser.add_argument("--readers", type=int, default=8, help="parallel database readers")
     parser.add_argument("--lookback", type=int, default=0, help="days before each day that its late rows may belong to")
+    parser.add_argument("--catch-up", action="store_true", help="also run earlier days whose source rows have changed")
+    parser.add_argument("--database", help="catalog database whose tables follow the run")
+    parser.add_argument("--check-freshness", action="store_true", help="test the age of the newest order, too")
+    parser.add_argument("--test-everything", action="store_true", help="test all days, not those of the run")
     parser.add_argument("--calendar-end", default=CALENDAR_END, help="last day of dim_date")
     parser.add_argument("--normalize-tier", action="store_true", help="read 'Tier 1' as 1")
     parser.add_argument("--root", help="one folder for all layers")
@@ -55,8 +60,18 @@ def main(argv: list[str] | None = None) -> None:
         source = ParquetSource(spark, options.source)
     days = sorted({late for day in days for late in lookback_days(day, options.lookback)})
     calendar_end = parse_day(options.calendar_end).isoformat()
+    now = datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S") if options.check_freshness else None
     results = run_days(
-        spark, source, layout, days, calendar_end=calendar_end, normalize_tier=options.normalize_tier
+        spark,
+        source,
+        layout,
+        days,
+        calendar_end=calendar_end,
+        normalize_tier=options.normalize_tier,
+        catch_up=options.catch_up,
+        database=options.database,
+        now=now,
+        test_everything=options.test_everything,
     ).collect()
     for row in results:
         print(f"{row.status:5} {row.violations:>8} {row.test_name}")

@@ -7,7 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillhouse.functions.fixed_values import WEEKEND_LABELS
+from tillhouse.functions.fixed_values import RECENT_DAYS, WEEKEND_LABELS
 from tillhouse.layout import DAY_KEYS
 
 
@@ -64,7 +64,7 @@ def within(moment: Column, start: date, end: date) -> Column:
     )
 
 
-def recent(as_of: date, days: int = 3) -> Column:
+def recent(as_of: date, days: int = RECENT_DAYS) -> Column:
     """Rows whose partition is not older than the given number of days."""
     return day_text() >= F.date_sub(F.lit(as_of.isoformat()).cast("date"), days).cast("string")
 

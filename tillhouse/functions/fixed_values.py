@@ -47,3 +47,6 @@ FRESHNESS_ERROR_HOURS = 48
 
 # Text a NULL turns into in the raw layer.
 NULL_TEXT = "<nil>"
+
+# Tests of the fact's recent rows look at partitions that are not older than so many days.
+RECENT_DAYS = 3

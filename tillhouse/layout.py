@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
 
 DAY_KEYS = ["year", "month", "day"]
+# Above the days, the run that wrote them.
+RUN_KEY = "run"
 
 
 def _location(value: str) -> str:

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.functions.fixed_values import FRESHNESS_ERROR_HOURS, FRESHNESS_WARN_HOURS
@@ -78,32 +79,90 @@ def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def constraints(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Violations of the source's NOT NULL, primary-key and foreign-key declarations."""
-    found = []
+@dataclass(frozen=True)
+class Check:
+    """A declared test of one column: no NULL, no value twice, or every value known to a parent table's column.
+
+    where restricts it to some rows; for relationships, to some child rows.
+    """
+
+    kind: str
+    table: str
+    column: str
+    parent: str = ""
+    parent_column: str = ""
+    where: Column | None = None
+
+
+def violations(tables: Mapping[str, DataFrame], tests: Mapping[str, Check]) -> DataFrame:
+    """test_name, violations of all tests, from one scan of each table.
+
+    A row is turned into what its table's tests want to know of it: a value with what it counts for, as child or as parent, or
+    a mere count where it is NULL. One aggregation over tests and values then answers all tests: values seen twice, child
+    rows of values that no parent has. Values are counted before they are shuffled, so a frequent one costs a row per task.
+    """
+    numbered = list(tests.items())
+    entries = []
     for name, df in tables.items():
-        nulls = df.agg(*[F.count_if(F.col(column).isNull()).alias(column) for column in NOT_NULL[name]])
-        found.append(
-            nulls.unpivot([], NOT_NULL[name], "column_name", "violations").select(
-                F.lit("not_null").alias("constraint_kind"), F.lit(name).alias("table_name"), "column_name", "violations"
-            )
-        )
-        key = PRIMARY_KEYS[name]
-        found.append(_constraint("unique", name, key, unique(df, key).agg(F.count(F.lit(1)).alias("violations"))))
-    for child, column, parent, parent_column in FOREIGN_KEYS:
-        rows = unmatched(tables[child], column, tables[parent], parent_column)
-        total = rows.agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("violations"))
-        found.append(_constraint("foreign_key", child, column, total))
-    return _union(found)
-
-
-def _constraint(kind: str, table: str, column: str, violations: DataFrame) -> DataFrame:
-    return violations.select(
-        F.lit(kind).alias("constraint_kind"),
-        F.lit(table).alias("table_name"),
-        F.lit(column).alias("column_name"),
-        "violations",
+        found = [entry for i, (_, test) in enumerate(numbered) for entry in _entries(df, name, i, test)]
+        if found:
+            entries.append(df.select(F.explode(F.array_compact(F.array(*found))).alias("entry")).select("entry.*"))
+    counted = _union(entries).groupBy("test", "number", "text").agg(F.sum("n").alias("n"), F.sum("known").alias("known"))
+
+    def of(kind: str) -> Column:
+        return F.col("test").isin([i for i, (_, test) in enumerate(numbered) if test.kind == kind])
+
+    broken = (
+        F.when(of("not_null"), F.col("n"))
+        .when(of("unique"), (F.col("n") > 1).cast("long"))
+        .otherwise(F.when(F.col("known") == 0, F.col("n")).otherwise(0))
     )
+    found = counted.groupBy("test").agg(F.sum(broken).alias("violations"))
+    names = [F.struct(F.lit(i).alias("test"), F.lit(name).alias("test_name")) for i, (name, _) in enumerate(numbered)]
+    listed = found.sparkSession.range(1).select(F.inline(F.array(*names)))
+    return listed.join(found, "test", "left").select("test_name", F.coalesce("violations", F.lit(0)).alias("violations"))
+
+
+def _entries(df: DataFrame, name: str, i: int, test: Check) -> list[Column]:
+    """What the rows of a table contribute to a test: structs (test, number, text, n, known), NULL for no contribution."""
+
+    def entry(column: str, wanted: Column, n: int, known: int, valued: bool = True) -> Column:
+        whole = df.schema[column].dataType.typeName() in ("byte", "short", "integer", "long")
+        number = F.col(column).cast("long") if whole and valued else F.lit(None).cast("long")
+        text = F.col(column).cast("string") if valued and not whole else F.lit(None).cast("string")
+        parts = {"test": F.lit(i), "number": number, "text": text, "n": F.lit(n).cast("long"), "known": F.lit(known).cast("long")}
+        return F.when(wanted, F.struct(*[value.alias(part) for part, value in parts.items()]))
+
+    scope = F.lit(True) if test.where is None else F.coalesce(test.where, F.lit(False))
+    found = []
+    if name == test.table:
+        missing = F.col(test.column).isNull()
+        if test.kind == "not_null":
+            found.append(entry(test.column, scope & missing, 1, 0, valued=False))
+        else:
+            found.append(entry(test.column, scope & ~missing, 1, 0))
+    if test.kind == "relationships" and name == test.parent:
+        found.append(entry(test.parent_column, F.col(test.parent_column).isNotNull(), 0, 1))
+    return found
+
+
+def constraints(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Violations of the source's NOT NULL, primary-key and foreign-key declarations."""
+    declared = [Check("not_null", name, column) for name in tables for column in NOT_NULL[name]]
+    declared += [Check("unique", name, PRIMARY_KEYS[name]) for name in tables]
+    declared += [Check("relationships", *key) for key in FOREIGN_KEYS]
+    kinds = {"relationships": "foreign_key"}
+    names = [f"{kinds.get(test.kind, test.kind)} {test.table} {test.column}" for test in declared]
+    found = violations(tables, dict(zip(names, declared, strict=True)))
+    parts = F.split("test_name", " ")
+    columns = ["constraint_kind", "table_name", "column_name"]
+    return found.select(*[parts[k].alias(column) for k, column in enumerate(columns)], "violations")
+
+
+def summary_of(tables: Mapping[str, DataFrame], tests: Mapping[str, Check]) -> DataFrame:
+    """One row per test: its violations and whether it passed."""
+    status = F.when(F.col("violations") == 0, "pass").otherwise("fail").alias("status")
+    return violations(tables, tests).select("test_name", "violations", status)
 
 
 def result(name: str, violating: DataFrame) -> DataFrame:

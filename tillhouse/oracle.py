@@ -120,6 +120,12 @@ UNION ALL SELECT i.created_at, 'invalid_prices' FROM source_items i JOIN fx_menu
           WHERE i.price_per_item NOT IN (m.base_price, m.price_tier_1, m.price_tier_2, m.price_tier_3)
 UNION ALL SELECT created_at, 'duplicate_orders' FROM fx_orders GROUP BY created_at, order_id HAVING COUNT(*) > 1
 UNION ALL SELECT created_at, 'anomaly_cashiers' FROM source_outliers""",
+    # Ten days of which nine are stored, two of them not as they are now.
+    "early_orders": """
+SELECT *, CASE created_at WHEN DATE '2026-04-22' THEN COALESCE(payment_method <> 'GoPay', TRUE) WHEN DATE '2026-04-29' THEN FALSE
+       ELSE TRUE END AS stored,
+       COALESCE(CASE created_at WHEN DATE '2026-04-27' THEN payment_method <> UPPER(payment_method) END, FALSE) AS other
+FROM fx_orders WHERE created_at BETWEEN DATE '2026-04-22' AND DATE '2026-05-01'""",
     "menu_2": """
 SELECT menu_id, menu_name, category,
        CAST(CASE WHEN menu_id % 10 = 0 THEN base_price + 500 ELSE base_price END AS DECIMAL(12,2)) AS base_price,
@@ -288,7 +294,7 @@ _DAY_KEYS_OF = """CAST(EXTRACT(year FROM created_at) AS STRING) AS year,
 
 _RULE_NAMES = (
     "orders_without_items orders_discrepancies invalid_payments null_payments orphan_items invalid_prices "
-    "duplicate_orders anomaly_cashiers orphan_orders"
+    "duplicate_orders anomaly_cashiers orphan_orders malformed_rows"
 ).split()
 
 
@@ -422,8 +428,37 @@ SELECTS = {
     ),
     "backfill_gap_days": f"""{_SILVER_DAYS} WHERE created_at BETWEEN DATE '2026-04-29' AND {_RUN_DAY}
         AND (created_at <> DATE '2026-04-30' OR payment_method IS NULL OR payment_method <> 'GoPay')""",
-    "csv_odd_text": """SELECT * REPLACE (payment_method || CHR(10) || '"x\\n", ' || CHR(13) || '\\' AS payment_method)
-        FROM fx_orders""",
+    "csv_odd_text": """SELECT * REPLACE (CASE WHEN order_id % 7 = 0 THEN '<nil>' ELSE ' ' || CHR(9) || ' ' || payment_method
+        || CHR(10) || '"x\\n", ' || CHR(13) || '\\ ' || CHR(9) || ' ' END AS payment_method) FROM fx_orders""",
+    "dq_malformed_rows": f"""SELECT order_id || ',' || CASE order_id % 50 WHEN 11 THEN 'x1' ELSE CAST(outlet_id AS STRING) END
+        || ',' || cashier_id || ',' || CASE order_id % 50 WHEN 3 THEN 'oops' ELSE COALESCE(CAST(total_amount AS STRING), '<nil>') END
+        || ',' || COALESCE(payment_method, '<nil>') || ',' || CASE order_id % 50 WHEN 17 THEN '2026-13-45 00:00:00'
+        ELSE STRFTIME(created_at, '%Y-%m-%d 00:00:00') END AS malformed_line, {_DAY_KEYS_OF}
+        FROM fx_orders WHERE order_id % 50 IN (3, 11, 17)""",
+    "changed_days": """SELECT o.created_at AS day, orders_before, COALESCE(items_before, 0) AS items_before, orders_now,
+        COALESCE(items_now, 0) AS items_now
+        FROM (SELECT created_at, COUNT(*) FILTER (stored) AS orders_before, COUNT(*) AS orders_now, BOOL_OR(other OR NOT stored) AS differs
+              FROM early_orders GROUP BY created_at) o
+        LEFT JOIN (SELECT e.created_at, COUNT(*) FILTER (stored) AS items_before, COUNT(*) AS items_now FROM early_orders e
+              JOIN fx_order_items i ON i.order_id = e.order_id GROUP BY e.created_at) i
+        ON i.created_at = o.created_at WHERE differs""",
+    "run_quarantine": f"""SELECT rule, row_key, value, {_DAY_KEYS_OF} FROM (
+        SELECT 'orphan_items' AS rule, CAST(item_id AS STRING) AS row_key, CAST(menu_id AS STRING) AS value, created_at
+        FROM source_items WHERE menu_id NOT IN (SELECT menu_id FROM fx_menu_master)
+        UNION ALL SELECT 'invalid_payments', CAST(order_id AS STRING), payment_method, created_at FROM invalid_payments
+        UNION ALL SELECT 'invalid_prices', CAST(item_id AS STRING), CAST(price_per_item AS STRING), created_at
+        FROM source_items i JOIN fx_menu_master m ON i.menu_id = m.menu_id
+        WHERE price_per_item NOT IN (base_price, price_tier_1, price_tier_2, price_tier_3)
+        UNION ALL SELECT 'duplicate_orders', CAST(order_id AS STRING), CAST(COUNT(*) AS STRING), created_at FROM fx_orders
+        GROUP BY created_at, order_id HAVING COUNT(*) > 1
+        UNION ALL SELECT 'anomaly_cashiers', CAST(cashier_id AS STRING), CAST(tx_count AS STRING), created_at FROM source_outliers
+        UNION ALL SELECT 'orders_discrepancies', CAST(order_id AS STRING), CAST(calculated_total AS STRING), created_at
+        FROM source_checked WHERE total_amount <> calculated_total
+        ) WHERE created_at BETWEEN {_RUN_DAY} - 2 AND {_RUN_DAY}""",
+    "run_history": f"""SELECT CAST(menu_id AS STRING) AS menu_id, {_MENU}, {_UNPADDED}, updated_at AS valid_from, valid_to
+        FROM menu_versions""",
+    "stream_ledger": f"""SELECT created_at AS day, COUNT(*) FILTER (created_at <> {_RUN_DAY} OR payment_method IS NULL
+        OR payment_method <> 'QRIS') AS row_count FROM fx_orders GROUP BY created_at""",
     "stream_rerun_day": f"""SELECT * REPLACE (CASE WHEN created_at = {_RUN_DAY} THEN UPPER(payment_method)
         ELSE payment_method END AS payment_method), {_DAY_KEYS_OF} FROM fx_orders""",
     "run_dim_menu": _DIM_MENU + "(SELECT *, CAST(NULL AS DATE) AS valid_to FROM fx_menu_master)",

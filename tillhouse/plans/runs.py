@@ -5,13 +5,14 @@ from __future__ import annotations
 from datetime import date
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillhouse.functions.dates import recent
-from tillhouse.functions.fixed_values import CALENDAR_END
-from tillhouse.layout import Layout, day_path, stretches
+from tillhouse.functions.fixed_values import CALENDAR_END, RECENT_DAYS
+from tillhouse.layout import Layout, lookback_days, stretches
 from tillhouse.operators import checks, history
-from tillhouse.plans import gold, silver
+from tillhouse.plans import changes, gold, silver
 from tillhouse.schemas import FACT, MASTERS, ORDER_ITEMS, PRIMARY_KEYS, SILVER_ORDERS, TRANSACTIONS
 from tillhouse.session import (
     configure,
@@ -22,7 +23,7 @@ from tillhouse.session import (
     size_shuffles,
     stored_bytes,
 )
-from tillhouse.sources import bronze, tables
+from tillhouse.sources import bronze, catalog, commits, tables
 
 
 def extract(spark: SparkSession, source, layout: Layout, days: list[date]) -> None:
@@ -113,40 +114,63 @@ def read_fact(spark: SparkSession, layout: Layout) -> DataFrame:
     return tables.read_partitioned(spark, f"{layout.gold}/fact_order_items", FACT)
 
 
-def run_tests(spark: SparkSession, layout: Layout, as_of: date) -> DataFrame:
-    """The tests of the star schema and its inputs: one row per test."""
-    orders = tables.read_partitioned(spark, f"{layout.silver}/orders", SILVER_ORDERS)
-    items = tables.read_partitioned(spark, f"{layout.silver}/order_items", ORDER_ITEMS)
-    fact = read_fact(spark, layout)
-    fresh = fact.filter(recent(as_of))
-    dates = spark.read.parquet(f"{layout.gold}/dim_date")
-    menu = spark.read.parquet(f"{layout.gold}/dim_menu")
-    outlet = spark.read.parquet(f"{layout.gold}/dim_outlet")
-    return checks.summary(
-        {
-            "not_null_stg_orders_order_id": checks.not_null(orders, "order_id"),
-            "not_null_stg_order_items_item_id": checks.not_null(items, "item_id"),
-            "not_null_snp_menu_master_menu_id": checks.not_null(read_history(spark, layout, "menu_master"), "menu_id"),
-            "not_null_snp_outlet_master_outlet_id": checks.not_null(
-                read_history(spark, layout, "outlet_master"), "outlet_id"
-            ),
-            "not_null_fact_item_id": checks.not_null(fresh, "item_id"),
-            "not_null_dim_menu_menu_id": checks.not_null(menu, "menu_id"),
-            "not_null_dim_date_date": checks.not_null(dates, "date"),
-            "not_null_dim_outlet_outlet_id": checks.not_null(outlet, "outlet_id"),
-            "unique_fact_item_id": checks.unique(fresh, "item_id"),
-            "unique_dim_date_date": checks.unique(dates, "date"),
-            "relationships_fact_order_date": checks.relationships(fact, "order_date", dates, "date"),
-        }
-    )
+def run_tests(spark: SparkSession, layout: Layout, as_of: date, days: list[date] | None = None) -> DataFrame:
+    """The tests of the star schema and its inputs: one row per test, one scan per table.
+
+    With days, tables by day are read on these days and in the span of the tests that look at recent rows; no other
+    folder is opened, so the cost of a run's tests does not grow with the lake. Without, everything is read.
+    """
+    read = partial(tables.read_day_files, spark)
+    if days is not None:
+        days = sorted({*days, *lookback_days(as_of, RECENT_DAYS)})
+    tested = {
+        "stg_orders": read(f"{layout.silver}/orders", SILVER_ORDERS, days),
+        "stg_order_items": read(f"{layout.silver}/order_items", ORDER_ITEMS, days),
+        "snp_menu_master": read_history(spark, layout, "menu_master"),
+        "snp_outlet_master": read_history(spark, layout, "outlet_master"),
+        "fact_order_items": read(f"{layout.gold}/fact_order_items", FACT, days),
+        "dim_date": spark.read.parquet(f"{layout.gold}/dim_date"),
+        "dim_menu": spark.read.parquet(f"{layout.gold}/dim_menu"),
+        "dim_outlet": spark.read.parquet(f"{layout.gold}/dim_outlet"),
+    }
+    return checks.summary_of(tested, star_tests(recent(as_of, RECENT_DAYS)))
+
+
+def star_tests(fresh: Column | None = None) -> dict[str, checks.Check]:
+    """The declared tests; fresh says which rows of the fact those look at that are scoped by days."""
+    check = checks.Check
+    return {
+        "not_null_stg_orders_order_id": check("not_null", "stg_orders", "order_id"),
+        "not_null_stg_order_items_item_id": check("not_null", "stg_order_items", "item_id"),
+        "not_null_snp_menu_master_menu_id": check("not_null", "snp_menu_master", "menu_id"),
+        "not_null_snp_outlet_master_outlet_id": check("not_null", "snp_outlet_master", "outlet_id"),
+        "not_null_fact_item_id": check("not_null", "fact_order_items", "item_id", where=fresh),
+        "not_null_dim_menu_menu_id": check("not_null", "dim_menu", "menu_id"),
+        "not_null_dim_date_date": check("not_null", "dim_date", "date"),
+        "not_null_dim_outlet_outlet_id": check("not_null", "dim_outlet", "outlet_id"),
+        "unique_fact_item_id": check("unique", "fact_order_items", "item_id", where=fresh),
+        "unique_dim_date_date": check("unique", "dim_date", "date"),
+        "relationships_fact_order_date": check("relationships", "fact_order_items", "order_date", "dim_date", "date"),
+    }
 
 
 def source_freshness(spark: SparkSession, layout: Layout, now: str) -> DataFrame:
-    """Age of the newest silver order at the given time; the other tables are exempt."""
-    orders = tables.read_partitioned(spark, f"{layout.silver}/orders", SILVER_ORDERS)
+    """Age of the newest silver order at the given time; the other tables are exempt.
+
+    A row lies in the day of its creation, so the last day that has rows is all that is read.
+    """
+    path = f"{layout.silver}/orders"
+    orders = tables.read_day_files(spark, path, SILVER_ORDERS, tables.every_stored_day(spark, path)[-1:])
     return checks.freshness(orders, "created_at", now, "orders")
 
 
+def freshness_test(spark: SparkSession, layout: Layout, now: str) -> DataFrame:
+    """Freshness as a row of the test summary: a warning is no violation."""
+    status = F.when(F.col("status") == "error", "fail").otherwise(F.col("status")).alias("status")
+    stale = (F.col("status") == "error").cast("long").alias("violations")
+    return source_freshness(spark, layout, now).select(F.lit("freshness_orders").alias("test_name"), stale, status)
+
+
 def load_silver(spark: SparkSession, layout: Layout, days: list[date]) -> DataFrame:
     """Silver part of a run; returns the violations per day and rule."""
     masters = silver.load_masters(spark, layout)
@@ -161,18 +185,29 @@ def run_days(
     as_of: date | None = None,
     calendar_end: str = CALENDAR_END,
     normalize_tier: bool = False,
+    catch_up: bool = False,
+    database: str | None = None,
+    now: str | None = None,
+    test_everything: bool = False,
 ) -> DataFrame:
     """The daily chain over any days; returns the test summary.
 
     A backfill is the same plan with more days: there is no loop over them. Running it
     again gives the same state, and days that are not named stay as they are.
     calendar_end is the last day of dim_date; the fact's days must lie before it.
+    catch_up adds the earlier days whose source rows have changed since they were stored, however long ago that was.
+    database names the catalog tables that follow each run; now is the time freshness is measured at, if it is.
+    Tests look at the days of the run, or with test_everything at the whole lake.
     """
     configure(spark)
     size_shuffles(spark, source.size_bytes())
+    as_of = as_of or max(days)
+    if catch_up:
+        days = sorted({*days, *changes.late_days(spark, source, layout, max(days))})
     extract(spark, source, layout, days)
-    raw_folders = [day_path(f"{layout.bronze}/{name}", day) for name in TRANSACTIONS for day in days]
-    size_shuffles(spark, sum(stored_bytes(spark, folder) for folder in raw_folders))
+    raw = [f"{layout.bronze}/{name}" for name in TRANSACTIONS]
+    folders = [folder for path in raw for folder in commits.state(spark, path).folders(path, days)]
+    size_shuffles(spark, sum(stored_bytes(spark, folder) for folder in folders))
     masters = silver.load_masters(spark, layout)
     work = fresh_dir(spark, "run")
     try:
@@ -180,4 +215,7 @@ def run_days(
     finally:
         discard(spark, work)
     build_gold(spark, layout, days, masters, calendar_end, normalize_tier)
-    return run_tests(spark, layout, as_of or max(days))
+    if database:
+        catalog.publish(spark, layout, database, days)
+    results = run_tests(spark, layout, as_of, None if test_everything else days)
+    return results.unionByName(freshness_test(spark, layout, now)) if now else results

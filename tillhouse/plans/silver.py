@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import logging
 from datetime import date
-from functools import partial
+from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillhouse.layout import DAY_KEYS, Layout, day_values
 from tillhouse.operators import quality
@@ -16,17 +17,22 @@ from tillhouse.schemas import (
     CASHIER_COUNTS,
     CHECKED_ORDERS,
     DUPLICATE_ORDERS,
+    MALFORMED_ROWS,
     MASTERS,
     ORDER_ITEMS,
     ORDERS,
     RULE_COUNTS,
     SILVER_ORDERS,
+    with_days,
 )
 from tillhouse.session import discard, run_together
 from tillhouse.sources import bronze, tables
 
 log = logging.getLogger(__name__)
 
+# Lines of the raw layer that could not be read as their table says.
+MALFORMED = "malformed_rows"
+
 # Rules on groups of orders. Their rows are computed, those of other rules are picked from day files.
 GROUP_RULES = {"duplicate_orders": DUPLICATE_ORDERS, "anomaly_cashiers": CASHIER_COUNTS}
 
@@ -56,48 +62,76 @@ def quarantine_frames(checked: DataFrame, bad_items: DataFrame, scope: list[str]
     }
 
 
+def malformed_rows(parsed: dict[str, DataFrame]) -> DataFrame:
+    """Raw lines that did not fit, of tables that were read with rescue."""
+    lines = [
+        bronze.malformed_lines(rows).select(F.lit(name).alias("table_name"), bronze.RESCUED, *DAY_KEYS)
+        for name, rows in parsed.items()
+    ]
+    return reduce(DataFrame.unionByName, lines)
+
+
 def load_days(
     spark: SparkSession, layout: Layout, days: list[date], masters: dict[str, DataFrame], work: str
 ) -> DataFrame:
     """Check and store any number of days in one go; returns violations per day and rule.
 
     The raw items are parsed once, into silver. The orders with item total and status, and
-    the bad items, are written once to the working folder, split by day. Every later step
-    is a scan of day files, and a lost executor costs a re-read, not a repeat of the joins.
+    the bad items, are written once to the working folder, day by day. Every later step
+    is a scan of these files, and a lost executor costs a re-read, not a repeat of the joins.
+
+    Lines that do not fit their table stay in silver with NULL where nothing could be read, as the raw layer's reader
+    gives them, and go to quarantine as they are. The parse itself counts them: raw items are read again only when it
+    has met some.
     """
     if not days:
         raise ValueError("no days to load")
     outlets, menu = masters["outlet_master"], masters["menu_master"]
 
-    raw_items = bronze.read_transactions(spark, f"{layout.bronze}/order_items", ORDER_ITEMS, days)
-    tables.write_days(raw_items, f"{layout.silver}/order_items", days, aligned=True)
-    items = tables.read_day_files(spark, f"{layout.silver}/order_items", ORDER_ITEMS, days)
-    raw_orders = bronze.read_transactions(spark, f"{layout.bronze}/orders", ORDERS, days)
+    raw_items = bronze.read_transactions(spark, f"{layout.bronze}/order_items", ORDER_ITEMS, days, rescue=True)
+    seen = Observation()
+    parsed = raw_items.observe(seen, F.count(F.col(bronze.RESCUED)).alias("malformed")).drop(bronze.RESCUED)
+    silver_items, silver_orders = f"{layout.silver}/order_items", f"{layout.silver}/orders"
+    noted = tables.written_hashes(spark, silver_items, ORDER_ITEMS)
+    tables.write_days(parsed, silver_items, days, aligned=True, notes=noted)
+    malformed_items = raw_items if seen.get["malformed"] else None
+    items = tables.read_day_files(spark, silver_items, ORDER_ITEMS, days)
+    raw_orders = bronze.read_transactions(spark, f"{layout.bronze}/orders", ORDERS, days, rescue=True)
+
+    def kept_by_day(rows: DataFrame, name: str, schema: StructType) -> DataFrame:
+        """Stored with a day's rows side by side: few files for many small days, several for a large one."""
+        tables.write_table(rows.hint("rebalance", *DAY_KEYS), f"{work}/{name}")
+        return tables.read_table(spark, f"{work}/{name}", with_days(schema))
 
     def check_orders() -> DataFrame:
         rows = quality.with_status(quality.with_order_totals(raw_orders, items, DAY_KEYS))
-        tables.write_days(rows, f"{work}/orders", days)
-        return tables.read_day_files(spark, f"{work}/orders", CHECKED_ORDERS, days)
+        return kept_by_day(rows.select(*CHECKED_ORDERS.fieldNames(), *DAY_KEYS), "orders", CHECKED_ORDERS)
 
     def check_items() -> DataFrame:
-        tables.write_days(quality.bad_items(items, menu), f"{work}/bad_items", days)
-        return tables.read_day_files(spark, f"{work}/bad_items", BAD_ITEMS, days)
+        rows = quality.bad_items(items, menu)
+        return kept_by_day(rows.select(*BAD_ITEMS.fieldNames(), *DAY_KEYS), "bad_items", BAD_ITEMS)
 
     checked, bad_items = run_together(spark, [check_orders, check_items])
 
     def store_orders() -> None:
         rows = checked.select(*SILVER_ORDERS.fieldNames(), *DAY_KEYS)
-        tables.write_days(rows, f"{layout.silver}/orders", days, aligned=True)
+        # the prints that a later run compares with the source are those of the source's columns
+        noted = tables.written_hashes(spark, silver_orders, ORDERS)
+        tables.write_days(rows, silver_orders, days, aligned=True, notes=noted)
+
+    def store_malformed() -> None:
+        rows = malformed_rows({"orders": checked} | ({"order_items": malformed_items} if malformed_items else {}))
+        tables.write_days(rows, f"{layout.quarantine}/{MALFORMED}", days, aligned=True)
 
     def store_bad(rule: str, rows: DataFrame) -> None:
         tables.write_days(rows, f"{layout.quarantine}/{rule}", days, aligned=rule not in GROUP_RULES)
 
     bad = quarantine_frames(checked, bad_items, DAY_KEYS)
-    run_together(spark, [store_orders, *(partial(store_bad, rule, rows) for rule, rows in bad.items())])
+    run_together(spark, [store_orders, store_malformed, *(partial(store_bad, rule, rows) for rule, rows in bad.items())])
 
     found = {
         rule: tables.read_day_files(spark, f"{layout.quarantine}/{rule}", schema, days)
-        for rule, schema in GROUP_RULES.items()
+        for rule, schema in {**GROUP_RULES, MALFORMED: MALFORMED_ROWS}.items()
     }
     found["orphan_orders"] = quality.orphans(checked, outlets, "outlet_id")
     batches = spark.createDataFrame([day_values(day) for day in days], DAY_KEYS)

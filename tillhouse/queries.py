@@ -4,18 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
-from functools import cache
+from functools import cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tillhouse import samples
 from tillhouse.functions.dates import day_keys, recent, with_day_keys
 from tillhouse.functions.fixed_values import PROJECTED_YEARS
 from tillhouse.layout import DAY_KEYS, Layout, lookback_days, projected_partitions
 from tillhouse.operators import checks, history, quality
-from tillhouse.plans import gold, runs
-from tillhouse.schemas import MENU_MASTER, ORDER_ITEMS, ORDERS, OUTLET_MASTER, SILVER_ORDERS
+from tillhouse.plans import changes, gold, runs
+from tillhouse.schemas import (
+    AMOUNT_SUM,
+    BAD_ITEMS,
+    CASHIER_COUNTS,
+    DUPLICATE_ORDERS,
+    FACT,
+    MALFORMED_LINE,
+    MALFORMED_ROWS,
+    MENU_MASTER,
+    ORDER_ITEMS,
+    ORDERS,
+    OUTLET_MASTER,
+    SILVER_ORDERS,
+)
 from tillhouse.session import configure, fresh_dir, size_shuffles, stored_bytes
 from tillhouse.sources import bronze, catalog, source, tables
 from tillhouse.streaming import intake
@@ -186,7 +200,7 @@ def catalog_external_table(spark, sf_dir):
     name = "sample_silver_orders"
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     catalog.create_external_table(spark, name, SILVER_ORDERS, path, by_day=True)
-    catalog.recover_partitions(spark, name)
+    catalog.register_days(spark, name, path)
     return (
         spark.table(name)
         .groupBy(*DAY_KEYS)
@@ -237,7 +251,7 @@ def fact_incremental_overwrite(spark, sf_dir):
     tables.write_days(fact, path, samples.ALL_DAYS)
     rest = orders.filter(F.col("cashier_id") != 100)
     tables.write_days(gold.fact_for_day(rest, items, RUN_DAY), path, [RUN_DAY])
-    return _dated(spark.read.schema(fact.schema).parquet(path))
+    return _dated(tables.read_partitioned(spark, path, FACT))
 
 
 @query
@@ -512,24 +526,20 @@ def test_constraints(spark, sf_dir):
 @query
 def test_summary(spark, sf_dir):
     orders, items = samples.silver_orders(spark, sf_dir), samples.silver_items(spark, sf_dir)
-    fact = gold.fact_order_items(orders, items)
-    dates = gold.calendar(spark)
     menu = history.first_load(samples.menu_master(spark, sf_dir), "menu_id")
     outlets = history.first_load(samples.outlet_master(spark, sf_dir), "outlet_id")
-    return checks.summary(
+    return checks.summary_of(
         {
-            "not_null_stg_orders_order_id": checks.not_null(orders, "order_id"),
-            "not_null_stg_order_items_item_id": checks.not_null(items, "item_id"),
-            "not_null_snp_menu_master_menu_id": checks.not_null(menu, "menu_id"),
-            "not_null_snp_outlet_master_outlet_id": checks.not_null(outlets, "outlet_id"),
-            "not_null_fact_item_id": checks.not_null(fact, "item_id"),
-            "not_null_dim_menu_menu_id": checks.not_null(gold.dim_menu(menu), "menu_id"),
-            "not_null_dim_date_date": checks.not_null(dates, "date"),
-            "not_null_dim_outlet_outlet_id": checks.not_null(gold.dim_outlet(outlets), "outlet_id"),
-            "unique_fact_item_id": checks.unique(fact, "item_id"),
-            "unique_dim_date_date": checks.unique(dates, "date"),
-            "relationships_fact_order_date": checks.relationships(fact, "order_date", dates, "date"),
-        }
+            "stg_orders": orders,
+            "stg_order_items": items,
+            "snp_menu_master": menu,
+            "snp_outlet_master": outlets,
+            "fact_order_items": gold.fact_order_items(orders, items),
+            "dim_date": gold.calendar(spark),
+            "dim_menu": gold.dim_menu(menu),
+            "dim_outlet": gold.dim_outlet(outlets),
+        },
+        runs.star_tests(),
     )
 
 
@@ -611,14 +621,92 @@ def daily_run(spark, sf_dir):
 
 @query
 def csv_odd_text(spark, sf_dir):
-    """Payment methods with quotes, backslashes and line breaks, through the raw layer of transactions."""
+    """Payment methods with quotes, backslashes, line breaks, blanks at both ends, or reading like NULL, through the raw layer."""
     path = f"{fresh_dir(spark, 'odd')}/orders"
     rows = _source(spark, sf_dir).table("orders")
-    odd = rows.withColumn("payment_method", F.concat("payment_method", F.lit('\n"x\\n", \r\\')))
+    wrapped = F.concat(F.lit(" \t "), "payment_method", F.lit('\n"x\\n", \r\\ \t '))
+    odd = rows.withColumn("payment_method", F.when(F.col("order_id") % 7 == 0, "<nil>").otherwise(wrapped))
     bronze.write_transactions(odd, ORDERS.fieldNames(), path, samples.ALL_DAYS)
     return _dated(bronze.read_transactions(spark, path, ORDERS, samples.ALL_DAYS).drop(*DAY_KEYS))
 
 
+@query
+def dq_malformed_rows(spark, sf_dir):
+    """Lines of the raw layer that do not fit: amounts, outlets and times that are none."""
+    path = f"{fresh_dir(spark, 'malformed')}/orders"
+    rows = with_day_keys(_source(spark, sf_dir).table("orders"), "created_at")
+    text = source.as_text(rows.withColumns({"order_id": F.col("order_id"), "outlet_id": F.col("outlet_id").cast("string")}))
+    kind = F.col("order_id") % 50
+    broken = {"total_amount": (3, "oops"), "outlet_id": (11, "x1"), "created_at": (17, "2026-13-45 00:00:00")}
+    text = text.withColumns({name: F.when(kind == k, value).otherwise(F.col(name)) for name, (k, value) in broken.items()})
+    tables.write_days(text, path, samples.ALL_DAYS, fmt="csv", options=bronze.CSV_OPTIONS)
+    return bronze.malformed(spark, path, ORDERS, samples.ALL_DAYS)
+
+
+@query
+def changed_days(spark, sf_dir):
+    """Nine of ten days are stored: the first without its GoPay orders, the sixth with payments in capitals, the eighth not at all."""
+    layout = _layout(spark, "changed")
+    days = lookback_days(RUN_DAY, 9)
+    complete = samples.source_tables(spark, sf_dir)
+    on = F.to_date("created_at")
+    late = (on == F.lit(days[0])) & F.coalesce(F.col("payment_method") == "GoPay", F.lit(False))
+    method = F.when(on == F.lit(days[5]), F.upper("payment_method")).otherwise(F.col("payment_method"))
+    early = source.FrameSource({**complete, "orders": complete["orders"].filter(~late).withColumn("payment_method", method)})
+    stored = days[:7] + days[8:]
+    runs.extract(spark, early, layout, stored)
+    runs.load_silver(spark, layout, stored)
+    return changes.changed_days(spark, source.FrameSource(complete), layout, days[0], RUN_DAY)
+
+
+@query
+def run_quarantine(spark, sf_dir):
+    """The quarantine tables as a run over three days stores them, and what is wrong with each row."""
+    layout = _layout(spark, "quarantine")
+    days = lookback_days(RUN_DAY)
+    runs.extract(spark, _source(spark, sf_dir), layout, days)
+    runs.load_silver(spark, layout, days)
+    totals = StructType([*ORDERS.fields, StructField("calculated_total", AMOUNT_SUM)])
+    prices = StructType([field for field in BAD_ITEMS if field.name not in ("price_valid", "menu_known")])
+    kept = {
+        "orphan_items": (ORDER_ITEMS, "item_id", "menu_id"),
+        "invalid_payments": (ORDERS, "order_id", "payment_method"),
+        "invalid_prices": (prices, "item_id", "price_per_item"),
+        "duplicate_orders": (DUPLICATE_ORDERS, "order_id", "count"),
+        "anomaly_cashiers": (CASHIER_COUNTS, "cashier_id", "tx_count"),
+        "orders_discrepancies": (totals, "order_id", "calculated_total"),
+        "malformed_rows": (MALFORMED_ROWS, "table_name", MALFORMED_LINE.name),
+    }
+    found = [
+        tables.read_partitioned(spark, f"{layout.quarantine}/{rule}", schema).select(
+            F.lit(rule).alias("rule"), F.col(key).cast("string").alias("row_key"), F.col(value).cast("string").alias("value"), *DAY_KEYS
+        )
+        for rule, (schema, key, value) in kept.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+@query
+def run_history(spark, sf_dir):
+    """The menu's history as two loads store it."""
+    layout = _layout(spark, "history")
+    menu = samples.menu_master(spark, sf_dir)
+    runs.refresh_history(spark, layout, "menu_master", menu)
+    return runs.refresh_history(spark, layout, "menu_master", samples.second_menu(menu))
+
+
+@query
+def stream_ledger(spark, sf_dir):
+    """What has been landed, by day, after all days arrived and one of them once more, without its QRIS orders."""
+    path = _bronze_orders(spark, sf_dir, "ledger")
+    landed, checkpoint = fresh_dir(spark, "landed"), fresh_dir(spark, "stream-checkpoint")
+    intake.ingest_arrivals(spark, path, ORDERS, landed, checkpoint)
+    rest = _source(spark, sf_dir).orders(RUN_DAY, RUN_DAY).filter("payment_method IS NULL OR payment_method <> 'QRIS'")
+    bronze.write_transactions(rest, ORDERS.fieldNames(), path, [RUN_DAY])
+    intake.ingest_arrivals(spark, path, ORDERS, landed, checkpoint)
+    return intake.ledger(spark, landed).select("day", "row_count")
+
+
 @query
 def stream_rerun_day(spark, sf_dir):
     """All days arrive, then one day arrives again with its payments in capitals."""
@@ -635,5 +723,5 @@ def stream_rerun_day(spark, sf_dir):
 def stream_bronze_ingest(spark, sf_dir):
     path = _bronze_orders(spark, sf_dir, "stream")
     landed, checkpoint = fresh_dir(spark, "landed"), fresh_dir(spark, "stream-checkpoint")
-    intake.ingest_arrivals(spark, path, ORDERS, landed, checkpoint, files_per_batch=250)
+    intake.ingest_arrivals(spark, path, ORDERS, landed, checkpoint, days_per_batch=250)
     return _dated(intake.read_landed(spark, landed, ORDERS))

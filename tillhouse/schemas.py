@@ -61,9 +61,17 @@ DAY_FIELDS = _schema(year=T.StringType(), month=T.StringType(), day=T.StringType
 
 SILVER_ORDERS = T.StructType(ORDERS.fields + [T.StructField("data_quality_status", T.StringType(), True)])
 
+MALFORMED_LINE = T.StructField("malformed_line", T.StringType(), True)
+
+MALFORMED_ROWS = T.StructType([T.StructField("table_name", T.StringType(), True), MALFORMED_LINE])
+
 CHECKED_ORDERS = T.StructType(
     ORDERS.fields
-    + [T.StructField("calculated_total", AMOUNT_SUM, True), T.StructField("data_quality_status", T.StringType(), True)]
+    + [
+        MALFORMED_LINE,
+        T.StructField("calculated_total", AMOUNT_SUM, True),
+        T.StructField("data_quality_status", T.StringType(), True),
+    ]
 )
 
 BAD_ITEMS = T.StructType(

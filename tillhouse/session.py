@@ -23,6 +23,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join even when that costs one more shuffle after it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Folders of many days are listed by tasks, but not by one task each.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
 }
 
 # Only used when a storage path is s3a://.

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,9 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tillhouse.functions.dates import in_days
-from tillhouse.layout import DAY_KEYS, day_path, partition_text
+from tillhouse.layout import DAY_KEYS, RUN_KEY
 from tillhouse.schemas import with_days
-from tillhouse.session import file_system
+from tillhouse.sources import commits
 
 log = logging.getLogger(__name__)
 
@@ -21,6 +22,12 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+# A task's files go straight to their folder when it ends. They do not count before the commit names them.
+COMMITTER = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
+# On a local disk every file and folder costs a process that sets its permissions; files with checksums cost three.
+LOCAL = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
+
 def write_days(
     df: DataFrame,
     path: str,
@@ -28,65 +35,70 @@ def write_days(
     fmt: str = "parquet",
     options: dict[str, str] | None = None,
     aligned: bool = False,
+    notes: Callable[[str, list[date]], dict[date, dict]] | None = None,
 ) -> None:
-    """Replace the given days of a table, in one job.
+    """Replace the given days of a table, in one job and one commit.
 
     Rebalancing puts a small day into one file and splits a large one over several tasks.
     aligned says that df comes straight from files that are already split by day: then
-    nothing is shuffled. A day that produced no rows is cleared, so nothing of an earlier
-    run stays behind. Rows of other days are left out: days outside the list are not touched.
+    nothing is shuffled. A day that produced no rows is recorded as empty. Rows of other
+    days are left out: days outside the list are not touched. notes gives what is kept
+    with each day of the run, before it counts.
     """
     spark = df.sparkSession
-    before = {day: _any_file(spark, day_path(path, day)) for day in stored_days(spark, path, days)}
+    run = commits.new_run()
     df = df.filter(in_days(days))
     if not aligned:
         df = df.hint("rebalance", *DAY_KEYS)
     (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .options(**(options or {}))
-        .partitionBy(*DAY_KEYS)
+        df.withColumn(RUN_KEY, F.lit(run))
+        .write.mode("append")
+        .options(**COMMITTER, **LOCAL, **(options or {}))
+        .partitionBy(RUN_KEY, *DAY_KEYS)
         .format(fmt)
         .save(path)
     )
-    # A day with new rows lost all its old files; one that still has them got no rows.
-    clear_days(spark, path, [day for day, file in before.items() if file and _exists(spark, file)])
+    found = commits.written_days(spark, path, days, run)
+    noted = notes(run, found) if notes else {}
+    new = {day: commits.Entry(run, day not in found, noted.get(day, {})) for day in days}
+    commits.commit(spark, path, lambda held: held | new)
 
 
-def stored_days(spark: SparkSession, path: str, days: list[date]) -> list[date]:
-    """Those of the days that have a folder."""
-    fs, pattern = file_system(spark, _day_pattern(path, days))
-    found = {entry.getPath().toString().rsplit("/year=", 1)[1] for entry in fs.globStatus(pattern) or []}
-    return [day for day in days if partition_text(day).removeprefix("year=") in found]
+def day_hashes(rows: DataFrame) -> dict[date, dict]:
+    """Row count and hash of each day; the hash does not depend on the rows' order. One row per day is collected."""
+    columns = [name for name in rows.columns if name not in DAY_KEYS]
+    found = rows.groupBy(*DAY_KEYS).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.xxhash64(*columns).cast("decimal(20,0)")).cast("string").alias("hash")
+    )
+    return {date(int(row.year), int(row.month), int(row.day)): {"rows": row.rows, "hash": row.hash} for row in found.collect()}
 
 
-def every_stored_day(spark: SparkSession, path: str) -> list[date]:
-    """All days that have a folder."""
-    fs, pattern = file_system(spark, f"{path}/year=*/month=*/day=*")
-    texts = [entry.getPath().toString().rsplit("/year=", 1)[1] for entry in fs.globStatus(pattern) or []]
-    return sorted(date(*(int(part.rsplit("=", 1)[-1]) for part in text.split("/"))) for text in texts)
+def written_hashes(spark: SparkSession, path: str, schema: StructType) -> Callable[[str, list[date]], dict[date, dict]]:
+    """Notes for write_days: count and hash of the rows it has just written, read back from their files."""
 
+    def notes(run: str, found: list[date]) -> dict[date, dict]:
+        folders = [commits.run_folder(path, day, run) for day in found]
+        return day_hashes(read_folders(spark, path, schema, folders)) if folders else {}
 
-def _day_pattern(path: str, days: list[date]) -> str:
-    """One glob for the folders of all days; days without a folder do not match."""
-    return f"{path}/{{{','.join(partition_text(day) for day in days)}}}"
+    return notes
 
 
-def _any_file(spark: SparkSession, folder: str) -> str | None:
-    fs, hadoop_path = file_system(spark, folder)
-    entries = fs.listStatusIterator(hadoop_path)
-    return entries.next().getPath().toString() if entries.hasNext() else None
+def stored_days(spark: SparkSession, path: str, days: list[date]) -> list[date]:
+    """Those of the days that have rows."""
+    return commits.state(spark, path).filled(days)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, hadoop_path = file_system(spark, path)
-    return fs.exists(hadoop_path)
+def every_stored_day(spark: SparkSession, path: str) -> list[date]:
+    """All days that have rows."""
+    return commits.state(spark, path).filled()
 
 
-def clear_days(spark: SparkSession, path: str, days: list[date]) -> None:
-    for day in days:
-        fs, folder = file_system(spark, day_path(path, day))
-        fs.delete(folder, True)
+def clear_days(spark: SparkSession, path: str, days: list[date], notes: dict[date, dict] | None = None) -> None:
+    """Record the days as empty."""
+    run = commits.new_run()
+    new = {day: commits.Entry(run, True, (notes or {}).get(day, {})) for day in days}
+    if new:
+        commits.commit(spark, path, lambda held: held | new)
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -97,24 +109,40 @@ def read_day_files(
     spark: SparkSession,
     path: str,
     schema: StructType,
-    days: list[date],
+    days: list[date] | None = None,
+    fmt: str = "parquet",
+    options: dict[str, str] | None = None,
+    held: commits.State | None = None,
+) -> DataFrame:
+    """Read only the folders of the given days, or of all: nothing else of the table is even listed.
+
+    held is the state to read, if not the newest.
+    """
+    held = held or commits.state(spark, path)
+    folders = held.folders(path, days)
+    if days is not None and len(folders) < len(set(days)):
+        log.warning("%s: no rows for %d of %d days", path, len(set(days)) - len(folders), len(set(days)))
+    return read_folders(spark, path, schema, folders, fmt, options)
+
+
+def read_folders(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    folders: list[str],
     fmt: str = "parquet",
     options: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Read only the folders of the given days: nothing else of the table is even listed."""
-    missing = len(days) - len(stored_days(spark, path, days))
-    if missing:
-        log.warning("%s: no files for %d of %d days", path, missing, len(days))
     full = with_days(schema)
-    if missing == len(days):
+    if not folders:
         return spark.createDataFrame([], full)
     reader = spark.read.schema(full).options(**(options or {})).option("basePath", path)
-    return reader.format(fmt).load(_day_pattern(path, days))
+    return reader.format(fmt).load(folders).select(*full.fieldNames())
 
 
 def read_partitioned(spark: SparkSession, path: str, schema: StructType, days: list[date] | None = None) -> DataFrame:
-    """The whole table by its root, pruned by the partition keys when days are given."""
-    table = spark.read.schema(with_days(schema)).parquet(path)
+    """The whole table as it is now, pruned by the partition keys when days are given."""
+    table = read_day_files(spark, path, schema)
     return table.filter(in_days(days)) if days else table
 
 
