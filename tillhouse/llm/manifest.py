@@ -77,13 +77,13 @@ def leaves(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", F.col("lang").cast("string").alias("lang"), digest(F.col("text")).alias("digest"), changed.alias("changed"))
 
 
-def completed(start: int, digests: list[bytes], base: int, total: int) -> Iterator[tuple[int, int, bytes]]:
+def completed(start: int, digests: list[bytes], base: int, total: int, levels: int = LEVELS) -> Iterator[tuple[int, int, bytes]]:
     """(level, node, digest) of a block's nodes in the order of their completion.
 
     digests: the block's nodes of level base, the first of which is node start; total: all leaves of the tree.
     """
-    most = min(base + LEVELS, max(base, height(total)))
-    held: list[list[str]] = [[] for _ in range(LEVELS + 1)]
+    most = min(base + levels, max(base, height(total)))
+    held: list[list[str]] = [[] for _ in range(levels + 1)]
     ends = nodes_at(base, total) - 1
     for i, value in enumerate(digests, start):
         level, node = base, i
@@ -101,13 +101,13 @@ def completed(start: int, digests: list[bytes], base: int, total: int) -> Iterat
             level, node = level + 1, node // ARITY
 
 
-def _grow(nodes: DataFrame, base: int) -> DataFrame:
+def _grow(nodes: DataFrame, base: int, levels: int) -> DataFrame:
     """The part of the log that one round of builders writes. nodes: lang, node, digest, total of level base."""
 
     def build(table: pa.Table) -> pa.Table:
         table = table.sort_by("node")
         lang, total, start = (table.column(c)[0].as_py() for c in ("lang", "total", "node"))
-        rows = list(completed(start, table.column("digest").to_pylist(), base, total))
+        rows = list(completed(start, table.column("digest").to_pylist(), base, total, levels))
         top = height(total)
         return pa.table(
             {
@@ -121,18 +121,18 @@ def _grow(nodes: DataFrame, base: int) -> DataFrame:
             }
         )
 
-    block = F.floor(F.col("node") / ARITY**LEVELS).alias("block")
+    block = F.floor(F.col("node") / ARITY**levels).alias("block")
     return stored(nodes.groupBy("lang", block).applyInArrow(build, LOG), "log")
 
 
-def grow(entries: DataFrame) -> list[DataFrame]:
+def grow(entries: DataFrame, levels: int = LEVELS) -> list[DataFrame]:
     """The log of every tree, one table for each round. entries: lang, rank, total, digest of all leaves."""
     most = entries.agg(F.max("total")).first()[0] or 0
     nodes = entries.select("lang", F.col("rank").alias("node"), "digest", "total")
-    log = [_grow(nodes, 0)]
-    while ARITY ** (base := len(log) * LEVELS) < most:
+    log = [_grow(nodes, 0, levels)]
+    while ARITY ** (base := len(log) * levels) < most:
         tops = log[-1].filter((F.col("level") == base) & ~F.col("top"))
-        log.append(_grow(tops.select("lang", "node", "digest", "total"), base))
+        log.append(_grow(tops.select("lang", "node", "digest", "total"), base, levels))
     return log
 
 
@@ -147,9 +147,9 @@ def roots(log: list[DataFrame]) -> DataFrame:
 class Stretch:
     """A block's entries of the log, by place, and the way from the block's top to the root."""
 
-    def __init__(self, block: int, base: int, total: int, log: dict[int, bytes], path: list[tuple[str, str]]):
+    def __init__(self, block: int, base: int, levels: int, total: int, log: dict[int, bytes], path: list[tuple[str, str]]):
         self.base, self.total, self.log = base, total, log
-        self.ways = {(min(base + LEVELS, max(base, height(total))), block): path}
+        self.ways = {(min(base + levels, max(base, height(total))), block): path}
 
     def node(self, level: int, node: int) -> bytes:
         return self.log[place(level, node, self.total)]
@@ -175,13 +175,13 @@ def folded(leaf: bytes, way: list[tuple[str, str]]) -> str:
     return value
 
 
-def _in_blocks(log: list[DataFrame], above: DataFrame, asked: DataFrame | None, round_: int) -> DataFrame:
+def _in_blocks(log: list[DataFrame], above: DataFrame, asked: DataFrame | None, round_: int, levels: int) -> DataFrame:
     """What the blocks of a round need, as rows of one kind: their way up, their part of the log, the leaves asked for."""
-    base, size = round_ * LEVELS, ARITY**LEVELS
+    base, size = round_ * levels, ARITY**levels
     entries = log[round_]
     if round_:
         entries = entries.unionByName(log[round_ - 1].filter((F.col("level") == base) & ~F.col("top")))
-    width = F.pow(F.lit(ARITY), F.lit(base + LEVELS) - F.col("level"))
+    width = F.pow(F.lit(ARITY), F.lit(base + levels) - F.col("level"))
     entries = entries.withColumn("block", F.floor(F.col("node") / width).cast("long"))
     kinds = dict(part.split(" ", 1) for part in ROWS.split(", "))
 
@@ -196,24 +196,24 @@ def _in_blocks(log: list[DataFrame], above: DataFrame, asked: DataFrame | None,
     return rows
 
 
-def _stretch(table: pa.Table, base: int) -> tuple[Stretch, pa.Table, dict]:
+def _stretch(table: pa.Table, base: int, levels: int) -> tuple[Stretch, pa.Table, dict]:
     role = table.column("role").to_numpy()
     head = table.filter(pa.array(role == 0)).to_pylist()[0]
     entries = table.filter(pa.array(role == 1))
     log = dict(zip(*(entries.column(c).to_pylist() for c in ("place", "digest")), strict=True))
     path = [(step["left"], step["right"]) for step in head["path"]]
     total = entries.column("total")[0].as_py()
-    return Stretch(head["block"], base, total, log, path), table.filter(pa.array(role == 2)), head
+    return Stretch(head["block"], base, levels, total, log, path), table.filter(pa.array(role == 2)), head
 
 
-def _ways(log: list[DataFrame], above: DataFrame, round_: int) -> DataFrame:
+def _ways(log: list[DataFrame], above: DataFrame, round_: int, levels: int) -> DataFrame:
     """The way up from every node of level base, which is the top of a block of the round before."""
-    base = round_ * LEVELS
+    base = round_ * levels
 
     def run(table: pa.Table) -> pa.Table:
-        stretch, _, head = _stretch(table, base)
-        start = head["block"] * ARITY**LEVELS
-        nodes = range(start, min(start + ARITY**LEVELS, nodes_at(base, stretch.total)))
+        stretch, _, head = _stretch(table, base, levels)
+        start = head["block"] * ARITY**levels
+        nodes = range(start, min(start + ARITY**levels, nodes_at(base, stretch.total)))
         out = [
             {k: head[k] for k in ("lang", "subroot", "root")}
             | {"block": node, "path": [{"left": a, "right": b} for a, b in stretch.way(base, node)]}
@@ -221,7 +221,7 @@ def _ways(log: list[DataFrame], above: DataFrame, round_: int) -> DataFrame:
         ]
         return pa.Table.from_pylist(out, schema=_ARROW_WAYS)
 
-    return stored(_in_blocks(log, above, None, round_).groupBy("lang", "block").applyInArrow(run, _WAYS), "ways")
+    return stored(_in_blocks(log, above, None, round_, levels).groupBy("lang", "block").applyInArrow(run, _WAYS), "ways")
 
 
 _STEPS = pa.list_(pa.struct([("left", pa.string()), ("right", pa.string())]))
@@ -230,9 +230,9 @@ _ARROW_WAYS = pa.schema([("lang", pa.string()), ("block", pa.int64()), ("path",
 _PROOFS = "doc_id long, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean"
 
 
-def _proofs(log: list[DataFrame], above: DataFrame, entries: DataFrame) -> DataFrame:
+def _proofs(log: list[DataFrame], above: DataFrame, entries: DataFrame, levels: int) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
-        stretch, asked, head = _stretch(table, 0)
+        stretch, asked, head = _stretch(table, 0, levels)
         subroot, root = head["subroot"].hex(), head["root"].hex()
         out: dict[str, list] = {part.split()[0]: [] for part in _PROOFS.split(", ")}
         for doc_id, rank, changed in zip(*(asked.column(c).to_pylist() for c in ("doc_id", "place", "changed")), strict=True):
@@ -244,43 +244,43 @@ def _proofs(log: list[DataFrame], above: DataFrame, entries: DataFrame) -> DataF
         kinds = [pa.int64(), *[pa.string()] * 5, pa.bool_()]
         return pa.table({c: pa.array(values, kind) for (c, values), kind in zip(out.items(), kinds, strict=True)})
 
-    return _in_blocks(log, above, entries, 0).groupBy("lang", "block").applyInArrow(run, _PROOFS)
+    return _in_blocks(log, above, entries, 0, levels).groupBy("lang", "block").applyInArrow(run, _PROOFS)
 
 
-def prove(entries: DataFrame, log: list[DataFrame], ways: DataFrame) -> DataFrame:
+def prove(entries: DataFrame, log: list[DataFrame], ways: DataFrame, levels: int = LEVELS) -> DataFrame:
     """A proof of every leaf, from the log. ways: lang, total, path from the subroot up, subroot, root."""
     above = None
     for round_ in reversed(range(len(log))):
-        base = round_ * LEVELS
+        base = round_ * levels
         # here the trees come in whose nodes of this level make one block
-        alone = F.col("total") <= ARITY ** (base + LEVELS)
+        alone = F.col("total") <= ARITY ** (base + levels)
         alone &= F.lit(True) if not base else F.col("total") > ARITY**base
         heads = ways.filter(alone).select("lang", F.lit(0).cast("long").alias("block"), "path", "subroot", "root")
         above = heads if above is None else heads.unionByName(above)
         if round_:
-            above = _ways(log, above, round_)
-    return _proofs(log, above, entries)
+            above = _ways(log, above, round_, levels)
+    return _proofs(log, above, entries, levels)
 
 
-def manifest(documents: DataFrame) -> tuple[DataFrame, list[DataFrame], DataFrame]:
+def manifest(documents: DataFrame, levels: int = LEVELS) -> tuple[DataFrame, list[DataFrame], DataFrame]:
     """Ranked leaves, the log of every tree, and for each tree its total, subroot and way to the root.
 
     The log is stored; it is all that a proof needs beside the leaf it is for.
     """
     entries = ranked(leaves(documents), ["lang"], ["doc_id", "digest"], "leaves")
     entries = stored(entries, "entries")
-    log = grow(entries)
+    log = grow(entries, levels)
     totals = entries.groupBy("lang").agg(F.first("total").alias("total"))
     subroots = roots(log)
 
     # the tree over the trees: its leaves are known by their rank among the languages
     crowns = ranked(subroots, [], ["lang"], "subroots")
     crowns = stored(crowns.select(F.lit(None).cast("string").alias("lang"), "rank", "total", F.col("subroot").alias("digest"), F.col("lang").alias("of")), "crowns")
-    crown = grow(crowns)
+    crown = grow(crowns, levels)
     root = roots(crown).select(F.col("subroot").alias("root"))
     above = root.selectExpr("cast(null as string) AS lang", "0L AS block", f"cast(array() AS {PATH}) AS path", "root AS subroot", "root")
     for round_ in reversed(range(len(crown))):
-        above = _ways(crown, above, round_)
+        above = _ways(crown, above, round_, levels)
     ways = crowns.select(F.col("of").alias("lang"), "rank", F.col("digest").alias("subroot")).join(
         above.select(F.col("block").alias("rank"), "path", "root"), "rank"
     )
@@ -289,7 +289,7 @@ def manifest(documents: DataFrame) -> tuple[DataFrame, list[DataFrame], DataFram
     return entries, log, stored(ways, "trees")
 
 
-def audit(documents: DataFrame) -> DataFrame:
+def audit(documents: DataFrame, levels: int = LEVELS) -> DataFrame:
     """doc_id, leaf, subroot, root, proof_sha256, folded_root, verified of every document."""
-    entries, log, ways = manifest(documents)
-    return prove(entries, log, ways)
+    entries, log, ways = manifest(documents, levels)
+    return prove(entries, log, ways, levels)
