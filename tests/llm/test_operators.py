@@ -274,6 +274,37 @@ def test_repeats(documents, monkeypatch, length, most, size):
         runs = sum(1 for k, g in enumerate(gone) if g and (not k or not gone[k - 1]))
         kept = bytes(x for x, g in zip(data, gone, strict=True) if not g)
         assert (found[i].n_bytes, found[i].n_removed, found[i].n_spans, found[i].kept_sha256) == (len(data), sum(gone), runs, hashlib.sha256(kept).hexdigest())
+    for i, gone in enumerate(brute_covered(datas, min(length, repeats.PASSAGE))):
+        assert found[i].n_repeated == sum(gone)
+
+
+def test_passages_of_over_fifty_words_are_seen(spark):
+    """A passage of 51 words, about 300 bytes, in two documents: counted, and removed at the pipeline's length."""
+    rng = random.Random(12)
+    passage = prose(rng, "en", 51)
+    assert repeats.PASSAGE < len(passage) < 400
+    rows = [(i, f"{prose(rng, 'xx', 80)} {passage if i < 2 else ''} {prose(rng, 'xx', 80)}") for i in range(6)]
+    frame = prepare(spark).createDataFrame(rows, "doc_id long, text string")
+    found = by_id(repeats.remove(frame))
+    assert [found[i].n_removed for i in range(6)] == [0] * 6
+    assert all((found[i].n_repeated >= len(passage)) == (i < 2) for i in range(6))
+    left = by_id(repeats.strip(frame, repeats.PASSAGE))
+    assert all(passage not in left[i].text for i in range(2)) and all(left[i].text == rows[i][1] for i in range(2, 6))
+
+
+def test_texts_without_long_repeats_stay_out(spark):
+    """The second search sees the texts that can have long repeats, whatever share of all texts they are."""
+    rng = random.Random(14)
+    long = prose(rng, "en", 150)
+    rows = [(i, f"{prose(rng, 'xx', 90)} {long if i < 3 else long[:280] if i < 6 else ''} {prose(rng, 'xx', 90)}") for i in range(40)]
+    rows += [(100 + i, rows[30][1]) for i in range(2)]
+    frame = prepare(spark).createDataFrame(rows, "doc_id long, text string")
+    short = repeats._spans(frame, 250)
+    kept = {row.doc_id for row in repeats._long_repeats(frame, short, 400).collect()}
+    assert {0, 1, 2, 30, 100, 101} <= kept and len(kept) <= 8
+    gone = brute_covered([raw(t) for _, t in rows], 400)
+    found = by_id(repeats.remove(frame))
+    assert [found[i].n_removed for i, _ in rows] == [sum(g) for g in gone]
 
 
 def test_stripped_documents_keep_their_columns(documents, nothing):

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillhouse.session import fresh_dir
+from tillhouse.session import discard, fresh_dir
 
 #: Rows an Arrow batch holds at most: whole texts are long, and a worker keeps one batch in memory.
 BATCH_ROWS = 512
@@ -45,6 +45,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Stored tables that only lead to a result, which is stored, too; with the result they go."""
+
+    def __init__(self) -> None:
+        self.paths: dict[DataFrame, str] = {}
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        spark = df.sparkSession
+        path = fresh_dir(spark, name)
+        df.write.parquet(path)
+        table = spark.read.schema(df.schema).parquet(path)
+        self.paths[table] = path
+        return table
+
+    def discard(self, *tables: DataFrame) -> None:
+        """Remove these tables, or all; nothing that is still to be computed may need them."""
+        for table in tables or list(self.paths):
+            discard(table.sparkSession, self.paths.pop(table))
+
+
 def remainder(column: str, divisor: int) -> Column:
     """crc32 of the id as text, modulo; NULL ids give -1, which is in no held-out part."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % divisor, F.lit(-1))
@@ -83,14 +103,14 @@ def map_rows(
     return df.mapInArrow(run, schema)
 
 
-def gathered(df: DataFrame, merge: Callable, schema: str) -> list:
+def gathered(df: DataFrame, merge: Callable, schema: str, most: int = DRIVER_PARTS) -> list:
     """Rows of partial sums, merged task by task in a tree until the driver can take them.
 
-    merge: like the work of map_rows, from batches of partial sums to one row per task.
+    merge: like the work of map_rows, from batches of partial sums to one row per task. most: rows to end with.
     """
     parts = df.rdd.getNumPartitions()
-    while parts > DRIVER_PARTS:
-        parts = max(DRIVER_PARTS, parts // DRIVER_PARTS)
+    while parts > most:
+        parts = max(most, parts // DRIVER_PARTS)
         df = map_rows(df.repartition(parts), merge, schema)
     return df.collect()
 

@@ -34,9 +34,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 from xxhash import xxh3_128_digest
 
-from tillhouse.llm.common import map_rows, stored, text_hash
+from tillhouse.llm.common import Scratch, gathered, map_rows, stored, text_hash
 
 LENGTH = 400
+#: Shorter than any passage of more than 50 words: what the pipeline removes, and what the removal counts beside its own rule.
+PASSAGE = 250
+#: Bits of the filter of texts with long repeats, and how many of them a text sets.
+FILTER_BITS, FILTER_HASHES = 1 << 25, 5
 #: Bytes of a gram, as a share of the length; longer grams repeat less often by chance, shorter ones give fewer samples.
 GRAM_SHARE = 0.4
 #: Starts looked at together, and contexts merged together.
@@ -180,7 +184,7 @@ def _merge(contexts: DataFrame, length: int) -> DataFrame:
     return map_rows(ordered.select("name", "context", "many", "before", "data"), work, "name long, context long, a long, b long")
 
 
-def _merge_windows(contexts: DataFrame, length: int) -> DataFrame:
+def _merge_windows(contexts: DataFrame, length: int, scratch: Scratch) -> DataFrame:
     """Names with very many contexts: every window is a row, counted by its name."""
 
     def work(batches: Iterable[dict[str, list]]) -> Iterator[dict[str, list]]:
@@ -192,12 +196,15 @@ def _merge_windows(contexts: DataFrame, length: int) -> DataFrame:
 
     windows = map_rows(contexts.select("name", "context", "many", "before", "data"), work, "name long, context long, many boolean, a long, w long")
     twice = windows.groupBy("name", "a", "w").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    twice = stored(twice, "windows")
+    twice = scratch.stored(twice, "windows")
     return windows.filter(~F.col("many")).join(twice, ["name", "a", "w"]).select("name", "context", "a", F.col("a").alias("b"))
 
 
-def covered(documents: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
-    """Intervals (h, start, end) that repeat, of each different text by its hash; and the hashes of all texts that occur twice."""
+def covered(documents: DataFrame, length: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Intervals (h, start, end) that repeat, of each different text by its hash; and the hashes of all texts that occur twice.
+
+    Both read tables in scratch.
+    """
     gram = max(1, int(length * GRAM_SHARE))
 
     def hashed(batches: Iterable[dict[str, list]]) -> Iterator[dict[str, list]]:
@@ -208,12 +215,13 @@ def covered(documents: DataFrame, length: int = LENGTH) -> tuple[DataFrame, Data
     texts = map_rows(long, hashed, "h binary, doc_id long, key binary").groupBy("h").agg(
         F.min("doc_id").alias("doc_id"), F.min("key").alias("key"), F.count(F.lit(1)).alias("copies")
     )
-    texts = stored(texts, "texts")
+    texts = scratch.stored(texts, "texts")
     copied = texts.filter("copies > 1").select("h")
 
-    found = stored(_samples_of(documents, length, gram), "samples")
-    twice = stored(found.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name"), "names")
-    repeated = stored(found.join(twice, "name"), "repeated")
+    found = scratch.stored(_samples_of(documents, length, gram), "samples")
+    twice = scratch.stored(found.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name"), "names")
+    repeated = scratch.stored(found.join(twice, "name"), "repeated")
+    scratch.discard(found, twice)
 
     # one row per context: how many places have it, one of them. A text that occurs twice has its places twice
     # here, but its contexts occur several times in any case
@@ -222,25 +230,25 @@ def covered(documents: DataFrame, length: int = LENGTH) -> tuple[DataFrame, Data
         F.max(F.coalesce("copied", F.lit(False))).alias("copied"),
         F.min(F.struct("h", "position", "first", "last")).alias("one"),
     )
-    groups = stored(groups.select("name", "context", ((F.col("places") > 1) | F.col("copied")).alias("many"), "one.*"), "contexts")
+    groups = scratch.stored(groups.select("name", "context", ((F.col("places") > 1) | F.col("copied")).alias("many"), "one.*"), "contexts")
     settled = groups.filter("many").select("name", "context")
     whole = repeated.join(settled, ["name", "context"]).select("h", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
 
     per_name = groups.groupBy("name").agg(F.count(F.lit(1)).alias("contexts"), F.min("many").alias("done")).filter("contexts > 1 and not done")
-    open_ = stored(groups.join(stored(per_name.select("name", "contexts"), "open-names"), "name"), "open")
-    data = stored(_data_of(open_, texts, documents, length), "context-data")
+    open_ = scratch.stored(groups.join(scratch.stored(per_name.select("name", "contexts"), "open-names"), "name"), "open")
+    data = scratch.stored(_data_of(open_, texts, documents, length, scratch), "context-data")
     few = _merge(data.filter(F.col("contexts") <= MOST_CONTEXTS), length)
-    many = _merge_windows(data.filter(F.col("contexts") > MOST_CONTEXTS), length)
+    many = _merge_windows(data.filter(F.col("contexts") > MOST_CONTEXTS), length, scratch)
     starts = few.unionByName(many).join(open_.select("name", "context", "h", "position"), ["name", "context"])
     parts = starts.select("h", (F.col("position") - F.col("a")).alias("start"), (F.col("position") - F.col("b") + length).alias("end"))
     return whole.unionByName(parts), copied
 
 
-def _data_of(asked: DataFrame, texts: DataFrame, documents: DataFrame, length: int) -> DataFrame:
+def _data_of(asked: DataFrame, texts: DataFrame, documents: DataFrame, length: int, scratch: Scratch) -> DataFrame:
     """The bytes of each context, from one document that has its text."""
     places = F.collect_list(F.struct("name", "context", "many", "contexts", "position", "first", "last"))
     wanted = asked.groupBy("h").agg(places.alias("places")).join(texts.select("h", "doc_id", "key"), "h")
-    wanted = stored(wanted.withColumnsRenamed({"doc_id": "asked_id", "key": "asked_key"}), "wanted")
+    wanted = scratch.stored(wanted.withColumnsRenamed({"doc_id": "asked_id", "key": "asked_key"}), "wanted")
     rows = documents.filter(F.octet_length("text") >= length).select("doc_id", "text", text_hash().alias("key"))
     # a row meets one wanted row at most, whatever ids are repeated or missing; the id only spares other copies of the text
     rows = rows.join(wanted.hint("merge"), F.col("key").eqNullSafe(F.col("asked_key")) & F.col("doc_id").eqNullSafe(F.col("asked_id")))
@@ -275,16 +283,71 @@ def united(intervals: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _spans(documents: DataFrame, length: int) -> DataFrame:
-    """h, spans (intervals to remove) of texts that lose something."""
-    intervals, copied = covered(documents, length)
+    """h, spans (intervals to remove) of texts that lose something; stored, all that led to it is gone."""
+    scratch = Scratch()
+    intervals, copied = covered(documents, length, scratch)
     spans = intervals.join(copied, "h", "left_anti").distinct().groupBy("h").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     whole = copied.select("h", F.array(F.struct(F.lit(0).cast("long").alias("start"), F.lit(-1).cast("long").alias("end"))).alias("spans"))
-    return stored(spans.unionByName(whole), "spans")
+    found = stored(spans.unionByName(whole), "spans")
+    scratch.discard()
+    return found
 
 
-def remove(documents: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
-    spans = _spans(documents, length)
+def _bits(h: bytes) -> list[int]:
+    """Bits that a text's hash sets."""
+    a, b = int.from_bytes(h[:8], "little"), int.from_bytes(h[8:16], "little") | 1
+    return [(a + i * b) % FILTER_BITS for i in range(FILTER_HASHES)]
+
+
+def _long_repeats(documents: DataFrame, spans: DataFrame, length: int) -> DataFrame:
+    """doc_id and text of the documents in whose text some run of the spans is that long, and a few others.
+
+    A string of that length repeats only within such a run, in all the texts that have it. Their hashes go into a filter of a
+    fixed size, so that the texts need no shuffle; when it is crowded, more of the others come along, which costs time only.
+    """
+
+    def packed(bits: np.ndarray) -> dict[str, list]:
+        return {"bits": [np.packbits(bits).tobytes()]}
+
+    def mark(batches: Iterable[dict[str, list]]) -> Iterator[dict[str, list]]:
+        bits = np.zeros(FILTER_BITS, dtype=bool)
+        for batch in batches:
+            for h, own in zip(batch["h"], batch["spans"], strict=True):
+                runs = united([(s["start"], s["end"]) for s in own])
+                if any(end < 0 or end - start >= length for start, end in runs):
+                    bits[_bits(h)] = True
+        yield packed(bits)
+
+    def merge(batches: Iterable[dict[str, list]]) -> Iterator[dict[str, list]]:
+        bits = np.zeros(FILTER_BITS, dtype=bool)
+        for batch in batches:
+            for part in batch["bits"]:
+                bits |= np.unpackbits(np.frombuffer(part, dtype=np.uint8)).view(bool)
+        yield packed(bits)
+
+    (row,) = gathered(map_rows(spans, mark, "bits binary"), merge, "bits binary", 1)
+    words = documents.sparkSession.sparkContext.broadcast(bytes(row.bits))
+
+    def keep(batches: Iterable[dict[str, list]]) -> Iterator[dict[str, list]]:
+        known = np.frombuffer(words.value, dtype=np.uint8)
+        for batch in batches:
+            chosen = [i for i, text in enumerate(batch["text"]) if all(known[k >> 3] >> (7 - (k & 7)) & 1 for k in _bits(_text_hash(text)))]
+            yield {name: [batch[name][i] for i in chosen] for name in ("doc_id", "text")}
+
+    return map_rows(documents.filter(F.octet_length("text") >= length).select("doc_id", "text"), keep, "doc_id long, text string")
+
+
+def remove(documents: DataFrame, length: int = LENGTH, passage: int = PASSAGE) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document, and n_repeated.
+
+    n_repeated counts the bytes covered by a string of passage bytes, which is shorter, that also starts elsewhere. These stay;
+    they tell documents that share a passage from others. Where they are found first, only texts with a long enough run
+    of them can have longer repeats.
+    """
+    passage = min(passage, length)
+    short = _spans(documents, passage)
+    spans = _spans(_long_repeats(documents, short, length), length) if passage < length else short
+    spans = short.withColumnRenamed("spans", "repeated").join(spans, "h", "left")
 
     def hashed(batches: Iterable[dict[str, list]]) -> Iterator[dict[str, list]]:
         for batch in batches:
@@ -295,17 +358,18 @@ def remove(documents: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def work(batches: Iterable[dict[str, list]]) -> Iterator[dict[str, list]]:
         for batch in batches:
-            out: dict[str, list] = {"doc_id": batch["doc_id"], "n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": []}
-            for text, found in zip(batch["text"], batch["spans"], strict=True):
+            out: dict[str, list] = {"doc_id": batch["doc_id"], **{name: [] for name in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "n_repeated")}}
+            for text, found, repeated in zip(batch["text"], batch["spans"], batch["repeated"], strict=True):
                 raw = (text or "").encode()
                 kept, gone = cut(raw, found)
                 out["n_bytes"].append(len(raw))
                 out["n_removed"].append(len(raw) - len(kept))
                 out["n_spans"].append(gone)
                 out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
+                out["n_repeated"].append(len(raw) - len(cut(raw, repeated)[0]))
             yield out
 
-    return map_rows(rows.select("doc_id", "text", "spans"), work, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return map_rows(rows.select("doc_id", "text", "spans", "repeated"), work, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_repeated long")
 
 
 def cut(raw: bytes, spans: list[dict] | None) -> tuple[bytes, int]:
