@@ -29,9 +29,9 @@ def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def passage_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without what is covered by a 400-byte string that starts elsewhere, too; n_chars is counted again."""
+    """Texts without what is covered by a 250-byte string that starts elsewhere, too; n_chars is counted again."""
     prepare(spark)
-    return repeats.strip(docs)
+    return repeats.strip(docs, repeats.PASSAGE)
 
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
