@@ -1,14 +1,17 @@
 """Line quality: a linear-chain conditional random field marks each line as content or boilerplate.
 
 The field has two states. Its emission weights act on a few ratios of the line's characters and words, its
-transition weights on neighbouring lines. It is fitted on a bounded sample of labelled documents (every line of
-a document takes the document's label) by gradient ascent on the exact log-likelihood, from the
-forward-backward recursion. Viterbi decoding then labels all lines of a document, and the share of its words
-that lie in content lines decides whether it is kept.
+transition weights on neighbouring lines. It is fitted on a bounded sample of labelled documents by gradient ascent on
+the exact log-likelihood, from the forward-backward recursion. A line takes its document's label, and stretches of good
+and bad documents take turns in a training sequence, so that the field learns how long a state lasts and what a change
+looks like. Viterbi decoding then labels all lines of a document, and the share of its words that lie in
+content lines decides whether it is kept.
 
 Defined results: NULL and empty texts have no words, zero counts and are not kept (too few words). Lines of a
 document are read whole, however many there are. Rows that repeat are judged one by one. Without labels of both
-kinds there is no field, and only the counted rules decide. Columns other than id and text are not looked at.
+kinds there is no field, and only the counted rules decide. Of labelled rows that repeat an id one is used for fitting,
+that with the smallest lines; labels without a document, and rows without an id, are not. Columns other than id and text
+are not looked at.
 """
 
 from __future__ import annotations
@@ -32,9 +35,9 @@ DIGITS = bytes(range(48, 58))
 PUNCTUATION = b".,;:!?"
 FEATURES = 11
 
-#: Labelled documents of each kind used for fitting, and lines of each in one training sequence.
+#: Labelled documents of each kind used for fitting, stretches of each, spread over the whole text, and lines in a stretch.
 SAMPLE_DOCUMENTS = 600
-SAMPLE_LINES = 64
+STRETCHES, SAMPLE_LINES = 4, 16
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_CONTENT_SHARE = 0.5
@@ -93,25 +96,24 @@ def viterbi(features: np.ndarray, field: Field) -> np.ndarray:
     return np.array(states[::-1])
 
 
-def fit(sequences: list[tuple[np.ndarray, int]], steps: int = 150, rate: float = 1.0, ridge: float = 1e-3) -> Field | None:
-    """Gradient ascent on the mean log-likelihood of the label paths; every line of a sequence has one label."""
+def fit(sequences: list[tuple[np.ndarray, np.ndarray]], steps: int = 150, rate: float = 1.0, ridge: float = 1e-3) -> Field | None:
+    """Gradient ascent on the mean log-likelihood of the label paths: features of the lines of a sequence, and their states."""
     sequences = [(x, y) for x, y in sequences if len(x)]
-    if len({y for _, y in sequences}) < 2:
+    if len({state for _, y in sequences for state in y}) < 2:
         return None
     longest = max(len(x) for x, _ in sequences)
     n = len(sequences)
     lengths = np.array([len(x) for x, _ in sequences])
-    labels = np.array([y for _, y in sequences])
-    x = np.zeros((n, longest, FEATURES))
-    for i, (rows, _) in enumerate(sequences):
+    x, truth = np.zeros((n, longest, FEATURES)), np.zeros((n, longest, 2))
+    for i, (rows, states) in enumerate(sequences):
         x[i, : len(rows)] = rows
+        truth[i, np.arange(len(rows)), states] = 1
     live = np.arange(longest)[None, :] < lengths[:, None]
     weight = 1.0 / lengths.sum()
     emission, transition, start = np.zeros((2, FEATURES)), np.zeros((2, 2)), np.zeros(2)
-    truth = np.eye(2)[labels]
-    seen_emission = np.einsum("ns,nf->sf", truth, (x * live[..., None]).sum(1))
-    seen_transition = np.diag([((lengths - 1) * (labels == s)).sum() for s in (0, 1)]).astype(float)
-    seen_start = truth.sum(0)
+    seen_emission = np.einsum("nts,ntf->sf", truth, x)
+    seen_transition = np.einsum("nta,ntb->ab", truth[:, :-1], truth[:, 1:])
+    seen_start = truth[:, 0].sum(0)
     for _ in range(steps):
         scores = x @ emission.T
         forward = np.empty((n, longest, 2))
@@ -135,14 +137,36 @@ def fit(sequences: list[tuple[np.ndarray, int]], steps: int = 150, rate: float =
     return Field(emission, transition, start)
 
 
-def _sequence(text: str | None) -> list[list[float]]:
-    return [line_features(line)[0] for line in (text or "").encode().split(b"\n")[:SAMPLE_LINES]]
+def stretches(text: str | None) -> list[np.ndarray]:
+    """Features of the lines of a text: of all, or of STRETCHES runs of SAMPLE_LINES, the first and the last among them."""
+    lines = (text or "").encode().split(b"\n")
+    runs = -(-len(lines) // SAMPLE_LINES)
+    chosen = range(runs) if runs <= STRETCHES else np.linspace(0, runs - 1, STRETCHES).round().astype(int)
+    parts = [lines[k * SAMPLE_LINES : (k + 1) * SAMPLE_LINES] for k in chosen]
+    return [np.array([line_features(line)[0] for line in part], dtype="<f8") for part in parts]
+
+
+def taking_turns(good: list[list[np.ndarray]], bad: list[list[np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Training sequences: the stretches of a good and of a bad document in turn, either first; of the fewer, some again."""
+    out = []
+    for i in range(max(len(good), len(bad)) if good and bad else 0):
+        pair = [(part, state) for state, docs in ((CONTENT, good), (BOILERPLATE, bad)) for part in docs[i % len(docs)]]
+        turns = [[part for part, state in pair if state == own] for own in (CONTENT, BOILERPLATE)]
+        sequence = []
+        for k in range(max(map(len, turns))):
+            for own in (i % 2, 1 - i % 2):
+                if k < len(turns[own]):
+                    sequence.append((turns[own][k], own))
+        states = np.concatenate([np.full(len(part), own) for part, own in sequence])
+        out.append((np.concatenate([part for part, _ in sequence]), states))
+    return out
 
 
 def train(documents: DataFrame, labels: DataFrame, n: int = SAMPLE_DOCUMENTS) -> Field | None:
     """Fit on n labelled documents of each kind, those with the smallest hash of their id.
 
-    The sample is the only part that meets in one place: 2 n documents of SAMPLE_LINES lines at most.
+    The sample is the only part that meets in one place: 2 n documents of STRETCHES * SAMPLE_LINES lines at most, whatever
+    number of rows has their ids.
     """
     chosen = None
     for kind in (0, 1):
@@ -154,17 +178,24 @@ def train(documents: DataFrame, labels: DataFrame, n: int = SAMPLE_DOCUMENTS) ->
     def work(batches: Iterable[dict[str, list]]) -> Iterator[dict[str, list]]:
         for batch in batches:
             hits = [(i, d) for i, d in enumerate(batch["doc_id"]) if d in wanted]
+            parts = [stretches(batch["text"][i]) for i, _ in hits]
             yield {
-                "label": [wanted[d] for _, d in hits],
-                "lines": [np.array(_sequence(batch["text"][i]), dtype="<f8").tobytes() for i, _ in hits],
+                "doc_id": [d for _, d in hits],
+                "lines": [np.concatenate(part).tobytes() for part in parts],
+                "sizes": [[len(p) for p in part] for part in parts],
             }
 
     if not wanted:
         return None
-    texts = documents.filter(F.col("text").isNotNull()).select("doc_id", "text")
-    rows = map_rows(texts.filter(F.col("doc_id").isin(list(wanted))), work, "label int, lines binary").collect()
-    rows.sort(key=lambda row: (row.label, bytes(row.lines)))
-    return fit([(np.frombuffer(row.lines, dtype="<f8").reshape(-1, FEATURES), row.label) for row in rows[: 4 * n]])
+    texts = documents.filter(F.col("text").isNotNull() & F.col("doc_id").isin(list(wanted))).select("doc_id", "text")
+    found = map_rows(texts, work, "doc_id long, lines binary, sizes array<int>")
+    rows = found.groupBy("doc_id").agg(F.min(F.struct("lines", "sizes")).alias("one")).select("doc_id", "one.*").collect()
+    rows.sort(key=lambda row: bytes(row.lines))
+    kinds: tuple[list, list] = ([], [])
+    for row in rows:
+        lines = np.frombuffer(row.lines, dtype="<f8").reshape(-1, FEATURES)
+        kinds[wanted[row.doc_id]].append(np.split(lines, np.cumsum(row.sizes)[:-1]))
+    return fit(taking_turns(*kinds))
 
 
 def repeated_words(found: list[bytes]) -> int:
