@@ -619,3 +619,62 @@ def test_every_cue_has_a_stem():
     for _, wording in licenses.WORDINGS:
         for m in licenses.CUE.finditer(wording):
             assert any(s in m.group().lower() for s in licenses.STEMS) or any(s in m.group() for s in licenses.CAPITALS)
+
+
+def test_line_field_of_repeated_labelled_rows(spark):
+    """Thousands of copies of one good and one bad document, rows without an id: a field is fitted, from one row of each id."""
+    rng = random.Random(31)
+    good = "\n".join(prose(rng, "en", 14) + "." for _ in range(12))
+    bad = "\n".join("$$ WIN NOW | BUY | #### !!!! 99% ***" for _ in range(12))
+    rows = [(1, good)] * 2600 + [(2, bad)] * 2600 + [(None, good)] * 50
+    frame = prepare(spark).createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1), (77, 0)] * 3, "doc_id long, quality int")
+    field = quality.train(frame, labels)
+    assert field is not None
+    assert quality.judge(good, field)[-1] and not quality.judge(bad, field)[-1]
+
+
+def test_line_field_marks_lines(spark):
+    """Hand-labelled lines of documents that mix prose with boilerplate: states change within a document."""
+    rng = random.Random(33)
+    line = lambda: (prose(rng, "en", rng.randint(9, 16)) + ".").capitalize()
+    junk = lambda: rng.choice(["HOME | NEWS | LOGIN | CART | HELP", "### $$$ 100% FREE!!! ### $$$", "1 2 3 4 5 6 7 8 9 10 >> <<", "A | B | C | D | E | F"])
+    rows = [(i, "\n".join(line() for _ in range(rng.randint(3, 30)))) for i in range(60)]
+    rows += [(100 + i, "\n".join(junk() for _ in range(rng.randint(3, 30)))) for i in range(60)]
+    labels = spark.createDataFrame([(i, int(i < 100)) for i, _ in rows], "doc_id long, quality int")
+    field = quality.train(prepare(spark).createDataFrame(rows, "doc_id long, text string"), labels)
+    stay, leave = np.diag(field.transition), field.transition[[0, 1], [1, 0]]
+    assert (stay > leave).all()  # states last, and yet
+    right = total = 0
+    for _ in range(40):
+        states = [s for _ in range(3) for s in [rng.randint(0, 1)] * rng.randint(2, 6)]
+        lines = [(junk() if s else line()).encode() for s in states]
+        found = quality.viterbi(np.array([quality.line_features(one)[0] for one in lines]), field)
+        right, total = right + int((found == states).sum()), total + len(states)
+        share = quality.judge(b"\n".join(lines).decode(), field)[6]
+        assert 0 < share < 1 or len(set(states)) == 1
+    assert right >= 0.95 * total
+
+
+def test_stretches_are_spread_over_a_text():
+    text = "\n".join(f"line {i} " + "x" * (i % 7) for i in range(1000))
+    parts = quality.stretches(text)
+    whole = np.array([quality.line_features(one)[0] for one in text.encode().split(b"\n")])
+    assert [len(p) for p in parts] == [16, 16, 16, 8]
+    assert (parts[0] == whole[:16]).all() and (parts[-1] == whole[992:]).all()
+    assert sum(map(len, quality.stretches("\n".join("ab" for _ in range(50))))) == 50
+
+
+def test_language_sample_of_repeated_rows(spark):
+    """NULL ids and copies: what meets in a language's group is bounded by the sample, whatever the number of rows."""
+    rng = random.Random(35)
+    same = [(None, "abcdefgh " * 20, "en")] * 3000 + [(5, prose(rng, "xx", 40), "xx")] * 500
+    same += [(None, prose(rng, lang, 30)[:150], lang) for lang in ("en", "xx") for _ in range(300)]
+    learn = prepare(spark).createDataFrame(same, "doc_id long, text string, lang string").repartition(6)
+    limits = language.smallest(learn.select("lang", F.xxhash64("doc_id", "text").alias("h")), 50)
+    kept = learn.withColumn("h", F.xxhash64("doc_id", "text")).filter("text is not null")
+    for lang, limit in limits.items():
+        assert kept.filter((F.col("lang") == lang) & (F.col("h") <= limit)).select("h").distinct().count() == 50
+    model = language.train(learn, per_language=50, clusters=3)
+    tests = [(i, prose(rng, lang, 40), lang) for i, lang in enumerate(["en", "xx"] * 20)]
+    assert all(language.classify(text, model)[0] == lang for _, text, lang in tests)

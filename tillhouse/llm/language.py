@@ -7,7 +7,9 @@ of the centroid with the largest cosine, and is rejected when that cosine is far
 about its length reach.
 
 Defined results: NULL texts and texts without a letter are `und` with score 0 and rejected. Equal cosines go to the
-language that sorts first. Without training documents everything is `und`. Very long texts are read whole, in slices.
+language that sorts first. Without training documents everything is `und`. Very long texts are read whole, in slices. Rows that
+repeat an id and a text are one training document of the sample, and each gets its own result; NULL ids are ids like others.
+Columns other than id, text and language take no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillhouse.llm.common import gathered, map_rows
@@ -134,10 +136,37 @@ def cluster(vectors: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centres
 
 
+def smallest(hashes: DataFrame, most: int) -> dict[str, int]:
+    """For each language the largest of its smallest hashes, of which there are at most so many. hashes: lang, h.
+
+    A task hands on as many of each language as are wanted in all, and tasks are merged in a tree.
+    """
+
+    def merged(parts: Iterable[tuple[str, Iterable[int]]]) -> dict[str, list]:
+        held: dict[str, set[int]] = {}
+        for lang, own in parts:
+            kept = held.setdefault(lang, set())
+            kept.update(own)
+            if len(kept) > 4 * most:
+                held[lang] = set(sorted(kept)[:most])
+        return {"lang": list(held), "hashes": [sorted(kept)[:most] for kept in held.values()]}
+
+    def first(batches: Iterable[dict[str, list]]) -> Iterator[dict[str, list]]:
+        yield merged((lang, (h,)) for batch in batches for lang, h in zip(batch["lang"], batch["h"], strict=True))
+
+    def merge(batches: Iterable[dict[str, list]]) -> Iterator[dict[str, list]]:
+        yield merged(part for batch in batches for part in zip(batch["lang"], batch["hashes"], strict=True))
+
+    schema = "lang string, hashes array<long>"
+    rows = gathered(map_rows(hashes, first, schema), merge, schema, 1)
+    return {row.lang: row.hashes[-1] for row in rows}
+
+
 def train(training: DataFrame, per_language: int = SAMPLE_DOCUMENTS, clusters: int = CLUSTERS) -> Model | None:
     """Learn from rows (doc_id, text, lang).
 
-    Gathered in one task: the sample of one language. On the driver: one row per language and cluster.
+    Gathered in one task: the sample of one language, per_language different texts. On the driver: one row per language and
+    cluster.
     """
     training = training.filter(F.col("text").isNotNull() & F.col("lang").isNotNull())
     n, seen = _frequencies(training)
@@ -145,26 +174,26 @@ def train(training: DataFrame, per_language: int = SAMPLE_DOCUMENTS, clusters: i
         return None
     idf = np.log((1 + n) / (1 + seen)) + 1
 
-    # the rows with the smallest hashes of each language: only ids are sorted, and few of each task move
-    hashed = training.select("lang", F.xxhash64("doc_id", F.length("text")).alias("h"))
-    first = Window.partitionBy("lang").orderBy("h")
-    limits = hashed.withColumn("r", F.row_number().over(first)).filter(F.col("r") <= per_language).groupBy("lang").agg(F.max("h").alias("h"))
+    # the texts with the smallest hashes of each language; a text that repeats under one id has one hash, and counts once
+    hashed = training.withColumn("h", F.xxhash64("doc_id", "text"))
+    limits = smallest(hashed.select("lang", "h"), per_language)
     # one number per language, so texts are filtered where they are read
-    last = F.create_map(*[F.lit(x) for row in limits.collect() for x in (row.lang, row.h)])
-    sample = training.filter(F.xxhash64("doc_id", F.length("text")) <= last[F.col("lang")])
+    last = F.create_map(*[F.lit(x) for item in limits.items() for x in item])
+    sample = hashed.filter(F.col("h") <= last[F.col("lang")])
 
     def vectors(batches: Iterable[dict[str, list]]) -> Iterator[dict[str, list]]:
         for batch in batches:
             made = [vector(counts, idf) + (int(counts.sum()),) for counts in map(grams, batch["text"])]
             yield {
                 "lang": batch["lang"],
+                "h": batch["h"],
                 "at": [at.astype("<i4").tobytes() for at, _, _ in made],
                 "weights": [w.astype("<f4").tobytes() for _, w, _ in made],
                 "n": [n for _, _, n in made],
             }
 
     def centroids(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows[rows.n > 0].sort_values(["n", "at"]).head(2 * per_language)
+        rows = rows[rows.n > 0].sort_values(["n", "at"])
         if not len(rows):
             return pd.DataFrame({"lang": [], "centroid": [], "floors": []})
         dense = np.zeros((len(rows), DIMENSIONS), dtype=np.float32)
@@ -183,7 +212,8 @@ def train(training: DataFrame, per_language: int = SAMPLE_DOCUMENTS, clusters: i
             }
         )
 
-    texts = map_rows(sample.select("lang", "text"), vectors, "lang string, at binary, weights binary, n long")
+    texts = map_rows(sample.select("lang", "h", "text"), vectors, "lang string, h long, at binary, weights binary, n long")
+    texts = texts.groupBy("lang", "h").agg(F.min(F.struct("at", "weights", "n")).alias("one")).select("lang", "one.*")
     rows = texts.groupBy("lang").applyInPandas(centroids, "lang string, centroid binary, floors binary").collect()
     if not rows:
         return None
