@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 QUERIES = REGISTRY
 ORACLE = statements()
 # Writes every day of two years several times over; compare_all.py covers it.
-SLOW = {"backfill_run"}
+SLOW = {"backfill_run", "unique_over_days"}
 
 
 @pytest.fixture(scope="module")

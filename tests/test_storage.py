@@ -1,9 +1,10 @@
 """Files: raw layer, day partitions, reruns, catalog, runs and the stream."""
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +13,8 @@ from tillhouse.layout import (
     storage_section,
 )
 from tillhouse.plans import changes, gold, runs
-from tillhouse.schemas import MALFORMED_ROWS, MENU_MASTER, ORDER_ITEMS, ORDERS, OUTLET_MASTER, SILVER_ORDERS
+from tillhouse.operators import keysets
+from tillhouse.schemas import FACT, MALFORMED_ROWS, MENU_MASTER, ORDER_ITEMS, ORDERS, OUTLET_MASTER, SILVER_ORDERS
 from tillhouse.session import shuffle_partitions, work_root
 from tillhouse.sources import bronze, catalog, commits, source, tables
 from tillhouse.streaming import intake
@@ -187,6 +189,42 @@ def test_insert_if_absent(spark, tmp_path):
         assert sorted(tuple(row) for row in spark.read.parquet(path).collect()) == [(1, "old"), (2, "a")]
 
 
+def test_keyed_insert_reads_the_buckets_of_its_keys(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    rows = spark.range(1000).selectExpr("id AS k", "'old' AS v")
+    tables.write_keyed(rows, path, "k", buckets=16)
+    assert len(list((tmp_path / "t").glob("bucket=*-of-16"))) == 16
+    arriving = spark.createDataFrame([(5, "new"), (5000, "b"), (5000, "a"), (5001, "c")], "k long, v string")
+    wanted = {row[0] for row in tables._bucketed(arriving, "k", 16).select("bucket").distinct().collect()}
+    read = []
+    real = tables.read_keyed
+    with monkeypatch.context() as patched:
+        patched.setattr(tables, "read_keyed", lambda *args: read.extend(real(*args).inputFiles()) or real(*args))
+        tables.insert_if_absent(arriving, path, "k")
+    assert {name.rsplit("bucket=", 1)[1].split("/")[0] for name in read} == wanted and len(wanted) < 4
+    tables.insert_if_absent(arriving, path, "k")
+    found = tables.read_keyed(spark, path, rows.schema)
+    assert found.count() == 1002
+    assert sorted(tuple(row) for row in found.filter("k IN (5, 5000, 5001)").collect()) == [(5, "old"), (5000, "a"), (5001, "c")]
+
+
+def test_slices_hold_the_same_number_of_orders():
+    """Nine of ten orders fall into the hour after noon."""
+    minutes = [datetime(2026, 3, 1) + timedelta(minutes=m) for m in range(24 * 60)]
+    counts = [(at, 150 if at.hour == 12 else 1) for at in minutes]
+    bounds = source.slice_bounds(counts, 8)
+    assert len(bounds) == 7 and sum(at.hour == 12 for at in bounds) >= 6
+    edges = [datetime(2026, 3, 1), *bounds, datetime(2026, 3, 2)]
+    sizes = [sum(n for at, n in counts if low <= at < high) for low, high in zip(edges, edges[1:], strict=False)]
+    assert sum(sizes) == sum(n for _, n in counts) and max(sizes) - min(sizes) <= 300
+    predicates = source.slice_predicates("created_at", D1, D1, bounds)
+    assert len(predicates) == 8
+    assert predicates[0].startswith("created_at >= '2026-03-01 00:00:00' AND") and predicates[-1].endswith("< '2026-03-02 00:00:00'")
+    assert source.slice_bounds([], 8) == [] and source.slice_bounds([(minutes[5], 99)], 8) == []
+    assert source.slice_predicates("created_at", D1, D2, []) == ["created_at >= '2026-03-01 00:00:00' AND created_at < '2026-03-03 00:00:00'"]
+    assert "GROUP BY 1" in source.counts_query(D1, D2) and "created_at < '2026-03-03'" in source.counts_query(D1, D2)
+
+
 def test_max_id_of_nothing(spark):
     assert tables.max_id(spark.createDataFrame([], ORDERS), "order_id").first().max_id == 0
 
@@ -352,10 +390,25 @@ def test_history_over_runs(spark, tmp_path):
         runs.refresh_history(spark, layout, "menu_master", spark.createDataFrame(rows, MENU_MASTER))
     stored = runs.read_history(spark, layout, "menu_master")
     assert sorted((str(row.base_price), row.valid_to is None) for row in stored.collect()) == [("10.00", False), ("12.00", True)]
+    # closed versions are written once: later loads leave their files as they are
+    root = tmp_path / "history" / "gold" / "snp_menu_master"
+    closed = {name: name.read_bytes() for name in root.glob("closed=000002/part-*")}
+    assert closed
+    for price, at in (("13.00", "2026-03-01"), ("14.00", "2026-04-01")):
+        rows = [(1, "tea", "Coffee", *[Decimal(price)] * 4, "true", datetime.fromisoformat(at))]
+        runs.refresh_history(spark, layout, "menu_master", spark.createDataFrame(rows, MENU_MASTER))
+    assert all(name.read_bytes() == content for name, content in closed.items())
+    assert runs.read_open(spark, layout, "menu_master").count() == 1
+    rows = sorted(runs.read_history(spark, layout, "menu_master").collect(), key=lambda row: row.valid_from)
+    assert [str(row.base_price) for row in rows] == ["10.00", "12.00", "13.00", "14.00"]
+    assert [row.valid_to for row in rows[:-1]] == [row.valid_from for row in rows[1:]]
+    # a load that closed versions and died before its open ones counted is done again
+    spark.read.parquet(f"{root}/closed=000005").write.parquet(f"{root}/closed=000006")
+    assert runs.read_history(spark, layout, "menu_master").count() == 4
     # a version folder without its success marker was never finished
     spark.range(1).write.parquet(f"{layout.gold}/snp_menu_master/version=000009")
     (tmp_path / "history" / "gold" / "snp_menu_master" / "version=000009" / "_SUCCESS").unlink()
-    assert runs.read_history(spark, layout, "menu_master").count() == 2
+    assert runs.read_history(spark, layout, "menu_master").count() == 4
 
 
 def test_stream_takes_each_file_once(spark, tmp_path):
@@ -514,6 +567,47 @@ def test_late_rows_are_found_however_late(spark, tmp_path):
     assert [tuple(row) for row in found] == [(D1, 1, 1, 1, 1), (D3, 1, 1, 0, 0)]
 
 
+def test_keys_are_compared_with_days_that_may_hold_them(spark, tmp_path, monkeypatch):
+    """Days with other ranges of keys, and those whose filter knows none of the new ones, are not opened."""
+    layout = Layout.under(str(tmp_path / "keys"))
+    days = days_between(D1, date(2026, 3, 8))
+
+    def fact(day, keys):
+        columns = {"item_id": F.col("id"), "order_id": F.col("id"), "menu_id": F.col("id"), "quantity": F.lit(1)}
+        rows = spark.createDataFrame([(k,) for k in keys], "id long").withColumns(columns)
+        missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in FACT if f.name not in columns]
+        return rows.select(*columns, *missing).withColumns({"year": F.lit("2026"), "month": F.lit("03"), "day": F.lit(f"{day.day:02d}")})
+
+    for i, day in enumerate(days[:6]):  # even and odd days have keys of one range, of which none is common
+        first = 1000 * (i // 2)
+        runs.store_fact(spark, layout, fact(day, range(first + i % 2, first + 1000, 2)), [day])
+    opened, filters = [], []
+    real = tables.read_folders
+
+    def watched(s, path, schema, folders, *rest):
+        (filters if path.endswith("_keys") else opened).extend(folders)
+        return real(s, path, schema, folders, *rest)
+
+    def repeated(day, keys):
+        runs.store_fact(spark, layout, fact(day, keys), [day])
+        opened.clear(), filters.clear()
+        with monkeypatch.context() as patched:
+            patched.setattr(tables, "read_folders", watched)
+            found = {row.item_id: row.n_records for row in runs.repeated_fact_keys(spark, layout, [day]).collect()}
+        return found, sorted(name[-2:] for name in opened), sorted(name[-2:] for name in filters)
+
+    assert repeated(days[6], [5000, 5001]) == ({}, ["07"], [])
+    assert repeated(days[6], [5000, 5001, 5001]) == ({5001: 2}, ["07"], [])
+    assert repeated(days[6], [1003, 1003, 1004]) == ({1003: 3, 1004: 2}, ["03", "04", "07"], ["03", "04"])
+    assert repeated(days[6], [2, 4, 7000]) == ({2: 2, 4: 2}, ["01", "07"], ["01", "02", "03", "04", "05", "06"])
+    assert repeated(days[7], []) == ({}, [], [])
+    for n in (1, 50, 300_000):
+        size = keysets.size_of(n)
+        filled = keysets._filled(np.arange(0, 3 * n, 3), size)
+        known = np.stack([filled[places] for places in keysets._places(np.arange(3 * n), size)]).all(axis=0)
+        assert known[::3].all() and (n < 100 or known[1::3].mean() < 0.03)
+
+
 def test_tests_of_a_run_stay_in_its_days(spark, tmp_path, monkeypatch):
     layout = Layout.under(str(tmp_path / "scoped"))
     far = date(2026, 5, 20)

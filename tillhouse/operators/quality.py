@@ -130,6 +130,39 @@ def cashier_outliers(
     )
 
 
+def count_moments(counts: DataFrame, scope: Sequence[str]) -> DataFrame:
+    """Number, mean and sum of squared deviations of the counts of each batch: all that later windows need of it."""
+    values = F.col("tx_count").cast("double")
+    return counts.groupBy(*scope).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.avg(values).alias("mean"),
+        (F.coalesce(F.var_samp(values), F.lit(0.0)) * (F.count(F.lit(1)) - 1)).alias("m2"),
+    )
+
+
+def merged_moments(moments: DataFrame, group: Sequence[str]) -> DataFrame:
+    """The moments of batches together, as if their counts had been taken as one batch; the counts are not needed."""
+    total = F.sum("n")
+    mean = F.sum(F.col("n") * F.col("mean")) / total
+    # deviations from the common mean: those within batches, and those of their means
+    between = F.sum(F.col("n") * F.col("mean") * F.col("mean")) - total * mean * mean
+    return moments.groupBy(*group).agg(total.alias("n"), mean.alias("mean"), (F.sum("m2") + between).alias("m2"))
+
+
+def outliers_in_window(counts: DataFrame, moments: DataFrame, days: int) -> DataFrame:
+    """Counts of a day that are outliers among all counts of the window of days that ends with it.
+
+    counts: date, cashier_id, tx_count; moments: date, n, mean, m2, one row per day. With several days
+    in a window a few cashiers are enough for a rule that a single day can never break.
+    """
+    spread = moments.withColumn("date", F.explode(F.sequence("date", F.date_add("date", days - 1))))
+    merged = merged_moments(spread, ["date"])
+    deviation = F.sqrt(F.greatest(F.col("m2"), F.lit(0.0)) / (F.col("n") - 1))
+    limits = merged.filter("n > 1").select("date", "mean", deviation.alias("deviation"))
+    found = counts.join(limits.filter("deviation > 0"), "date")
+    return found.filter(F.col("tx_count") > F.col("mean") + OUTLIER_DEVIATIONS * F.col("deviation")).select(*counts.columns)
+
+
 def rule_counts(
     orders_with_totals: DataFrame,
     bad: DataFrame,

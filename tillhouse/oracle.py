@@ -368,6 +368,14 @@ SELECTS = {
         GROUP BY created_at, order_id HAVING COUNT(*) > 1""",
     "dq_anomaly_cashiers": "SELECT * FROM outliers",
     "dq_anomaly_cashiers_daily": f"SELECT {_DAY_KEYS_OF}, cashier_id, tx_count FROM source_outliers",
+    "dq_anomaly_cashiers_window": """SELECT c.created_at AS date, c.cashier_id, c.tx_count FROM source_cashiers c
+        JOIN (SELECT d.created_at, AVG(w.tx_count) + 3 * STDDEV_SAMP(w.tx_count) AS threshold
+              FROM (SELECT DISTINCT created_at FROM source_cashiers) d
+              JOIN source_cashiers w ON w.created_at BETWEEN d.created_at - 27 AND d.created_at GROUP BY d.created_at) s
+        ON c.created_at = s.created_at WHERE c.tx_count > s.threshold""",
+    "run_anomaly_cashiers_window": f"""SELECT created_at AS date, cashier_id, tx_count FROM source_cashiers
+        WHERE created_at = {_RUN_DAY} AND tx_count > (SELECT AVG(tx_count) + 3 * STDDEV_SAMP(tx_count) FROM source_cashiers
+            WHERE created_at BETWEEN {_RUN_DAY} - 9 AND {_RUN_DAY})""",
     "dq_anomaly_outlet_cashiers": """SELECT * FROM (SELECT outlet_id, cashier_id, COUNT(order_id) AS tx_count
         FROM fx_orders GROUP BY outlet_id, cashier_id) WHERE tx_count > (SELECT AVG(n) + 3 * STDDEV_SAMP(n)
         FROM (SELECT COUNT(order_id) AS n FROM fx_orders GROUP BY outlet_id, cashier_id))""",
@@ -442,6 +450,10 @@ SELECTS = {
         LEFT JOIN (SELECT e.created_at, COUNT(*) FILTER (stored) AS items_before, COUNT(*) AS items_now FROM early_orders e
               JOIN fx_order_items i ON i.order_id = e.order_id GROUP BY e.created_at) i
         ON i.created_at = o.created_at WHERE differs""",
+    "unique_over_days": f"""SELECT item_id, COUNT(*) AS n_records FROM (
+            SELECT item_id FROM fact UNION ALL SELECT item_id FROM fact WHERE item_id % 1000 = 11
+        ) WHERE item_id IN (SELECT item_id FROM fact WHERE order_date = {_RUN_DAY} OR item_id % 1000 = 11)
+        GROUP BY item_id HAVING COUNT(*) > 1""",
     "run_quarantine": f"""SELECT rule, row_key, value, {_DAY_KEYS_OF} FROM (
         SELECT 'orphan_items' AS rule, CAST(item_id AS STRING) AS row_key, CAST(menu_id AS STRING) AS value, created_at
         FROM source_items WHERE menu_id NOT IN (SELECT menu_id FROM fx_menu_master)

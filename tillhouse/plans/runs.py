@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tillhouse.functions.dates import recent
 from tillhouse.functions.fixed_values import CALENDAR_END, RECENT_DAYS
 from tillhouse.layout import Layout, lookback_days, stretches
-from tillhouse.operators import checks, history
+from tillhouse.operators import checks, history, keysets
 from tillhouse.plans import changes, gold, silver
 from tillhouse.schemas import FACT, MASTERS, ORDER_ITEMS, PRIMARY_KEYS, SILVER_ORDERS, TRANSACTIONS
 from tillhouse.session import (
@@ -26,6 +26,10 @@ from tillhouse.session import (
 from tillhouse.sources import bronze, catalog, commits, tables
 
 
+# The fact's key, and the table of its filters.
+FACT_KEY, FACT_KEYS = "item_id", "fact_order_items_keys"
+
+
 def extract(spark: SparkSession, source, layout: Layout, days: list[date]) -> None:
     """Masters in full, transactions of the given days, all as raw files."""
 
@@ -43,40 +47,57 @@ def extract(spark: SparkSession, source, layout: Layout, days: list[date]) -> No
     run_together(spark, jobs)
 
 
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    """Complete versions of a history table, oldest first."""
+def _numbers(spark: SparkSession, path: str, name: str) -> list[int]:
+    """Numbers of the complete folders name=<number> of a history, oldest first."""
     fs, root = file_system(spark, path)
     if not fs.exists(root):
         return []
     found = []
     for entry in fs.listStatus(root):
-        name = entry.getPath().getName()
-        _, marker = file_system(spark, f"{path}/{name}/_SUCCESS")
-        if name.startswith("version=") and fs.exists(marker):
-            found.append(int(name.removeprefix("version=")))
+        folder = entry.getPath().getName()
+        _, marker = file_system(spark, f"{path}/{folder}/_SUCCESS")
+        if folder.startswith(f"{name}=") and fs.exists(marker):
+            found.append(int(folder.removeprefix(f"{name}=")))
     return sorted(found)
 
 
-def read_history(spark: SparkSession, layout: Layout, table: str) -> DataFrame | None:
+def read_open(spark: SparkSession, layout: Layout, table: str) -> DataFrame | None:
+    """The open versions of a history, one row per key."""
     path = f"{layout.gold}/snp_{table}"
-    found = _versions(spark, path)
+    found = _numbers(spark, path, "version")
     return spark.read.parquet(f"{path}/version={found[-1]:06d}") if found else None
 
 
+def read_history(spark: SparkSession, layout: Layout, table: str) -> DataFrame | None:
+    """All versions: the open ones, and what every load up to theirs has closed."""
+    path = f"{layout.gold}/snp_{table}"
+    found = _numbers(spark, path, "version")
+    if not found:
+        return None
+    open_rows = spark.read.parquet(f"{path}/version={found[-1]:06d}")
+    closed = [f"{path}/closed={n:06d}" for n in _numbers(spark, path, "closed") if n <= found[-1]]
+    return open_rows.unionByName(spark.read.schema(open_rows.schema).parquet(*closed)) if closed else open_rows
+
+
 def refresh_history(spark: SparkSession, layout: Layout, table: str, master: DataFrame) -> DataFrame:
     """Merge a master into its history.
 
-    The result goes to a new version folder beside the one being read. A run that dies
-    half-way leaves an incomplete folder that no reader picks up; the version before the
-    one read is removed.
+    Closed versions never change again: a load writes those it closes to a folder of its own and rewrites the open ones only,
+    so its cost goes by the master's size and not by the history's. The open ones go to a new folder beside the one being
+    read, and with its success marker the load counts. One that dies half-way leaves folders that no reader picks up and
+    the next load writes anew; the open versions before those that were read are removed.
     """
     path = f"{layout.gold}/snp_{table}"
     key = PRIMARY_KEYS[table]
-    found = _versions(spark, path)
-    stored = read_history(spark, layout, table)
-    merged = history.first_load(master, key) if stored is None else history.merge(stored, master, key)
-    version = found[-1] + 1 if found else 1
-    tables.write_table(merged, f"{path}/version={version:06d}")
+    found = _numbers(spark, path, "version")
+    stored = read_open(spark, layout, table)
+    load = found[-1] + 1 if found else 1
+    if stored is None:
+        merged = history.first_load(master, key)
+    else:
+        merged = history.merge(stored, master, key)
+        tables.write_table(merged.filter("valid_to IS NOT NULL"), f"{path}/closed={load:06d}")
+    tables.write_table(history.current_rows(merged), f"{path}/version={load:06d}")
     for old in found[:-1]:
         fs, folder = file_system(spark, f"{path}/version={old:06d}")
         fs.delete(folder, True)
@@ -105,11 +126,46 @@ def build_gold(
     def fact() -> None:
         orders = tables.read_day_files(spark, f"{layout.silver}/orders", SILVER_ORDERS, days)
         items = tables.read_day_files(spark, f"{layout.silver}/order_items", ORDER_ITEMS, days)
-        tables.write_days(gold.fact_order_items(orders, items), f"{layout.gold}/fact_order_items", days)
+        store_fact(spark, layout, gold.fact_order_items(orders, items), days)
 
     run_together(spark, [menu, outlet, dates, fact])
 
 
+def store_fact(spark: SparkSession, layout: Layout, rows: DataFrame, days: list[date]) -> None:
+    """Replace days of the fact, with the range of their keys noted and a filter of their keys beside them."""
+    path = f"{layout.gold}/fact_order_items"
+
+    def ranges(run: str, found: list[date]) -> dict[date, dict]:
+        folders = [commits.run_folder(path, day, run) for day in found]
+        return keysets.key_ranges(tables.read_folders(spark, path, FACT, folders), FACT_KEY) if folders else {}
+
+    tables.write_days(rows, path, days, notes=ranges)
+    held = commits.state(spark, path)
+    counts = {day: held.days[day].notes["keys"] for day in held.filled(days)}
+    stored = tables.read_day_files(spark, path, FACT, days, held=held)
+    tables.write_days(keysets.day_filters(stored, FACT_KEY, counts), f"{layout.gold}/{FACT_KEYS}", days, aligned=True)
+
+
+def repeated_fact_keys(spark: SparkSession, layout: Layout, days: list[date]) -> DataFrame:
+    """Keys of the given days that the fact has more than once, in these days or in any other.
+
+    Other days are opened only where their range of keys meets that of the new ones and their filter knows one of them.
+    """
+    path = f"{layout.gold}/fact_order_items"
+    held = commits.state(spark, path)
+    new = tables.read_day_files(spark, path, FACT, days, held=held)
+    own = [held.days[day].notes for day in held.filled(days) if held.days[day].notes.get("low") is not None]
+    if not own:
+        return keysets.repeated_keys(new, None, FACT_KEY)
+    others = {day: held.days[day].notes for day in held.filled() if day not in set(days)}
+    near = keysets.meeting_days(others, min(n["low"] for n in own), max(n["high"] for n in own))
+    if near:
+        filters = tables.read_day_files(spark, f"{layout.gold}/{FACT_KEYS}", keysets.FILTERS, near)
+        near = keysets.known_days(new, FACT_KEY, filters)
+    old = tables.read_day_files(spark, path, FACT, near, held=held) if near else None
+    return keysets.repeated_keys(new, old, FACT_KEY)
+
+
 def read_fact(spark: SparkSession, layout: Layout) -> DataFrame:
     return tables.read_partitioned(spark, f"{layout.gold}/fact_order_items", FACT)
 
@@ -118,9 +174,10 @@ def run_tests(spark: SparkSession, layout: Layout, as_of: date, days: list[date]
     """The tests of the star schema and its inputs: one row per test, one scan per table.
 
     With days, tables by day are read on these days and in the span of the tests that look at recent rows; no other
-    folder is opened, so the cost of a run's tests does not grow with the lake. Without, everything is read.
+    folder is opened, so the cost of a run's tests does not grow with the lake; that no key of the days occurs in any
+    other day is seen from what is kept beside the fact. Without days, everything is read.
     """
-    read = partial(tables.read_day_files, spark)
+    read, own = partial(tables.read_day_files, spark), days
     if days is not None:
         days = sorted({*days, *lookback_days(as_of, RECENT_DAYS)})
     tested = {
@@ -133,7 +190,10 @@ def run_tests(spark: SparkSession, layout: Layout, as_of: date, days: list[date]
         "dim_menu": spark.read.parquet(f"{layout.gold}/dim_menu"),
         "dim_outlet": spark.read.parquet(f"{layout.gold}/dim_outlet"),
     }
-    return checks.summary_of(tested, star_tests(recent(as_of, RECENT_DAYS)))
+    found = checks.summary_of(tested, star_tests(recent(as_of, RECENT_DAYS)))
+    if own is None:
+        return found
+    return found.unionByName(checks.result("unique_fact_item_id_over_all_days", repeated_fact_keys(spark, layout, own)))
 
 
 def star_tests(fresh: Column | None = None) -> dict[str, checks.Check]:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tillhouse.layout import DAY_KEYS, Layout, day_values
+from tillhouse.layout import DAY_KEYS, Layout, day_values, lookback_days
 from tillhouse.operators import quality
 from tillhouse.schemas import (
     BAD_ITEMS,
@@ -26,13 +26,16 @@ from tillhouse.schemas import (
     with_days,
 )
 from tillhouse.session import discard, run_together
-from tillhouse.sources import bronze, tables
+from tillhouse.sources import bronze, commits, tables
 
 log = logging.getLogger(__name__)
 
 # Lines of the raw layer that could not be read as their table says.
 MALFORMED = "malformed_rows"
 
+# Orders per cashier and day; the moments of a day's counts are noted with it.
+CASHIERS = "cashier_counts"
+
 # Rules on groups of orders. Their rows are computed, those of other rules are picked from day files.
 GROUP_RULES = {"duplicate_orders": DUPLICATE_ORDERS, "anomaly_cashiers": CASHIER_COUNTS}
 
@@ -119,6 +122,16 @@ def load_days(
         noted = tables.written_hashes(spark, silver_orders, ORDERS)
         tables.write_days(rows, silver_orders, days, aligned=True, notes=noted)
 
+    def store_counts() -> None:
+        counts = quality.cashier_counts(checked, DAY_KEYS)
+        tables.write_days(counts, f"{layout.silver}/{CASHIERS}", days, notes=day_moments)
+
+    def day_moments(run: str, found: list[date]) -> dict[date, dict]:
+        folders = [commits.run_folder(f"{layout.silver}/{CASHIERS}", day, run) for day in found]
+        counts = tables.read_folders(spark, f"{layout.silver}/{CASHIERS}", CASHIER_COUNTS, folders)
+        rows = quality.count_moments(counts, DAY_KEYS).collect()  # one per day
+        return {date(int(r.year), int(r.month), int(r.day)): {"n": r.n, "mean": r["mean"], "m2": r.m2} for r in rows}
+
     def store_malformed() -> None:
         rows = malformed_rows({"orders": checked} | ({"order_items": malformed_items} if malformed_items else {}))
         tables.write_days(rows, f"{layout.quarantine}/{MALFORMED}", days, aligned=True)
@@ -127,7 +140,7 @@ def load_days(
         tables.write_days(rows, f"{layout.quarantine}/{rule}", days, aligned=rule not in GROUP_RULES)
 
     bad = quarantine_frames(checked, bad_items, DAY_KEYS)
-    run_together(spark, [store_orders, store_malformed, *(partial(store_bad, rule, rows) for rule, rows in bad.items())])
+    run_together(spark, [store_orders, store_counts, store_malformed, *(partial(store_bad, rule, rows) for rule, rows in bad.items())])
 
     found = {
         rule: tables.read_day_files(spark, f"{layout.quarantine}/{rule}", schema, days)
@@ -144,3 +157,18 @@ def load_days(
     for row in counts.groupBy("rule").agg(F.sum("violations").alias("violations")).collect():
         log.warning("%s: %d violations", row.rule, row.violations)
     return counts
+
+
+def cashier_outliers_in_window(spark: SparkSession, layout: Layout, day: date, days: int) -> DataFrame:
+    """Cashiers of a day with outlying counts among those of the days up to it.
+
+    Only the day's counts are read. What the other days contribute are the moments that are noted with them.
+    """
+    path = f"{layout.silver}/{CASHIERS}"
+    held = commits.state(spark, path)
+    window = held.filled(lookback_days(day, days - 1))
+    noted = [(each, *(held.days[each].notes[name] for name in ("n", "mean", "m2"))) for each in window]
+    moments = spark.createDataFrame(noted, "date date, n long, mean double, m2 double")
+    counts = tables.read_day_files(spark, path, CASHIER_COUNTS, [day], held=held)
+    counts = counts.select(F.make_date(*[F.col(key).cast("int") for key in DAY_KEYS]).alias("date"), *CASHIER_COUNTS.fieldNames())
+    return quality.outliers_in_window(counts, moments, days)

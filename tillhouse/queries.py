@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from tillhouse import samples
-from tillhouse.functions.dates import day_keys, recent, with_day_keys
+from tillhouse.functions.dates import day_keys, on_day, recent, with_day_keys
 from tillhouse.functions.fixed_values import PROJECTED_YEARS
-from tillhouse.layout import DAY_KEYS, Layout, lookback_days, projected_partitions
+from tillhouse.layout import DAY_KEYS, Layout, day_values, lookback_days, projected_partitions
 from tillhouse.operators import checks, history, quality
-from tillhouse.plans import changes, gold, runs
+from tillhouse.plans import changes, gold, runs, silver
 from tillhouse.schemas import (
     AMOUNT_SUM,
     BAD_ITEMS,
@@ -260,10 +260,10 @@ def insert_if_absent(spark, sf_dir):
     path = fresh_dir(spark, "orders")
     rows = samples.orders(spark, sf_dir)
     stored = rows.filter(F.col("created_at") < F.lit("2026-01-01").cast("date"))
-    tables.write_table(stored.distinct(), path)
+    tables.write_keyed(stored.distinct(), path, "order_id")
     tables.insert_if_absent(rows, path, "order_id")
     tables.insert_if_absent(rows, path, "order_id")
-    return spark.read.schema(rows.schema).parquet(path)
+    return tables.read_keyed(spark, path, rows.schema)
 
 
 # --- data quality ------------------------------------------------------------------------
@@ -329,6 +329,24 @@ def dq_anomaly_cashiers_daily(spark, sf_dir):
     return quality.cashier_outliers(rows, DAY_KEYS)
 
 
+@query
+def dq_anomaly_cashiers_window(spark, sf_dir):
+    """Cashiers with outlying counts among those of four weeks, from a day's counts and the moments of each day."""
+    rows = samples.orders(spark, sf_dir).withColumn("date", F.to_date("created_at"))
+    counts = quality.cashier_counts(rows, ["date"])
+    return quality.outliers_in_window(counts, quality.count_moments(counts, ["date"]), 28)
+
+
+@query
+def run_anomaly_cashiers_window(spark, sf_dir):
+    """The same for the last of ten stored days, from the tables that runs leave: no order is read for it."""
+    layout = _layout(spark, "window")
+    days = lookback_days(RUN_DAY, 9)
+    runs.extract(spark, _source(spark, sf_dir), layout, days)
+    runs.load_silver(spark, layout, days)
+    return silver.cashier_outliers_in_window(spark, layout, RUN_DAY, 10)
+
+
 @query
 def dq_anomaly_outlet_cashiers(spark, sf_dir):
     return quality.cashier_outliers(samples.orders(spark, sf_dir), group_cols=["outlet_id", "cashier_id"])
@@ -619,6 +637,20 @@ def daily_run(spark, sf_dir):
     return _dated(runs.read_fact(spark, layout))
 
 
+@query
+def unique_over_days(spark, sf_dir):
+    """Items of one day that the stored fact has more than once, when that day also holds late copies of items of others."""
+    layout = _layout(spark, "unique")
+    orders, items = _in_time(samples.silver_orders(spark, sf_dir)), samples.silver_items(spark, sf_dir)
+    fact = gold.fact_order_items(orders, items)
+    runs.store_fact(spark, layout, fact, samples.ALL_DAYS)
+    year, month, day = day_values(RUN_DAY)
+    late = fact.filter(F.col("item_id") % 1000 == 11).withColumns({"year": F.lit(year), "month": F.lit(month), "day": F.lit(day)})
+    own = fact.filter(on_day(RUN_DAY))
+    runs.store_fact(spark, layout, own.unionByName(late), [RUN_DAY])
+    return runs.repeated_fact_keys(spark, layout, [RUN_DAY])
+
+
 @query
 def csv_odd_text(spark, sf_dir):
     """Payment methods with quotes, backslashes, line breaks, blanks at both ends, or reading like NULL, through the raw layer."""

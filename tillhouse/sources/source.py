@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,6 +65,36 @@ def orders_query(start: date, end: date) -> str:
     )
 
 
+def counts_query(start: date, end: date, unit: str = "minute") -> str:
+    """Orders per unit of time: a few hundred rows a day, counted in the database."""
+    return (
+        f"SELECT date_trunc('{unit}', created_at) AS at, COUNT(*) AS n FROM orders "
+        f"WHERE created_at >= '{start.isoformat()}' AND created_at < '{(end + timedelta(days=1)).isoformat()}' GROUP BY 1"
+    )
+
+
+def slice_bounds(counts: list[tuple[datetime, int]], slices: int) -> list[datetime]:
+    """Times at which slices begin that hold about the same number of rows, the first one left out.
+
+    Rows of one unit of time stay together, so a slice is larger than its share by less than the fullest unit.
+    """
+    total = sum(n for _, n in counts)
+    bounds: list[datetime] = []
+    before = 0
+    for at, n in sorted(counts):
+        # a slice begins here if all that came before fills the slices so far
+        if before and before * slices >= total * (len(bounds) + 1) and len(bounds) < slices - 1:
+            bounds.append(at)
+        before += n
+    return bounds
+
+
+def slice_predicates(column: str, start: date, end: date, bounds: list[datetime]) -> list[str]:
+    """Half-open ranges of the column, together all of the days."""
+    edges = [f"{start} 00:00:00", *(f"{at:%Y-%m-%d %H:%M:%S}" for at in bounds), f"{end + timedelta(days=1)} 00:00:00"]
+    return [f"{column} >= '{low}' AND {column} < '{high}'" for low, high in zip(edges, edges[1:], strict=False)]
+
+
 def items_query(start: date, end: date) -> str:
     columns = ", ".join(f"i.{name}" for name in TABLES["order_items"].fieldNames())
     return (
@@ -74,7 +105,10 @@ def items_query(start: date, end: date) -> str:
 
 
 class JdbcSource:
-    """Day scans run as one query in the database, read in parallel slices of created_at."""
+    """Day scans run as one query in the database, read in parallel slices of created_at.
+
+    Most orders fall into a few hours, so slices are cut where the counted orders are, not at equal times.
+    """
 
     def __init__(self, spark: SparkSession, url: str, properties: dict[str, str] | None = None, readers: int = 8):
         self.spark = spark
@@ -92,13 +126,17 @@ class JdbcSource:
         columns = ", ".join(TABLES[name].fieldNames())
         return self._read(jdbc_options(self.url, f"SELECT {columns} FROM {name}"))
 
+    @cache
+    def _bounds(self, start: date, end: date) -> list[datetime]:
+        """One look at the orders of the days serves the scans of orders and of items."""
+        counts = self._read(jdbc_options(self.url, counts_query(start, end))).collect()
+        return slice_bounds([(row["at"], row["n"]) for row in counts], self.readers)
+
     def _days(self, query: str, start: date, end: date) -> DataFrame:
-        after = end + timedelta(days=1)
-        return self._read(
-            jdbc_options(
-                self.url, query, "created_at", f"{start} 00:00:00", f"{after} 00:00:00", self.readers
-            )
-        )
+        predicates = slice_predicates("created_at", start, end, self._bounds(start, end))
+        options = jdbc_options(self.url, query)
+        properties = {k: v for k, v in {**options, **self.properties}.items() if k not in ("url", "dbtable")}
+        return self.spark.read.jdbc(self.url, options["dbtable"], predicates=predicates, properties=properties)
 
     def orders(self, start: date, end: date) -> DataFrame:
         return self._days(orders_query(start, end), start, end)

@@ -13,6 +13,7 @@ from pyspark.sql.types import StructType
 from tillhouse.functions.dates import in_days
 from tillhouse.layout import DAY_KEYS, RUN_KEY
 from tillhouse.schemas import with_days
+from tillhouse.session import file_system
 from tillhouse.sources import commits
 
 log = logging.getLogger(__name__)
@@ -153,10 +154,51 @@ def new_rows(arriving: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     return unique.join(existing.select(key), key, "left_anti").select(*columns)
 
 
+# Folder of the rows whose keys have one remainder; the number of buckets is part of its name, so a table tells it itself.
+BUCKET = "bucket"
+BUCKETS = 64
+
+
+def _bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    return df.withColumn(BUCKET, F.format_string(f"%d-of-{buckets}", F.pmod(F.xxhash64(key), F.lit(buckets))))
+
+
+def write_keyed(df: DataFrame, path: str, key: str, buckets: int = BUCKETS) -> None:
+    """A table whose rows lie in folders by the hash of their key."""
+    _bucketed(df, key, buckets).hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
+
+
+def _stored_buckets(spark: SparkSession, path: str) -> list[str]:
+    fs, pattern = file_system(spark, f"{path}/{BUCKET}=*")
+    return sorted(entry.getPath().getName().removeprefix(f"{BUCKET}=") for entry in fs.globStatus(pattern) or [])
+
+
+def read_keyed(spark: SparkSession, path: str, schema: StructType, chosen: list[str] | None = None) -> DataFrame:
+    """The rows of a keyed table, or of some of its buckets: other folders are not even listed."""
+    stored = _stored_buckets(spark, path)
+    folders = [f"{path}/{BUCKET}={name}" for name in stored if chosen is None or name in chosen]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders).select(*schema.fieldNames())
+
+
 def insert_if_absent(arriving: DataFrame, path: str, key: str) -> None:
-    """Append rows with new keys; running it again adds nothing."""
-    existing = arriving.sparkSession.read.schema(arriving.schema).parquet(path)
-    new_rows(arriving, existing, key).write.mode("append").parquet(path)
+    """Append rows with new keys; running it again adds nothing.
+
+    Of a keyed table only the buckets that the arriving keys fall into are read: which these are is one row per bucket.
+    """
+    spark = arriving.sparkSession
+    stored = _stored_buckets(spark, path)
+    if not stored:
+        existing = spark.read.schema(arriving.schema).parquet(path)
+        new_rows(arriving, existing, key).write.mode("append").parquet(path)
+        return
+    buckets = int(stored[0].rsplit("-", 1)[1])
+    rows = _bucketed(arriving, key, buckets)
+    chosen = [row[0] for row in rows.select(BUCKET).distinct().collect()]
+    existing = read_keyed(spark, path, arriving.schema, chosen)
+    new = _bucketed(new_rows(arriving, existing, key), key, buckets)
+    new.write.mode("append").partitionBy(BUCKET).parquet(path)
 
 
 def max_id(df: DataFrame, key: str) -> DataFrame:
