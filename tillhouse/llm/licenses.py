@@ -1,14 +1,14 @@
 """License notices in texts, by conditional compression against reference wordings.
 
 The words around each cue are cut into windows of a fixed number of words, whatever the lines are; windows overlap by
-more than the longest notice, so each notice lies whole in one of them. Wordings whose words a window may hold are
-aligned with it, and the words that differ decide whether a part of it is the notice (`exact`), a changed notice
-(`changed`) or none. The part is compressed with the wording as a raw zstandard dictionary; the share of bytes
-saved against plain compression ranks wordings that fit alike.
+more than the longest notice, so each notice lies whole in one of them. The parts of a window that may hold a wording
+are compressed with that wording as a raw zstandard dictionary. What saves less than SAVED of the plain size is no
+candidate; candidates are ranked by the bytes they save, and the winner's words that differ from the wording tell
+whether it is the notice (`exact`), a changed notice (`changed`) or none.
 
 Defined results: a NULL or empty text has no notice. A text of any length is read whole, in windows. A notice has at least
 FOUND of the words of a wording in order (all of a short one), not more words put in than the wording has, and no
-other license's name. Of notices that overlap, the one with most words in place counts, then the one that saves more, then
+other license's name. Of notices that overlap, the one that saves most counts, then that with fewer differences, then
 the license that sorts first. A notice starts where its first word does. Repeated rows are scanned one by one.
 Columns other than id and text are not looked at. What has lost every cue word is not a notice.
 """
@@ -140,6 +140,10 @@ SHORT = 4
 #: What a word in its place counts against a word put in, when a wording is aligned.
 IN_PLACE = 4
 _WORD = re.compile(r"[\w.+-]*\w")
+#: Least share of its plain size that a notice loses when it is compressed with its wording.
+SAVED = 0.2
+#: What a word that differs counts against the bytes saved.
+BYTES_A_WORD = 2
 #: Words that name a license: with another one a wording is that of another license.
 _NAME = re.compile(
     r"(a|l|f)?gpl(v?[\d.]+)?|gnu|lesser|affero|mit|expat|apache(-[\d.]+)?|(free)?bsd|(2|3)-clause|simplified|isc|mozilla|mpl|unlicense|zlib|eclipse|boost"
@@ -148,11 +152,18 @@ _NAME = re.compile(
 )
 
 
+def _block(words: list[str]) -> bytes:
+    """What is compressed: the words alone, whatever their lines and what stands before them."""
+    return " ".join(words).encode(errors="replace")
+
+
 @cache
 def _compressors() -> dict[int, zstandard.ZstdCompressor]:
     out = {
-        k: zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_checksum=False, write_content_size=False)
-        for k, (_, text) in enumerate(WORDINGS)
+        k: zstandard.ZstdCompressor(
+            level=3, dict_data=zstandard.ZstdCompressionDict(_block(_template_words(k)), dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_checksum=False, write_content_size=False
+        )
+        for k in range(len(WORDINGS))
     }
     return out | {-1: zstandard.ZstdCompressor(level=3, write_checksum=False, write_content_size=False)}
 
@@ -287,34 +298,59 @@ def _fits(words: list[str], k: int) -> Iterator[tuple[int, int, int]]:
             todo += [(start + a, start + b) for a, b in _parts(words[start:stop], k)]
 
 
+def blocks(fits: list[tuple[int, int, int, int]]) -> Iterator[list[tuple[int, int, int, int]]]:
+    """Places (first, end, ...) that overlap, directly or by way of others, together."""
+    held: list[tuple[int, int, int, int]] = []
+    end = 0
+    for fit in sorted(fits):
+        if held and fit[0] >= end:
+            yield held
+            held, end = [], 0
+        held.append(fit)
+        end = max(end, fit[1])
+    if held:
+        yield held
+
+
 def match(text: str, window: list[tuple[str, int, int]]) -> list[tuple[int, int, str, float, int, int]]:
-    """(start, end, license, share saved, words that differ, rank) of all that may be a notice in a window."""
+    """(start, end, license, share saved, words that differ, rank) of all that may be a notice in a window.
+
+    The parts of the window that wordings may have are candidate blocks. A block is compressed with each of these wordings as
+    its dictionary, and ranks them by the bytes they save of the whole block; a size is true to a byte or two, so words that
+    differ count against it. Only what saves enough of its own part's plain size is a candidate.
+    """
     words = [word for word, _, _ in window]
     tools, out, have = _compressors(), [], set(words)
-    plain: dict[tuple[int, int], int] = {}
-    for k, (name, _) in enumerate(WORDINGS):
+    fits = []
+    for k in range(len(WORDINGS)):
         wanted = _template_words(k)
-        if sum(word in have for word in wanted) < least(len(wanted)):
-            continue
-        for first, end, found in _fits(words, k):
-            different = len(wanted) - found + (end - first - found)
-            span = window[first][1], window[end - 1][2]
-            raw = text[span[0] : span[1]].encode(errors="replace")
-            if span not in plain:
-                plain[span] = len(tools[-1].compress(raw))
-            out.append((*span, name, 1 - len(tools[k].compress(raw)) / plain[span], different, found - different))
+        if sum(word in have for word in wanted) >= least(len(wanted)):
+            fits += [(first, end, k, found) for first, end, found in _fits(words, k)]
+    for block in blocks(fits):
+        whole = _block(words[block[0][0] : max(end for _, end, _, _ in block)])
+        plain = len(tools[-1].compress(whole))
+        saved = {k: plain - len(tools[k].compress(whole)) for k in {k for _, _, k, _ in block}}
+        for first, end, k, found in block:
+            own = _block(words[first:end])
+            share = 1 - len(tools[k].compress(own)) / len(tools[-1].compress(own))
+            different = len(_template_words(k)) - found + (end - first - found)
+            if share >= SAVED:
+                out.append((window[first][1], window[end - 1][2], WORDINGS[k][0], share, different, saved[k] - BYTES_A_WORD * different))
     return out
 
 
 def notices(text: str) -> list[tuple[int, int, str, float, int, int]]:
-    """All notices of a text in its order; what several windows or wordings find at one place is one notice."""
+    """All notices of a text in its order; what several windows or wordings find at one place is one notice.
+
+    Candidates are taken by their rank, highest first, and keep others away from their place.
+    """
     lower = text.lower()
     if not any(stem in lower for stem in STEMS) and not any(stem in text for stem in CAPITALS):
         return []  # much faster than the pattern, for the many texts without a cue
     found = {one for window in windows(text) for one in match(text, window)}
     starts: list[int] = []
     out: list[tuple] = []
-    for one in sorted(found, key=lambda x: (-x[5], -x[3], x[2], x[0])):
+    for one in sorted(found, key=lambda x: (-x[5], x[4], x[2], x[0])):
         at = bisect(starts, one[0])
         if (not at or out[at - 1][1] <= one[0]) and (at == len(out) or one[1] <= out[at][0]):
             starts.insert(at, one[0])
