@@ -11,6 +11,7 @@ from compare import differences, open_duckdb  # noqa: E402
 
 import __spark_entry__ as contract  # noqa: E402
 import corpus_pipeline  # noqa: E402
+from tillhouse.llm import language  # noqa: E402
 from tillhouse.llm.common import stored, table  # noqa: E402
 from tillhouse.llm.queries import ORACLE_SQL, REGISTRY  # noqa: E402
 
@@ -19,7 +20,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     assert set(REGISTRY) | {"pipeline"} <= set(contract.queries())
-    assert sorted(int(name[2:].split("_")[0]) for name in REGISTRY) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in REGISTRY) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", list(ORACLE_SQL))
@@ -32,6 +33,18 @@ def test_language_of_held_out_documents(spark):
     assert sum(row.lang_pred == row.lang for row in rows) >= 0.98 * len(rows)
 
 
+@pytest.mark.parametrize("left_out", ["de", "en", "es", "fr"])
+def test_languages_that_were_not_learned_are_rejected(spark, left_out):
+    documents = table(spark, SF.replace("0.001", "0.01"), "documents").select("doc_id", "text", "lang").repartition(4)
+    model = language.train(documents.filter(documents.lang != left_out))
+    rows = language.identify(documents, model).join(documents, "doc_id").collect()
+    other = [row.rejected for row in rows if row.lang == left_out]
+    known = [row.rejected for row in rows if row.lang != left_out]
+    assert sum(other) >= 0.9 * len(other) and sum(known) <= 0.02 * len(known)
+    kept = {row.doc_id for row in language.keep_known(documents, model).collect()}
+    assert kept == {row.doc_id for row in rows if not row.rejected}
+
+
 def test_stages(spark):
     docs = table(spark, SF, "documents")
     for name, stage in corpus_pipeline.STAGES[:-1]:

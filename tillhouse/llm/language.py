@@ -3,8 +3,8 @@
 A text becomes the normalised TF-IDF vector of its hashed letter 2-grams and 3-grams: letters in lower case, each
 run of other characters one separator. Document frequencies come from all training documents. The centroids of a
 language are fitted by spherical k-means on a bounded sample of its training documents. A text gets the language
-of the centroid with the largest cosine, and is rejected when that cosine is far below what training texts of
-about its length reach.
+of the centroid with the largest cosine, and is rejected when that cosine is far below what most training texts of
+that language and of about its length reach; odd training texts do not move that limit.
 
 Defined results: NULL texts and texts without a letter are `und` with score 0 and rejected. Equal cosines go to the
 language that sorts first. Without training documents everything is `und`. Very long texts are read whole, in slices. Rows that
@@ -30,8 +30,8 @@ DIMENSIONS = 1 << 14
 CLUSTERS = 4
 #: Training documents per language that the centroids are fitted on.
 SAMPLE_DOCUMENTS = 400
-#: A text is rejected below this share of the smallest cosine seen in training at its length.
-REJECT_SHARE = 0.5
+#: A text is rejected below this share of the median cosine of its language's training texts of its length.
+REJECT_SHARE = 0.3
 SLICE = 1 << 20
 LENGTH_BINS = 40
 UNKNOWN = "und"
@@ -41,7 +41,7 @@ class Model(NamedTuple):
     languages: list[str]  # of each centroid
     centroids: np.ndarray  # DIMENSIONS x centroids, unit columns
     idf: np.ndarray
-    floors: np.ndarray  # smallest accepted cosine by log2 of the number of n-grams
+    floors: np.ndarray  # of each centroid, smallest accepted cosine by log2 of the number of n-grams
 
 
 @cache
@@ -201,9 +201,11 @@ def train(training: DataFrame, per_language: int = SAMPLE_DOCUMENTS, clusters: i
             dense[i, np.frombuffer(at, dtype="<i4")] = np.frombuffer(weights, dtype="<f4")
         found = cluster(dense, clusters)
         cosines = (dense @ found.T).max(1)
-        floors = np.full(LENGTH_BINS, np.inf)
-        for grams_in, cosine in zip(rows["n"], cosines, strict=True):
-            floors[_bin(grams_in)] = min(floors[_bin(grams_in)], cosine)
+        bins = np.array([_bin(n) for n in rows["n"]])
+        floors = np.zeros(LENGTH_BINS)
+        for i in range(LENGTH_BINS):
+            # a length that the sample lacks takes the floor of the next shorter one, and shorter ones accept all
+            floors[i] = REJECT_SHARE * np.median(cosines[bins == i]) if (bins == i).any() else floors[max(0, i - 1)]
         return pd.DataFrame(
             {
                 "lang": [rows["lang"].iloc[0]] * len(found),
@@ -218,14 +220,9 @@ def train(training: DataFrame, per_language: int = SAMPLE_DOCUMENTS, clusters: i
     if not rows:
         return None
     rows.sort(key=lambda row: (row.lang, bytes(row.centroid)))
-    floors = np.min([np.frombuffer(row.floors) for row in rows], axis=0)
-    # a length that the sample lacks takes the floor of the next shorter one, and shorter ones accept all
-    lowest = 0.0
-    for i in range(LENGTH_BINS):
-        lowest = min(floors[i], 1.0) if np.isfinite(floors[i]) else lowest
-        floors[i] = lowest
+    floors = np.array([np.frombuffer(row.floors) for row in rows])
     matrix = np.array([np.frombuffer(row.centroid, dtype="<f4") for row in rows]).T.copy()
-    return Model([row.lang for row in rows], matrix, idf, floors * REJECT_SHARE)
+    return Model([row.lang for row in rows], matrix, idf, floors)
 
 
 def classify(text: str | None, model: Model | None) -> tuple[str, float, bool]:
@@ -237,7 +234,7 @@ def classify(text: str | None, model: Model | None) -> tuple[str, float, bool]:
     cosines = weights @ model.centroids[at]
     best = int(np.argmax(cosines))
     score = float(min(1.0, max(0.0, cosines[best])))
-    return model.languages[best], score, score < model.floors[_bin(n)]
+    return model.languages[best], score, score < model.floors[best, _bin(n)]
 
 
 def identify(documents: DataFrame, model: Model | None) -> DataFrame:
