@@ -38,7 +38,7 @@ TOKENIZER = "byte_bpe_50k.json"
 CAPACITY = 1024
 END = 2
 #: Equal-cardinality groups of large lengths, and the largest length that counts as small, as a share of the capacity.
-GROUPS = 1000
+GROUPS = 300
 SMALL_SHARE = 8
 #: Pieces ranked by one task.
 RANKED_TOGETHER = 200_000
