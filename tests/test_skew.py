@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillhouse.operators import quality
-from tillhouse.operators.skew import hot_keys, split_hot_join
+from tillhouse.operators.skew import hot_keys, hot_of, split_hot_join
 
 ROWS = 30_000
 
@@ -55,6 +55,14 @@ def test_several_keys(spark, left, right):
     assert same(plain, split)
 
 
+def test_hot_keys_from_counts(left, right):
+    """Keys counted for another purpose, of which those that occur once are missing, salt the same keys."""
+    counts = left.groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    hot = hot_of(counts, ["k"], "n", 1000)
+    assert {row._hot_k: row._splits for row in hot.collect()} == {7: 10, None: 5}
+    assert same(left.join(right, "k", "left"), split_hot_join(left, right, ["k"], "left", 1000, hot))
+
+
 def test_hot_rows_are_spread(spark, left, right):
     """No task gets the whole hot key, although most of its rows are exact copies."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

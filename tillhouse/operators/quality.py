@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tillhouse.functions.fixed_values import OUTLIER_DEVIATIONS
 from tillhouse.functions.labels import order_status, payment_invalid, price_valid, total_differs
-from tillhouse.operators.skew import ROWS_PER_SPLIT, split_hot_join
+from tillhouse.operators.skew import ROWS_PER_SPLIT, hot_of, split_hot_join
 from tillhouse.schemas import AMOUNT_SUM
 
 MENU_PRICES = ["base_price", "price_tier_1", "price_tier_2", "price_tier_3"]
@@ -27,13 +27,19 @@ def order_totals(items: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
 
 
 def with_order_totals(
-    orders: DataFrame, items: DataFrame, scope: Sequence[str] = (), rows_per_split: int = ROWS_PER_SPLIT
+    orders: DataFrame,
+    items: DataFrame,
+    scope: Sequence[str] = (),
+    rows_per_split: int = ROWS_PER_SPLIT,
+    duplicates: DataFrame | None = None,
 ) -> DataFrame:
-    """Orders with the sum of their items; NULL for an order without items."""
-    columns = orders.columns
-    joined = split_hot_join(
-        orders, order_totals(items, scope), [*scope, "order_id"], "left", rows_per_split
-    )
+    """Orders with the sum of their items; NULL for an order without items.
+
+    duplicates are the orders' repeated ids with their counts, where they have been found before: hot ids are among them.
+    """
+    columns, keys = orders.columns, [*scope, "order_id"]
+    hot = None if duplicates is None else hot_of(duplicates, keys, "count", rows_per_split)
+    joined = split_hot_join(orders, order_totals(items, scope), keys, "left", rows_per_split, hot)
     return joined.select(*columns, "calculated_total")
 
 

@@ -22,14 +22,14 @@ def hot_keys(df: DataFrame, keys: list[str], rows_per_split: int = ROWS_PER_SPLI
     At most one key in rows_per_split rows can be hot, so the frame stays small enough
     to broadcast: a million keys for 10^12 rows.
     """
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") > rows_per_split)
-        .select(
-            *[F.col(key).alias(f"_hot_{key}") for key in keys],
-            F.ceil(F.col("_rows") / rows_per_split).cast("int").alias("_splits"),
-        )
+    return hot_of(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), keys, "_rows", rows_per_split)
+
+
+def hot_of(counts: DataFrame, keys: list[str], rows: str, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
+    """The same from rows that have been counted per key before; keys that are not hot may be missing."""
+    return counts.filter(F.col(rows) > rows_per_split).select(
+        *[F.col(key).alias(f"_hot_{key}") for key in keys],
+        F.ceil(F.col(rows) / rows_per_split).cast("int").alias("_splits"),
     )
 
 
@@ -39,13 +39,15 @@ def split_hot_join(
     keys: list[str],
     how: str = "left",
     rows_per_split: int = ROWS_PER_SPLIT,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Equi join (inner or left) whose left side may hold any share of its rows on one key.
 
     Rows of a hot key are salted on the left; the matching right rows are repeated once
-    per salt. All other rows have salt 0 and are joined as usual.
+    per salt. All other rows have salt 0 and are joined as usual. hot are the left side's hot keys where they
+    are known; else its rows are counted here. Known ones are a stored table, so Spark goes by its size.
     """
-    hot = F.broadcast(hot_keys(left, keys, rows_per_split))
+    hot = F.broadcast(hot_keys(left, keys, rows_per_split)) if hot is None else hot
     salted_left = left.join(hot, _same_key(left, hot, keys), "left").select(
         *[left[name] for name in left.columns], _row_salt(left).alias("_salt")
     )

@@ -37,7 +37,8 @@ MALFORMED = "malformed_rows"
 CASHIERS = "cashier_counts"
 
 # Rules on groups of orders. Their rows are computed, those of other rules are picked from day files.
-GROUP_RULES = {"duplicate_orders": DUPLICATE_ORDERS, "anomaly_cashiers": CASHIER_COUNTS}
+DUPLICATES = "duplicate_orders"
+GROUP_RULES = {DUPLICATES: DUPLICATE_ORDERS, "anomaly_cashiers": CASHIER_COUNTS}
 
 
 def load_masters(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
@@ -59,7 +60,6 @@ def quarantine_frames(checked: DataFrame, bad_items: DataFrame, scope: list[str]
         "orphan_items": quality.unknown_menu(bad_items),
         "invalid_payments": quality.invalid_payments(orders),
         "invalid_prices": quality.off_price(bad_items),
-        "duplicate_orders": quality.duplicate_orders(orders, scope),
         "anomaly_cashiers": quality.cashier_outliers(orders, scope),
         "orders_discrepancies": quality.order_discrepancies(with_totals),
     }
@@ -91,15 +91,25 @@ def load_days(
         raise ValueError("no days to load")
     outlets, menu = masters["outlet_master"], masters["menu_master"]
 
+    raw_orders = bronze.read_transactions(spark, f"{layout.bronze}/orders", ORDERS, days, rescue=True)
     raw_items = bronze.read_transactions(spark, f"{layout.bronze}/order_items", ORDER_ITEMS, days, rescue=True)
     seen = Observation()
     parsed = raw_items.observe(seen, F.count(F.col(bronze.RESCUED)).alias("malformed")).drop(bronze.RESCUED)
     silver_items, silver_orders = f"{layout.silver}/order_items", f"{layout.silver}/orders"
     noted = tables.written_hashes(spark, silver_items, ORDER_ITEMS)
-    tables.write_days(parsed, silver_items, days, aligned=True, notes=noted)
+
+    def store_items() -> None:
+        tables.write_days(parsed, silver_items, days, aligned=True, notes=noted)
+
+    def store_duplicates() -> None:
+        # one count of the ids serves the rule and the join below, which has to know ids with very many rows
+        rows = quality.duplicate_orders(raw_orders, DAY_KEYS)
+        tables.write_days(rows, f"{layout.quarantine}/{DUPLICATES}", days)
+
+    run_together(spark, [store_items, store_duplicates])
     malformed_items = raw_items if seen.get["malformed"] else None
     items = tables.read_day_files(spark, silver_items, ORDER_ITEMS, days)
-    raw_orders = bronze.read_transactions(spark, f"{layout.bronze}/orders", ORDERS, days, rescue=True)
+    duplicates = tables.read_day_files(spark, f"{layout.quarantine}/{DUPLICATES}", DUPLICATE_ORDERS, days)
 
     def kept_by_day(rows: DataFrame, name: str, schema: StructType) -> DataFrame:
         """Stored with a day's rows side by side: few files for many small days, several for a large one."""
@@ -107,7 +117,8 @@ def load_days(
         return tables.read_table(spark, f"{work}/{name}", with_days(schema))
 
     def check_orders() -> DataFrame:
-        rows = quality.with_status(quality.with_order_totals(raw_orders, items, DAY_KEYS))
+        totals = quality.with_order_totals(raw_orders, items, DAY_KEYS, duplicates=duplicates)
+        rows = quality.with_status(totals)
         return kept_by_day(rows.select(*CHECKED_ORDERS.fieldNames(), *DAY_KEYS), "orders", CHECKED_ORDERS)
 
     def check_items() -> DataFrame:

@@ -19,7 +19,6 @@ SETTINGS = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "4k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join even when that costs one more shuffle after it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
@@ -27,6 +26,9 @@ SETTINGS = {
     "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
 }
 
+# On one machine small partitions keep its cores busy; on a cluster they would be thousands of tiny tasks.
+LOCAL_SETTINGS = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "4k"}
+
 # Only used when a storage path is s3a://.
 OBJECT_STORE_SETTINGS = {
     "spark.hadoop.fs.s3a.multipart.size": "104857600",
@@ -46,12 +48,13 @@ def get_spark(app: str = "tillhouse", master: str | None = None, paths: tuple[st
         settings.update(OBJECT_STORE_SETTINGS)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return configure(builder.getOrCreate())
 
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created."""
-    for key, value in SETTINGS.items():
+    local = spark.sparkContext.master.startswith("local")
+    for key, value in {**SETTINGS, **(LOCAL_SETTINGS if local else {})}.items():
         spark.conf.set(key, value)
     return spark
 
