@@ -252,7 +252,10 @@ def identify(documents: DataFrame, model: Model | None) -> DataFrame:
 
 
 def keep_known(documents: DataFrame, model: Model | None) -> DataFrame:
-    """The documents that are not rejected, with all their columns; without a model nothing is known to reject, and all stay."""
+    """The documents that are not rejected, with all their columns, whatever these are called; repeated rows are judged alike.
+
+    Texts that are NULL or without a letter go. Without a model nothing is known to reject, and all documents stay.
+    """
     if model is None:
         return documents
     shared = documents.sparkSession.sparkContext.broadcast(model)

@@ -7,10 +7,12 @@ its whole length: P(word) = l * count / N + (1 - l) * lattice, with l = N / (N +
 score is the sum of the log10 of its tokens' probabilities, the end included.
 
 Words are scored once each, however often they occur. The HOT most frequent ones are broadcast; all others of a
-document are joined with the table of words by a shuffle, in which no key is frequent.
+document are joined with the table of words by a shuffle. Only words of more than HOT_BYTES bytes can be frequent there; each
+document has one row of such a word, and adaptive execution splits the join.
 
 Defined results: a NULL or empty text is one token, the end. NULL ids are training documents. Without training
-documents all pieces are equally likely. Repeated rows are scored one by one. Words are read whole, however long.
+documents all pieces are equally likely. Repeated rows are scored one by one. Words are read whole, however long. An
+empty table gives no rows. Columns other than id and text take no part, whatever their names.
 """
 
 from __future__ import annotations

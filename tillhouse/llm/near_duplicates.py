@@ -19,7 +19,8 @@ is ever made.
 Defined results: a NULL text and one without words have the empty set, are linked with nothing and kept. Equal sets
 are linked. A component's id is its smallest non-null doc_id; a component without one has NULL, and `link` marks all its
 rows as kept. `keep_one` decides by row, not by id: of each component exactly one row stays, whatever ids are repeated
-or missing. An empty table gives no rows.
+or missing. Texts of any length are taken whole, one document's set in a worker at a time. An empty table gives no rows. Columns
+other than id and text take no part, whatever their names.
 """
 
 from __future__ import annotations

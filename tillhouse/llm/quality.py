@@ -265,7 +265,10 @@ def assess(documents: DataFrame, field: Field | None) -> DataFrame:
 
 
 def keep_good(documents: DataFrame, field: Field | None) -> DataFrame:
-    """The documents that are kept, with all their columns."""
+    """The documents that are kept, with all their columns, whatever these are called; repeated rows are judged alike.
+
+    NULL and empty texts have too few words and go. An empty table stays empty.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -18,7 +18,8 @@ Runs are turned into byte intervals, these are united per text. Documents with t
 starts elsewhere as a whole. A hash of a window has 128 bits together with the name it is compared under.
 
 Defined results: a NULL text is the empty text. Texts shorter than `length` lose nothing. Repeated rows and rows
-with the same or no id are copies of each other if their texts are equal. An empty table gives no rows.
+with the same or no id are copies of each other if their texts are equal. Texts of any length are searched whole, in slices. An empty table
+gives no rows. Columns other than id and text take no part, whatever their names; `strip` keeps them all.
 """
 
 from __future__ import annotations

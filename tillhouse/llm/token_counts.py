@@ -7,7 +7,9 @@ through a cache in the worker. No pre-token is shuffled, and the table decides o
 the result.
 
 Defined results: a NULL text counts as empty (0 bytes, 0 tokens). Special strings inside texts are single tokens,
-as the library has it by default. Texts with characters outside the pattern's range go to the library whole.
+as the library has it by default. Texts with characters outside the pattern's range go to the library whole. Texts of any
+length are counted whole. Repeated rows are counted one by one. Pre-tokens that are equally frequent compete for the last places
+of the table, which changes no count. An empty table gives no rows. Columns other than id and text are not looked at.
 """
 
 from __future__ import annotations
