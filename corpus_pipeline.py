@@ -1,4 +1,10 @@
-"""The corpus pipeline: documents in, packed training sequences out. Each stage is written and read again before the next."""
+"""The corpus pipeline: documents in, packed training sequences out. Each stage is written and read again before the next.
+
+All stages but the last return the columns of documents, whatever others there are beside id and text. Defined results: texts that
+are NULL, empty or too short go in the first stage; repeated rows are copies, of which near deduplication keeps one, whatever ids
+are repeated or missing; a document that loses all its text to passage deduplication stays as an empty one; without
+labels or languages the first two stages keep what the counted rules keep. An empty table passes through all stages.
+"""
 
 from __future__ import annotations
 
