@@ -16,7 +16,7 @@ copies is one row of the index. Blocks of equal numbers of rows are compared, wh
 
 Defined results: vectors that are NULL, empty, zero, or hold NULL or non-finite components take no part; nor do NULL
 ids. Rows that repeat an id and vector count once. An id with several vectors is one query with the best answers of
-them all, and a candidate with the one that is nearest. Columns other than id and vector take no part. If lengths differ, only vectors of the most frequent length (the
+them all, and a candidate with each of them. Columns other than id and vector take no part. If lengths differ, only vectors of the most frequent length (the
 longer of equals) take part. An empty table, or one without queries, gives no rows.
 """
 
