@@ -42,6 +42,8 @@ DEVIATIONS = 4
 SLICE, BLOCK = 1 << 17, 1 << 20
 #: Ids per range and in all from which the ranges are taken; this has no influence on results.
 SAMPLED, MOST_SAMPLED = 32, 200_000
+#: Bytes of texts in a range.
+RANGE_BYTES = 24 << 20
 
 _UNIT = 1 << 20
 #: c * log2(c) of a byte that occurs c times in a window; the sum is WINDOW * (log2(WINDOW) - entropy).
@@ -203,8 +205,8 @@ def _raw(text: str | None) -> bytes:
     return (text or "").encode()
 
 
-def rarity(documents: DataFrame) -> np.ndarray:
-    """Ranks of the levels from all windows of all texts."""
+def windows(documents: DataFrame) -> np.ndarray:
+    """How many windows of all texts have each level."""
 
     def packed(counts: np.ndarray) -> dict[str, list]:
         return {"counts": [counts.tobytes()]}
@@ -224,7 +226,12 @@ def rarity(documents: DataFrame) -> np.ndarray:
         yield packed(found)
 
     rows = gathered(map_rows(documents.select("text").filter("text is not null"), count, "counts binary"), merge, "counts binary")
-    return ranks(sum((np.frombuffer(row.counts, dtype=np.int64) for row in rows), np.zeros(LEVELS + 1, dtype=np.int64)))
+    return sum((np.frombuffer(row.counts, dtype=np.int64) for row in rows), np.zeros(LEVELS + 1, dtype=np.int64))
+
+
+def rarity(documents: DataFrame) -> np.ndarray:
+    """Ranks of the levels from all windows of all texts."""
+    return ranks(windows(documents))
 
 
 def _blocks(raws: list[bytes]) -> Iterator[list[bytes]]:
@@ -290,10 +297,10 @@ def ranges(places: DataFrame, parts: int) -> tuple[list[bytes], dict[bytes, int]
     return cuts, {place: firsts[i - 1][0] for i, (_, place) in enumerate(firsts)}
 
 
-def in_order(documents: DataFrame) -> DataFrame:
-    """range, role, place, doc_id, text, sorted; role 1 is the document after the range's last one."""
+def in_order(documents: DataFrame, size: int) -> DataFrame:
+    """range, role, place, doc_id, text, sorted; role 1 is the document after the range's last one. size: bytes of all texts."""
     rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), _place().alias("place"))
-    parts = max(1, documents.rdd.getNumPartitions())
+    parts = max(1, -(-size // RANGE_BYTES), documents.rdd.getNumPartitions())
     cuts, ahead = ranges(stored(rows.select("place"), "places"), parts)
 
     def work(batches: Iterable[dict[str, list]]) -> Iterator[dict[str, list]]:
@@ -311,7 +318,8 @@ def in_order(documents: DataFrame) -> DataFrame:
 
     dealt = map_rows(rows, work, "range long, role int, place binary, doc_id long, text string")
     order = ["range", "role", "place"]
-    return dealt.repartition(len(cuts) + 1, "range").sortWithinPartitions(*order)
+    # each range is a partition: by a hash of their numbers several of them would meet in one
+    return dealt.repartitionById(len(cuts) + 1, F.col("range").cast("int")).sortWithinPartitions(*order)
 
 
 def edited(text: str, following: str) -> str:
@@ -325,7 +333,8 @@ RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, e
 
 def compare_edits(documents: DataFrame) -> DataFrame:
     """The fingerprint of every document and of its edited text, and how like they are to each other and to the next one."""
-    table = rarity(documents)
+    counts = windows(documents)
+    table = ranks(counts)
 
     def work(batches: Iterable[dict[str, list]]) -> Iterator[dict[str, list]]:
         names = [part.split()[0] for part in RESULT.split(", ")]
@@ -350,5 +359,5 @@ def compare_edits(documents: DataFrame) -> DataFrame:
                     out[name].append(value)
             yield out
 
-    rows = in_order(documents)
+    rows = in_order(documents, int(counts.sum()))
     return map_rows(rows.select("range", "role", "doc_id", "text"), work, RESULT)
