@@ -5,11 +5,13 @@ from decimal import Decimal
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from tillhouse import queries
 from tillhouse.layout import (
-    Layout, days_between, lookback_days, parse_day, partition_text, projected_partitions, resolve_days,
+    DAY_KEYS, Layout, days_between, lookback_days, parse_day, partition_text, projected_partitions, resolve_days,
     storage_section,
 )
 from tillhouse.plans import changes, gold, runs
@@ -608,6 +610,43 @@ def test_keys_are_compared_with_days_that_may_hold_them(spark, tmp_path, monkeyp
         assert known[::3].all() and (n < 100 or known[1::3].mean() < 0.03)
 
 
+def test_filters_are_made_without_python_objects_and_looked_up_in_few_passes(spark, monkeypatch):
+    """Keys stay in Arrow's memory, and small filters of many days are looked up in one pass over the keys, not in one per 16 days."""
+    days = days_between(D1, date(2026, 4, 9))
+    text = F.split(F.date_add(F.lit(D1), (F.col("id") % len(days)).cast("int")).cast("string"), "-")
+    rows = spark.range(4000).withColumns({name: text[i] for i, name in enumerate(DAY_KEYS)}).withColumnRenamed("id", "key")
+    rows = rows.unionByName(rows.limit(3).withColumn("key", F.lit(None).cast("long")))  # a NULL key is in no filter
+    filters = keysets.day_filters(rows, "key", {day: 100 for day in days}).localCheckpoint()
+    assert filters.count() == len(days)
+
+    passes = []
+    real = type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: passes.append(len(value)) or real(self, value))
+    first = spark.range(0, 4000, len(days)).toDF("key")  # the keys of the first day
+    assert days[0] in keysets.known_days(first, "key", filters) and passes == [len(days)]
+    passes.clear()
+    monkeypatch.setattr(keysets, "HELD_BYTES", 1024)
+    assert keysets.known_days(spark.range(4000).toDF("key"), "key", filters) == days and len(passes) > 1
+    assert len(keysets.known_days(spark.range(10**9, 10**9 + 2).toDF("key"), "key", filters)) < 10
+    assert keysets.portions([("a", 3), ("b", 9), ("c", 2), ("d", 2)], 4) == [["a"], ["b"], ["c", "d"]]
+
+    batch = pa.RecordBatch.from_pydict({"key": [5, None, 7], "year": ["2026"] * 3, "month": ["03"] * 3, "day": ["01", "01", "02"]})
+    found = {day: keys for day, keys in keysets._by_day(batch, "key")}
+    assert all(isinstance(keys, np.ndarray) for keys in found.values())
+    assert {day[2]: keys.tolist() for day, keys in found.items()} == {"01": [5], "02": [7]}
+
+
+def test_the_fact_is_built_once_for_all_days(spark, monkeypatch):
+    """What unique_over_days writes again is read from the stored fact, not joined anew."""
+    built = []
+    real = runs.store_fact
+    monkeypatch.setattr(runs, "store_fact", lambda s, layout, rows, days: built.append(rows.inputFiles()) or real(s, layout, rows, days))
+    queries.REGISTRY["unique_over_days"](spark, "/root/testdata/sf0.001")
+    source_files, again = built
+    assert any("lineitem" in name for name in source_files) and again
+    assert not any("lineitem" in name for name in again)
+
+
 def test_tests_of_a_run_stay_in_its_days(spark, tmp_path, monkeypatch):
     layout = Layout.under(str(tmp_path / "scoped"))
     far = date(2026, 5, 20)

@@ -23,8 +23,10 @@ from tillhouse.layout import DAY_KEYS, day_values
 BITS_PER_KEY, HASHES = 10, 4
 #: Filters have 2**SMALLEST to 2**LARGEST bits, 128 bytes to 16 MB; of days that crowd the largest more are looked at.
 SMALLEST, LARGEST = 10, 27
-#: Filters that a task holds at once.
+#: Filters that a task holds at once while it makes them.
 HELD = 16
+#: Bytes of filters that new keys are looked up in at once: some hundred days of 100,000 keys.
+HELD_BYTES = 64 * 1024 * 1024
 
 FILTERS = T.StructType([T.StructField("bits", T.BinaryType(), True)])
 
@@ -34,22 +36,40 @@ def size_of(keys: int) -> int:
     return min(LARGEST, max(SMALLEST, (BITS_PER_KEY * keys - 1).bit_length()))
 
 
-def _places(keys: np.ndarray, size: int) -> np.ndarray:
-    """Bits of each key in a filter of 2**size, one row per hash."""
+def _mixed(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What the hashes of each key start from and go on by, whatever the filter's size."""
     mixed = keys.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     mixed ^= mixed >> np.uint64(32)
     mixed *= np.uint64(0xC2B2AE3D27D4EB4F)
-    step = (mixed * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
+    return mixed, (mixed * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
+
+
+def _places(keys: np.ndarray, size: int) -> np.ndarray:
+    """Bits of each key in a filter of 2**size, one row per hash."""
+    mixed, step = _mixed(keys)
     return np.stack([(mixed + np.uint64(i) * step) >> np.uint64(64 - size) for i in range(HASHES)]).astype(np.int64)
 
 
+def _fill(bits: np.ndarray, keys: np.ndarray) -> None:
+    for places in _places(keys, len(bits).bit_length() - 1):
+        bits[places] = True
+
+
 def _filled(keys: np.ndarray, size: int) -> np.ndarray:
     bits = np.zeros(1 << size, dtype=bool)
-    for places in _places(keys, size):
-        bits[places] = True
+    _fill(bits, keys)
     return bits
 
 
+def _by_day(batch: pa.RecordBatch, key: str) -> Iterator[tuple[tuple, np.ndarray]]:
+    """Days and their keys; the keys stay in Arrow's memory, only the days become Python's."""
+    rows = pa.Table.from_batches([batch]).filter(batch.column(0).is_valid())
+    days = rows.group_by(DAY_KEYS).aggregate([(key, "list")])
+    own = zip(*[days.column(name).to_pylist() for name in DAY_KEYS], strict=True)
+    for day, keys in zip(own, days.column(f"{key}_list"), strict=True):
+        yield day, keys.values.to_numpy()
+
+
 def day_filters(rows: DataFrame, key: str, counts: dict[date, int]) -> DataFrame:
     """bits and day keys: a filter of the keys of each day, by their number.
 
@@ -61,12 +81,10 @@ def day_filters(rows: DataFrame, key: str, counts: dict[date, int]) -> DataFrame
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, np.ndarray] = {}
         for batch in batches:
-            table = pa.Table.from_batches([batch]).filter(batch.column(0).is_valid())
-            days = table.group_by(DAY_KEYS).aggregate([(key, "list")]).to_pylist()
-            for day in days:
-                own = tuple(day[name] for name in DAY_KEYS)
-                bits = _filled(np.array(day[f"{key}_list"], dtype=np.int64), sizes[own])
-                held[own] = held[own] | bits if own in held else bits
+            for day, keys in _by_day(batch, key):
+                if day not in held:
+                    held[day] = np.zeros(1 << sizes[day], dtype=bool)
+                _fill(held[day], keys)
                 if len(held) > HELD:
                     yield out(held)
                     held = {}
@@ -99,17 +117,29 @@ def meeting_days(noted: dict[date, dict], low: int, high: int) -> list[date]:
     return sorted(day for day, n in noted.items() if n.get("low") is not None and n["low"] <= high and n["high"] >= low)
 
 
+def portions(sizes: list[tuple[tuple, int]], most: int) -> list[list[tuple]]:
+    """Days, with the bytes of their filters, in groups of at most that many bytes; a larger filter is a group by itself."""
+    out: list[list[tuple]] = []
+    held = 0
+    for day, size in sizes:
+        if not out or held + size > most:
+            out.append([])
+            held = 0
+        out[-1].append(day)
+        held += size
+    return out
+
+
 def known_days(keys: DataFrame, key: str, filters: DataFrame) -> list[date]:
     """Days whose filter knows some of the keys.
 
-    A task holds a few filters at a time, of any number of days, and looks its keys up in them: what moves are the filters, one
-    row per day, and what comes back are days. keys is read once for every HELD days.
+    A task holds some filters at a time, of any number of days, and looks its keys up in them: what moves are the filters, one
+    row per day, and what comes back are days. keys is read once for every HELD_BYTES of filters.
     """
     spark = filters.sparkSession
-    days = [tuple(row) for row in filters.select(*DAY_KEYS).collect()]
+    sizes = [((r.year, r.month, r.day), r.size) for r in filters.select(*DAY_KEYS, F.length("bits").alias("size")).collect()]
     found: set[tuple] = set()
-    for at in range(0, len(days), HELD):
-        part = days[at : at + HELD]
+    for part in portions(sorted(sizes), HELD_BYTES):
         chosen = filters.filter(F.concat_ws("-", *DAY_KEYS).isin(["-".join(day) for day in part])).collect()
         shared = spark.sparkContext.broadcast({tuple(row[name] for name in DAY_KEYS): bytes(row.bits) for row in chosen})
 
@@ -117,14 +147,18 @@ def known_days(keys: DataFrame, key: str, filters: DataFrame) -> list[date]:
             hits: set[tuple] = set()
             for batch in batches:
                 own = batch.column(0).drop_null().to_numpy(zero_copy_only=False)
+                mixed, step = _mixed(own)
                 for day, packed in shared.value.items():
                     if day not in hits:
                         bits = np.frombuffer(packed, dtype=np.uint8)
-                        places = _places(own, (8 * len(bits)).bit_length() - 1)
-                        known = np.ones(len(own), dtype=bool)
-                        for row in places:
-                            known &= (bits[row >> 3] >> (7 - (row & 7)) & 1).astype(bool)
-                        if known.any():
+                        shift = np.uint64(65 - (8 * len(bits)).bit_length())
+                        # a key goes on to the next hash only if the one before knows it
+                        left, by = mixed, step
+                        for i in range(HASHES):
+                            at = ((left + np.uint64(i) * by) >> shift).astype(np.int64)
+                            known = (bits[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)
+                            left, by = left[known], by[known]
+                        if len(left):
                             hits.add(day)
             yield pa.RecordBatch.from_arrays([pa.array([d[i] for d in hits], type=pa.string()) for i in range(3)], names=DAY_KEYS)
 
