@@ -35,3 +35,14 @@ def test_contract_holds_every_query():
 
 def test_entry(spark):
     assert contract.entry(spark).count() == 5697
+
+
+def test_memory_of_a_task_does_not_grow_with_the_tables(spark, monkeypatch):
+    """What a task sums up before the shuffle and what it reads from one are shares of fixed size; items are summed up once."""
+    monkeypatch.setattr("tillhouse.queries._input_bytes", lambda *_: 6 * 1024**3)
+    plan = REGISTRY["dq_summary"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= 96
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "32m"
+    # scans of the same columns under the same filters are shuffled once
+    scans = [line.split("DataFilters: ")[1].split("], ")[0] for line in plan.splitlines() if "FileScan parquet [l_orderkey" in line]
+    assert len(scans) == 3 and not any("date_add" in filters for filters in scans)
