@@ -636,6 +636,25 @@ def test_filters_are_made_without_python_objects_and_looked_up_in_few_passes(spa
     assert {day[2]: keys.tolist() for day, keys in found.items()} == {"01": [5], "02": [7]}
 
 
+def test_raw_rows_are_shuffled_by_one_date_and_days_hashed_in_whole_numbers(spark, tmp_path, monkeypatch):
+    moments = ["2026-03-01 09:00:00", "2026-03-02 23:59:59", "2026-03-03 00:00:00", None, "2026-03-01 23:59:59.9"]
+    rows = spark.createDataFrame(list(enumerate(moments)), "k int, at string").select("k", F.to_timestamp("at").alias("created_at"))
+    written = []
+    real = tables.write_days
+    monkeypatch.setattr(bronze, "write_days", lambda df, *rest, **named: written.append(df) or real(df, *rest, **named))
+    path = str(tmp_path / "raw")
+    bronze.write_transactions(rows, ["k", "created_at"], path, [D1, D3])
+    plan = written[0]._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    shuffles = [line for line in plan if "RebalancePartitions" in line]
+    assert len(shuffles) == 1 and "_day" in shuffles[0] and "month" not in shuffles[0]
+    stored = bronze.read_transactions(spark, path, rows.schema, [D1, D2, D3])
+    assert keys_by_day(stored) == [("01", 0), ("01", 4), ("03", 2)]
+
+    hashes = tables.day_hashes(stored)
+    whole = stored.groupBy("day").agg(F.sum(F.xxhash64("k", "created_at").cast("decimal(20,0)")).cast("string").alias("hash"))
+    assert {f"{day.day:02d}": note["hash"] for day, note in hashes.items()} == {row.day: row.hash for row in whole.collect()}
+
+
 def test_the_fact_is_built_once_for_all_days(spark, monkeypatch):
     """What unique_over_days writes again is read from the stored fact, not joined anew."""
     built = []

@@ -85,7 +85,7 @@ def load_days(
 
     Lines that do not fit their table stay in silver with NULL where nothing could be read, as the raw layer's reader
     gives them, and go to quarantine as they are. The parse itself counts them: raw items are read again only when it
-    has met some.
+    has met some. All tables are read in the given days only, so no write has to look for rows of others.
     """
     if not days:
         raise ValueError("no days to load")
@@ -99,12 +99,12 @@ def load_days(
     noted = tables.written_hashes(spark, silver_items, ORDER_ITEMS)
 
     def store_items() -> None:
-        tables.write_days(parsed, silver_items, days, aligned=True, notes=noted)
+        tables.write_days(parsed, silver_items, days, aligned=True, notes=noted, chosen=True)
 
     def store_duplicates() -> None:
         # one count of the ids serves the rule and the join below, which has to know ids with very many rows
         rows = quality.duplicate_orders(raw_orders, DAY_KEYS)
-        tables.write_days(rows, f"{layout.quarantine}/{DUPLICATES}", days)
+        tables.write_days(rows, f"{layout.quarantine}/{DUPLICATES}", days, chosen=True)
 
     run_together(spark, [store_items, store_duplicates])
     malformed_items = raw_items if seen.get["malformed"] else None
@@ -131,11 +131,11 @@ def load_days(
         rows = checked.select(*SILVER_ORDERS.fieldNames(), *DAY_KEYS)
         # the prints that a later run compares with the source are those of the source's columns
         noted = tables.written_hashes(spark, silver_orders, ORDERS)
-        tables.write_days(rows, silver_orders, days, aligned=True, notes=noted)
+        tables.write_days(rows, silver_orders, days, aligned=True, notes=noted, chosen=True)
 
     def store_counts() -> None:
         counts = quality.cashier_counts(checked, DAY_KEYS)
-        tables.write_days(counts, f"{layout.silver}/{CASHIERS}", days, notes=day_moments)
+        tables.write_days(counts, f"{layout.silver}/{CASHIERS}", days, notes=day_moments, chosen=True)
 
     def day_moments(run: str, found: list[date]) -> dict[date, dict]:
         folders = [commits.run_folder(f"{layout.silver}/{CASHIERS}", day, run) for day in found]
@@ -145,10 +145,10 @@ def load_days(
 
     def store_malformed() -> None:
         rows = malformed_rows({"orders": checked} | ({"order_items": malformed_items} if malformed_items else {}))
-        tables.write_days(rows, f"{layout.quarantine}/{MALFORMED}", days, aligned=True)
+        tables.write_days(rows, f"{layout.quarantine}/{MALFORMED}", days, aligned=True, chosen=True)
 
     def store_bad(rule: str, rows: DataFrame) -> None:
-        tables.write_days(rows, f"{layout.quarantine}/{rule}", days, aligned=rule not in GROUP_RULES)
+        tables.write_days(rows, f"{layout.quarantine}/{rule}", days, aligned=rule not in GROUP_RULES, chosen=True)
 
     bad = quarantine_frames(checked, bad_items, DAY_KEYS)
     run_together(spark, [store_orders, store_counts, store_malformed, *(partial(store_bad, rule, rows) for rule, rows in bad.items())])

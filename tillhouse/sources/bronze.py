@@ -12,7 +12,7 @@ from pyspark.sql.types import StructField, StructType
 
 from tillhouse.functions.dates import day_keys
 from tillhouse.functions.fixed_values import NULL_TEXT
-from tillhouse.layout import DAY_KEYS
+from tillhouse.layout import DAY_KEYS, stretches
 from tillhouse.schemas import MALFORMED_LINE
 from tillhouse.sources.commits import State
 from tillhouse.sources.source import as_text
@@ -42,9 +42,15 @@ def write_master(df: DataFrame, path: str) -> None:
 
 
 def write_transactions(df: DataFrame, columns: list[str], path: str, days: list[date]) -> None:
-    """Split by the day of created_at, which items carry from their order."""
-    keyed = _replaced(df, ESCAPES).select("*", *day_keys(F.col("created_at")))
-    write_days(as_text(keyed.select(*columns, *DAY_KEYS)), path, days, fmt="csv", options=CSV_OPTIONS)
+    """Split by the day of created_at, which items carry from their order.
+
+    Rows are shuffled as they come, with their day as one date; they become text where they are written.
+    """
+    on = F.col("_day")
+    wanted = reduce(Column.__or__, [on.between(F.lit(first), F.lit(last)) for first, last in stretches(days)], F.lit(False))
+    dated = df.select(*columns, F.to_date("created_at").alias("_day")).filter(wanted).hint("rebalance", "_day")
+    keyed = _replaced(dated, ESCAPES).select(*columns, *day_keys(on))
+    write_days(as_text(keyed), path, days, fmt="csv", options=CSV_OPTIONS, aligned=True, chosen=True)
 
 
 def read_master(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

@@ -37,18 +37,21 @@ def write_days(
     options: dict[str, str] | None = None,
     aligned: bool = False,
     notes: Callable[[str, list[date]], dict[date, dict]] | None = None,
+    chosen: bool = False,
 ) -> None:
     """Replace the given days of a table, in one job and one commit.
 
     Rebalancing puts a small day into one file and splits a large one over several tasks.
     aligned says that df comes straight from files that are already split by day: then
     nothing is shuffled. A day that produced no rows is recorded as empty. Rows of other
-    days are left out: days outside the list are not touched. notes gives what is kept
-    with each day of the run, before it counts.
+    days are left out: days outside the list are not touched; chosen says that df has no such
+    rows, so that they need not be looked for. notes gives what is kept with each day of the
+    run, before it counts.
     """
     spark = df.sparkSession
     run = commits.new_run()
-    df = df.filter(in_days(days))
+    if not chosen:
+        df = df.filter(in_days(days))
     if not aligned:
         df = df.hint("rebalance", *DAY_KEYS)
     (
@@ -68,10 +71,17 @@ def write_days(
 def day_hashes(rows: DataFrame) -> dict[date, dict]:
     """Row count and hash of each day; the hash does not depend on the rows' order. One row per day is collected."""
     columns = [name for name in rows.columns if name not in DAY_KEYS]
-    found = rows.groupBy(*DAY_KEYS).agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(F.xxhash64(*columns).cast("decimal(20,0)")).cast("string").alias("hash")
+    # both halves of a hash are summed as whole numbers of 64 bits; a decimal for each row costs several times that
+    hashed = rows.select(*DAY_KEYS, F.xxhash64(*columns).alias("_hash"))
+    found = hashed.groupBy(*DAY_KEYS).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(F.shiftright("_hash", 32)).alias("high"),
+        F.sum(F.col("_hash").bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"),
     )
-    return {date(int(row.year), int(row.month), int(row.day)): {"rows": row.rows, "hash": row.hash} for row in found.collect()}
+    return {
+        date(int(row.year), int(row.month), int(row.day)): {"rows": row.rows, "hash": str((row.high << 32) + row.low)}
+        for row in found.collect()
+    }
 
 
 def written_hashes(spark: SparkSession, path: str, schema: StructType) -> Callable[[str, list[date]], dict[date, dict]]:
