@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import re
 import textwrap
 import zlib
 from collections import Counter
@@ -308,6 +309,55 @@ def test_texts_without_long_repeats_stay_out(spark):
     assert [found[i].n_removed for i, _ in rows] == [sum(g) for g in gone]
 
 
+@pytest.mark.parametrize("size", [256, 1 << 21])
+def test_texts_are_sampled_together(monkeypatch, size):
+    """The samples of texts hashed in one piece are those of each text alone."""
+    monkeypatch.setattr(repeats, "SLICE", size)
+    rng = random.Random(31)
+    common = prose(rng, "en", 25)
+    datas = [f"{prose(rng, 'xx', rng.randint(20, 90))} {common}".encode() for _ in range(30)]
+    offsets = np.cumsum([0, *map(len, datas)])
+    seen, joined = [], np.frombuffer(b"".join(datas), dtype=np.uint8)
+    for rows, begin, end, start in repeats._chunks(offsets, 100):
+        *parts, text = repeats.samples(joined[begin:end], offsets[rows] - (begin - start), 100, 40)
+        seen += [(rows[t], n, c, p + start, a + start, b + start) for n, c, p, a, b, t in zip(*parts, text, strict=True)]
+    alone = []
+    for i, data in enumerate(datas):
+        for start in range(0, len(data) - 99, size):
+            parts = repeats.samples(np.frombuffer(data[start : start + size + 99], dtype=np.uint8), np.array([0]), 100, 40)
+            alone += [(i, n, c, p + start, a + start, b + start) for n, c, p, a, b, _ in zip(*parts, strict=True)]
+    assert seen == alone
+    for i, data in enumerate(datas):  # every start is in one run
+        assert [k for row, *_, a, b in seen if row == i for k in range(a, b + 1)] == list(range(len(data) - 99))
+
+
+def test_spans_are_united_before_they_are_stored(spark):
+    """A long repeated passage is one interval, not one for each of its samples; intervals of different texts stay apart."""
+    rng = random.Random(32)
+    passage = prose(rng, "en", 400)
+    rows = [(i, f"{prose(rng, 'xx', 60)} {passage} {prose(rng, 'xx', 60)} {passage[900:1400] if i == 1 else ''}") for i in range(4)]
+    frame = prepare(spark).createDataFrame(rows, "doc_id long, text string").repartition(1)
+    found = sorted([(s.start, s.end) for s in row.spans] for row in repeats._spans(frame, 250).collect())
+    gone = brute_covered([raw(t) for _, t in rows], 250)
+    runs = [[m.span() for m in re.finditer(b"\1+", bytes(own))] for own in gone]
+    assert found == sorted(runs) and sorted(map(len, found)) == [1, 1, 1, 2]
+
+
+@pytest.mark.parametrize("most", [4096, 1])
+def test_repeated_rows_share_passages_with_others(spark, monkeypatch, most):
+    """Rows that agree in id and text give each context once, however many there are."""
+    monkeypatch.setattr(repeats, "MOST_CONTEXTS", most)
+    monkeypatch.setattr(repeats, "MERGED", 3)
+    rng = random.Random(33)
+    passage = prose(rng, "en", 60)
+    rows = [(own, text) for own in (None, 5) for text in [f"{prose(rng, 'xx', 30)} {passage} {prose(rng, 'xx', 30)}"] for _ in range(6)]
+    rows += [(i, f"{prose(rng, 'xx', 40)} {passage[i:]} {prose(rng, 'xx', 20)}") for i in (20, 33)] + [(60, prose(rng, "xx", 90))]
+    frame = prepare(spark).createDataFrame(rows, "doc_id long, text string").repartition(3)
+    gone = brute_covered([raw(t) for _, t in rows], 100)
+    found = sorted((r.doc_id or 0, r.n_removed) for r in repeats.remove(frame, 100).collect())
+    assert found == sorted((i or 0, sum(g)) for (i, _), g in zip(rows, gone, strict=True))
+
+
 def test_stripped_documents_keep_their_columns(documents, nothing):
     found = repeats.strip(documents)
     assert found.schema == documents.schema

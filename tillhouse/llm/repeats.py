@@ -32,8 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
-from xxhash import xxh3_128_digest
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tillhouse.llm.common import Scratch, gathered, map_rows, stored, text_hash
 
@@ -44,8 +43,9 @@ PASSAGE = 250
 FILTER_BITS, FILTER_HASHES = 1 << 25, 5
 #: Bytes of a gram, as a share of the length; longer grams repeat less often by chance, shorter ones give fewer samples.
 GRAM_SHARE = 0.4
-#: Starts looked at together, and contexts merged together.
+#: Starts of one text looked at together, bytes of short texts hashed together, and contexts merged together.
 SLICE = 1 << 21
+CHUNK = 1 << 17
 MERGED = 2048
 #: Names with more contexts are merged in Spark.
 MOST_CONTEXTS = 4096
@@ -90,29 +90,62 @@ class Sums:
         return _mixed((self.sums[end] - self.sums[start]) * self.inverse[start] + (end - start).astype(np.uint64))
 
 
-def samples(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """name, context, position, first and last start of every run of windows with the same sample, for one slice."""
+def _least(keys: np.ndarray, width: int) -> np.ndarray:
+    """The smallest of every `width` neighbours."""
+    n, least, done = len(keys) - width + 1, keys, 1
+    while 2 * done <= width:
+        least = np.minimum(least[:-done], least[done:])
+        done *= 2
+    return np.minimum(least[:n], least[width - done : width - done + n])
+
+
+def samples(data: np.ndarray, starts: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """name, context, position, first and last start of every run of windows with the same sample, and the number of its text.
+
+    data: one slice, or several texts of `length` bytes at least, one after the other; starts: where these begin. Places count
+    from the start of the text.
+    """
     sums = Sums(data)
     grams = sums.windows(gram)
-    width = length - gram + 1
-    keys = grams & ~np.uint64(SLICE * 2 - 1) | np.arange(len(grams), dtype=np.uint64)
-    padded = np.full(-(-len(keys) // width) * width, np.uint64(0xFFFFFFFFFFFFFFFF))
-    padded[: len(keys)] = keys
-    blocks = padded.reshape(-1, width)
-    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
-    behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    n = len(keys) - width + 1
-    at = (np.minimum(behind[:n], ahead[width - 1 : width - 1 + n]) & np.uint64(SLICE * 2 - 1)).astype(np.int64)
-    cuts = np.flatnonzero(np.diff(at)) + 1
-    first = np.concatenate([[0], cuts])
-    last = np.concatenate([cuts, [n]]) - 1
-    position = at[first]
+    places = np.uint64(SLICE * 2 - 1)
+    at = (_least(grams & ~places | np.arange(len(grams), dtype=np.uint64), length - gram + 1) & places).astype(np.int64)
+    # a run ends with its text; the windows after it, up to the next text, would hold bytes of both
+    over = np.append(starts[1:], len(data)) - length + 1
+    edges = np.unique(np.concatenate([starts, over, np.flatnonzero(at[1:] != at[:-1]) + 1]))
+    first, last = edges[:-1], edges[1:] - 1
+    text = np.searchsorted(starts, first, side="right") - 1
+    inside = first < over[text]
+    first, last, text = first[inside], last[inside], text[inside]
+    position, base = at[first], starts[text]
     context = sums.between(first, last + length) + _mixed((position - first).astype(np.uint64) + np.uint64(7))
-    return grams[position].view(np.int64), context.view(np.int64), position, first, last
+    return grams[position].view(np.int64), context.view(np.int64), position - base, first - base, last - base, text
 
 
-def _text_hash(text: str | None) -> bytes:
-    return xxh3_128_digest((text or "").encode())
+def _chunks(offsets: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, int, int, int]]:
+    """Rows, first and last byte, and where in its text the first byte is: short texts together, longer ones in slices.
+
+    offsets: where each row's bytes begin, and the end of the last.
+    """
+    row = 0
+    while row < len(offsets) - 1:
+        begin = int(offsets[row])
+        more = max(row + 1, int(np.searchsorted(offsets, begin + min(CHUNK, SLICE), side="right")) - 1)
+        size = int(offsets[more]) - begin
+        if more > row + 1 or size < SLICE + length:
+            yield np.arange(row, more), begin, begin + size, 0
+        else:
+            for start in range(0, size - length + 1, SLICE):
+                yield np.arange(row, more), begin + start, begin + min(size, start + SLICE + length - 1), start
+        row = more
+
+
+def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all rows of a column of texts or bytes without NULL, and where each row's begin and the last ends."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(data, dtype=np.uint8) if data and offsets[-1] else np.zeros(0, dtype=np.uint8)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
 def _samples_of(documents: DataFrame, length: int, gram: int) -> DataFrame:
@@ -122,67 +155,63 @@ def _samples_of(documents: DataFrame, length: int, gram: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                raw = text.encode()
-                if len(raw) < length:
-                    continue
-                h, data = xxh3_128_digest(raw), np.frombuffer(raw, dtype=np.uint8)
-                for start in range(0, len(raw) - length + 1, SLICE):
-                    name, context, *places = samples(data[start : start + SLICE + length - 1], length, gram)
-                    hashes = pa.array([h], type=pa.binary()).take(pa.array(np.zeros(len(name), dtype=np.int64)))
-                    yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(context), hashes, *(pa.array(p + start) for p in places)], schema=schema)
-
-    texts = documents.filter(F.octet_length("text") >= length).select("text")
+            if not batch.num_rows:
+                continue
+            data, offsets = _bytes_of(batch.column("text"))
+            for rows, begin, end, start in _chunks(offsets, length):
+                name, context, position, first, last, text = samples(data[begin:end], offsets[rows] - (begin - start), length, gram)
+                hashes = batch.column("h").take(pa.array(rows[text]))
+                yield pa.RecordBatch.from_arrays([pa.array(name), pa.array(context), hashes, *(pa.array(p + start) for p in (position, first, last))], schema=schema)
+
+    texts = documents.filter(F.octet_length("text") >= length).select("text", text_hash().alias("h"))
     return texts.mapInArrow(run, "name long, context long, h binary, position long, first long, last long")
 
 
-def merged_starts(rows: list[tuple[int, int, bool, int, bytes]], length: int) -> Iterator[tuple[int, int, int, int]]:
-    """(name, context, a, b): starts from -a to -b before the sample whose windows also are in another context.
+def merged_starts(rows: pa.RecordBatch, length: int) -> tuple[np.ndarray, ...]:
+    """name, context, a, b: starts from -a to -b before the sample whose windows also are in another context.
 
-    rows: name, context, whether it occurs several times, bytes before the sample at its first start, its bytes.
+    rows: name, context, whether it occurs several times, bytes before the sample at its first start, its bytes; all different.
     All contexts of a name must be among them.
     """
-    keys = []
-    for name, _, _, before, data in rows:
-        hashes = Sums(np.frombuffer(data, dtype=np.uint8), 2).windows(length)
-        offsets = (before - np.arange(len(hashes))).astype(np.int64).view(np.uint64)
-        keys.append(_mixed(hashes + offsets * np.uint64(0xC2B2AE3D27D4EB4F)) ^ np.uint64(name & 0xFFFFFFFFFFFFFFFF))
-    if not keys:
-        return
-    _, inverse, counts = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
-    elsewhere = counts[inverse] > 1
-    at = 0
-    for own, (name, context, many, before, _) in zip(keys, rows, strict=True):
-        n = len(own)
-        if not many:
-            hit = np.flatnonzero(np.diff(np.concatenate([[0], elsewhere[at : at + n].astype(np.int8), [0]])))
-            for a, b in zip(hit[::2].tolist(), hit[1::2].tolist(), strict=True):
-                yield name, context, before - a, before - (b - 1)
-        at += n
+    name, context, many, before = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("name", "context", "many", "before"))
+    data, offsets = _bytes_of(rows.column("data"))
+    windows = np.diff(offsets) - length + 1
+    row = np.repeat(np.arange(len(name)), windows)
+    nth = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
+    start = offsets[row] + nth
+    ahead = before[row] - nth
+    keys = Sums(data, 2).between(start, start + length) + ahead.view(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    _, inverse, counts = np.unique(_mixed(keys) ^ name[row].view(np.uint64), return_inverse=True, return_counts=True)
+    found = (counts[inverse] > 1) & ~many[row]
+    first = np.flatnonzero(found & np.append(True, ~found[:-1] | (row[1:] != row[:-1])))
+    last = np.flatnonzero(found & np.append(~found[1:] | (row[1:] != row[:-1]), True))
+    return name[row[first]], context[row[first]], ahead[first], ahead[last]
 
 
 def _merge(contexts: DataFrame, length: int) -> DataFrame:
     """Names with few contexts: whole names at a time, in the order of names."""
 
-    def work(batches: Iterable[dict[str, list]]) -> Iterator[dict[str, list]]:
-        held: list[tuple] = []
-
-        def out(rows: list[tuple]) -> dict[str, list]:
-            found = list(merged_starts(rows, length))
-            return {c: [row[i] for row in found] for i, c in enumerate(("name", "context", "a", "b"))}
+    def out(rows: pa.RecordBatch) -> pa.RecordBatch:
+        name, context = (rows.column(c).to_numpy() for c in ("name", "context"))
+        rows = rows.filter(pa.array(np.append(True, (name[1:] != name[:-1]) | (context[1:] != context[:-1]))))
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in merged_starts(rows, length)], names=["name", "context", "a", "b"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            held += zip(*(batch[c] for c in ("name", "context", "many", "before", "data")), strict=True)
-            if len(held) >= MERGED:
-                cut = len(held) - 1
-                while cut and held[cut - 1][0] == held[-1][0]:
-                    cut -= 1
-                yield out(held[:cut])
-                held = held[cut:]
-        yield out(held)
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= MERGED:
+                rows = pa.concat_batches(held)
+                name = rows.column("name").to_numpy()
+                cut = int(np.searchsorted(name, name[-1]))
+                if cut:
+                    yield out(rows.slice(0, cut))
+                held = [rows.slice(cut)]
+        if held and (rows := pa.concat_batches(held)).num_rows:
+            yield out(rows)
 
-    ordered = contexts.repartition("name").sortWithinPartitions("name")
-    return map_rows(ordered.select("name", "context", "many", "before", "data"), work, "name long, context long, a long, b long")
+    ordered = contexts.repartition("name").sortWithinPartitions("name", "context")
+    return ordered.select("name", "context", "many", "before", "data").mapInArrow(run, "name long, context long, a long, b long")
 
 
 def _merge_windows(contexts: DataFrame, length: int, scratch: Scratch) -> DataFrame:
@@ -195,6 +224,7 @@ def _merge_windows(contexts: DataFrame, length: int, scratch: Scratch) -> DataFr
                 n = len(hashes)
                 yield {"name": [name] * n, "context": [context] * n, "many": [many] * n, "a": before - np.arange(n), "w": hashes.view(np.int64)}
 
+    contexts = contexts.dropDuplicates(["name", "context"])
     windows = map_rows(contexts.select("name", "context", "many", "before", "data"), work, "name long, context long, many boolean, a long, w long")
     twice = windows.groupBy("name", "a", "w").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     twice = scratch.stored(twice, "windows")
@@ -208,14 +238,8 @@ def covered(documents: DataFrame, length: int, scratch: Scratch) -> tuple[DataFr
     """
     gram = max(1, int(length * GRAM_SHARE))
 
-    def hashed(batches: Iterable[dict[str, list]]) -> Iterator[dict[str, list]]:
-        for batch in batches:
-            yield {"h": [_text_hash(text) for text in batch["text"]], "doc_id": batch["doc_id"], "key": batch["key"]}
-
-    long = documents.filter(F.octet_length("text") >= length).select("doc_id", "text", text_hash().alias("key"))
-    texts = map_rows(long, hashed, "h binary, doc_id long, key binary").groupBy("h").agg(
-        F.min("doc_id").alias("doc_id"), F.min("key").alias("key"), F.count(F.lit(1)).alias("copies")
-    )
+    long = documents.filter(F.octet_length("text") >= length).select("doc_id", text_hash().alias("h"))
+    texts = long.groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
     texts = scratch.stored(texts, "texts")
     copied = texts.filter("copies > 1").select("h")
 
@@ -224,14 +248,10 @@ def covered(documents: DataFrame, length: int, scratch: Scratch) -> tuple[DataFr
     repeated = scratch.stored(found.join(twice, "name"), "repeated")
     scratch.discard(found, twice)
 
-    # one row per context: how many places have it, one of them. A text that occurs twice has its places twice
-    # here, but its contexts occur several times in any case
-    groups = repeated.join(copied.withColumn("copied", F.lit(True)), "h", "left").groupBy("name", "context").agg(
-        F.count(F.lit(1)).alias("places"),
-        F.max(F.coalesce("copied", F.lit(False))).alias("copied"),
-        F.min(F.struct("h", "position", "first", "last")).alias("one"),
-    )
-    groups = scratch.stored(groups.select("name", "context", ((F.col("places") > 1) | F.col("copied")).alias("many"), "one.*"), "contexts")
+    # one row per context: how many places have it, one of them. A text that occurs twice has its places twice here, so
+    # its contexts occur several times in any case
+    groups = repeated.groupBy("name", "context").agg(F.count(F.lit(1)).alias("places"), F.min(F.struct("h", "position", "first", "last")).alias("one"))
+    groups = scratch.stored(groups.select("name", "context", (F.col("places") > 1).alias("many"), "one.*"), "contexts")
     settled = groups.filter("many").select("name", "context")
     whole = repeated.join(settled, ["name", "context"]).select("h", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
 
@@ -246,21 +266,22 @@ def covered(documents: DataFrame, length: int, scratch: Scratch) -> tuple[DataFr
 
 
 def _data_of(asked: DataFrame, texts: DataFrame, documents: DataFrame, length: int, scratch: Scratch) -> DataFrame:
-    """The bytes of each context, from one document that has its text."""
+    """The bytes of each context, from one document that has its text; of repeated rows, possibly from several."""
     places = F.collect_list(F.struct("name", "context", "many", "contexts", "position", "first", "last"))
-    wanted = asked.groupBy("h").agg(places.alias("places")).join(texts.select("h", "doc_id", "key"), "h")
-    wanted = scratch.stored(wanted.withColumnsRenamed({"doc_id": "asked_id", "key": "asked_key"}), "wanted")
-    rows = documents.filter(F.octet_length("text") >= length).select("doc_id", "text", text_hash().alias("key"))
+    wanted = asked.groupBy("h").agg(places.alias("places")).join(texts.select("h", "doc_id"), "h")
+    wanted = scratch.stored(wanted.withColumnsRenamed({"doc_id": "asked_id", "h": "asked_h"}), "wanted")
+    rows = documents.filter(F.octet_length("text") >= length).select("doc_id", "text", text_hash().alias("h"))
     # a row meets one wanted row at most, whatever ids are repeated or missing; the id only spares other copies of the text
-    rows = rows.join(wanted.hint("merge"), F.col("key").eqNullSafe(F.col("asked_key")) & F.col("doc_id").eqNullSafe(F.col("asked_id")))
+    rows = rows.join(wanted.hint("merge"), (F.col("h") == F.col("asked_h")) & F.col("doc_id").eqNullSafe(F.col("asked_id")))
 
     def work(batches: Iterable[dict[str, list]]) -> Iterator[dict[str, list]]:
+        done = None
         for batch in batches:
             out: dict[str, list] = {c: [] for c in ("name", "context", "many", "contexts", "before", "data")}
             for text, h, places in zip(batch["text"], batch["h"], batch["places"], strict=True):
-                raw = text.encode()
-                if xxh3_128_digest(raw) != h:
+                if h == done:  # the join leaves repeated rows next to each other
                     continue
+                raw, done = text.encode(), h
                 for place in places:
                     for c in ("name", "context", "many", "contexts"):
                         out[c].append(place[c])
@@ -268,8 +289,7 @@ def _data_of(asked: DataFrame, texts: DataFrame, documents: DataFrame, length: i
                     out["data"].append(raw[place["first"] : place["last"] + length])
             yield out
 
-    found = map_rows(rows.select("text", "h", "places"), work, "name long, context long, many boolean, contexts long, before long, data binary")
-    return found.dropDuplicates(["name", "context"])
+    return map_rows(rows.select("text", "h", "places"), work, "name long, context long, many boolean, contexts long, before long, data binary")
 
 
 def united(intervals: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -283,13 +303,35 @@ def united(intervals: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _united_by_text(intervals: DataFrame) -> DataFrame:
+    """h, spans: the intervals of each text, united in the same way."""
+    schema = to_arrow_schema(intervals.schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = batch.column("spans")
+            start, end = (field.to_numpy() for field in spans.flatten().flatten())
+            row = np.repeat(np.arange(len(spans)), spans.value_lengths().to_numpy()) << 32
+            order = np.argsort(row + start, kind="stable")
+            row, start = row[order], (row + start)[order]
+            end = np.maximum.accumulate(row + end[order])  # what another text has lies below
+            first = np.append(True, start[1:] > end[:-1])[: len(start)]
+            last = np.append(first[1:], True)[: len(start)]
+            offsets = np.searchsorted(row[first], np.arange(len(spans) + 1) << 32)
+            places = pa.StructArray.from_arrays([pa.array(start[first] - row[first]), pa.array(end[last] - row[last])], ["start", "end"])
+            found = pa.ListArray.from_arrays(pa.array(offsets, type=pa.int32()), places)
+            yield pa.RecordBatch.from_arrays([batch.column("h"), found.cast(schema.field("spans").type)], schema=schema)
+
+    return intervals.mapInArrow(run, intervals.schema)
+
+
 def _spans(documents: DataFrame, length: int) -> DataFrame:
-    """h, spans (intervals to remove) of texts that lose something; stored, all that led to it is gone."""
+    """h, spans (intervals to remove, apart from each other) of texts that lose something; stored, all that led to it is gone."""
     scratch = Scratch()
     intervals, copied = covered(documents, length, scratch)
-    spans = intervals.join(copied, "h", "left_anti").distinct().groupBy("h").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    spans = intervals.join(copied, "h", "left_anti").groupBy("h").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     whole = copied.select("h", F.array(F.struct(F.lit(0).cast("long").alias("start"), F.lit(-1).cast("long").alias("end"))).alias("spans"))
-    found = stored(spans.unionByName(whole), "spans")
+    found = stored(_united_by_text(spans).unionByName(whole), "spans")
     scratch.discard()
     return found
 
@@ -314,8 +356,7 @@ def _long_repeats(documents: DataFrame, spans: DataFrame, length: int) -> DataFr
         bits = np.zeros(FILTER_BITS, dtype=bool)
         for batch in batches:
             for h, own in zip(batch["h"], batch["spans"], strict=True):
-                runs = united([(s["start"], s["end"]) for s in own])
-                if any(end < 0 or end - start >= length for start, end in runs):
+                if any(s["end"] < 0 or s["end"] - s["start"] >= length for s in own):
                     bits[_bits(h)] = True
         yield packed(bits)
 
@@ -329,13 +370,14 @@ def _long_repeats(documents: DataFrame, spans: DataFrame, length: int) -> DataFr
     (row,) = gathered(map_rows(spans, mark, "bits binary"), merge, "bits binary", 1)
     words = documents.sparkSession.sparkContext.broadcast(bytes(row.bits))
 
-    def keep(batches: Iterable[dict[str, list]]) -> Iterator[dict[str, list]]:
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.frombuffer(words.value, dtype=np.uint8)
         for batch in batches:
-            chosen = [i for i, text in enumerate(batch["text"]) if all(known[k >> 3] >> (7 - (k & 7)) & 1 for k in _bits(_text_hash(text)))]
-            yield {name: [batch[name][i] for i in chosen] for name in ("doc_id", "text")}
+            chosen = [all(known[k >> 3] >> (7 - (k & 7)) & 1 for k in _bits(h)) for h in batch.column("h").to_pylist()]
+            yield batch.select(["doc_id", "text"]).filter(pa.array(chosen, type=pa.bool_()))
 
-    return map_rows(documents.filter(F.octet_length("text") >= length).select("doc_id", "text"), keep, "doc_id long, text string")
+    texts = documents.filter(F.octet_length("text") >= length).select("doc_id", "text", text_hash().alias("h"))
+    return texts.mapInArrow(keep, texts.select("doc_id", "text").schema)
 
 
 def remove(documents: DataFrame, length: int = LENGTH, passage: int = PASSAGE) -> DataFrame:
@@ -347,14 +389,13 @@ def remove(documents: DataFrame, length: int = LENGTH, passage: int = PASSAGE) -
     """
     passage = min(passage, length)
     short = _spans(documents, passage)
-    spans = _spans(_long_repeats(documents, short, length), length) if passage < length else short
+    scratch, spans = Scratch(), short
+    if passage < length:
+        spans = _spans(scratch.stored(_long_repeats(documents, short, length), "long-repeats"), length)
+        scratch.discard()
     spans = short.withColumnRenamed("spans", "repeated").join(spans, "h", "left")
 
-    def hashed(batches: Iterable[dict[str, list]]) -> Iterator[dict[str, list]]:
-        for batch in batches:
-            yield batch | {"h": [_text_hash(text) for text in batch["text"]]}
-
-    rows = map_rows(documents.select("doc_id", "text"), hashed, "doc_id long, text string, h binary")
+    rows = documents.select("doc_id", "text", text_hash().alias("h"))
     rows = rows.join(spans.hint("merge"), "h", "left")  # shuffled at every size: the spans grow with the data
 
     def work(batches: Iterable[dict[str, list]]) -> Iterator[dict[str, list]]:
@@ -396,11 +437,6 @@ def strip(documents: DataFrame, length: int = LENGTH) -> DataFrame:
     while key in documents.columns:
         key += "_"
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hashes = pa.array([_text_hash(text) for text in batch.column("text").to_pylist()], type=pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, hashes], names=[*batch.schema.names, key])
-
     def cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = batch.column(gone).to_pylist()
@@ -418,6 +454,6 @@ def strip(documents: DataFrame, length: int = LENGTH) -> DataFrame:
 
     documents_schema = documents.schema
     gone = f"{key}_spans"
-    rows = documents.mapInArrow(hashed, StructType([*documents_schema.fields, StructField(key, BinaryType())]))
+    rows = documents.withColumn(key, text_hash())
     spans = spans.toDF(key, gone)
     return rows.join(spans.hint("merge"), key, "left").drop(key).mapInArrow(cut_texts, documents_schema)
